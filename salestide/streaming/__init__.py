@@ -1,0 +1 @@
+"""Empty on purpose: every analysis in scope is a batch query."""
