@@ -7,7 +7,7 @@ before they meet the customer table, which may be too large to broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salestide.functions import labels
@@ -53,6 +53,11 @@ def customer_profile(customers: DataFrame, as_of=None) -> DataFrame:
     )
 
 
+def _name_or_blank() -> Column:
+    """Without a customer the name is the blank between two missing parts."""
+    return F.coalesce("customer_name", F.lit(" ")).alias("customer_name")
+
+
 def dated_lines(sales: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
     """Every dated line with its customer's profile."""
     lines = dated(sales).select(
@@ -66,89 +71,80 @@ def dated_lines(sales: DataFrame, customers: DataFrame, as_of=None) -> DataFrame
     joined = lines.join(
         customer_profile(customers, as_of), F.col("_key") == F.col("customer_key"), "left"
     )
-    # A line without a customer has a name too: the blank between two missing parts.
-    name = F.coalesce("customer_name", F.lit(" "))
-    return joined.drop("_key").withColumn("customer_name", name)
-
-
-def _order_sums(orders: DataFrame, *keys: str) -> DataFrame:
-    """Order-level rows summed per ``keys``; ``orders`` holds each order once per key."""
-    return orders.groupBy(*keys).agg(
-        F.count("order_number").alias("total_orders"),
-        F.sum("_sales").alias("total_sales"),
-        F.sum("_quantity").alias("total_quantity"),
-        F.min("_first").alias("_first"),
-        F.max("_last").alias("last_order_date"),
+    return joined.select(
+        "order_number",
+        "product_key",
+        "order_date",
+        "sales_amount",
+        "quantity",
+        "customer_key",
+        "customer_number",
+        _name_or_blank(),
+        "age",
     )
 
 
+def _lines_of_known(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Dated lines with the customer table's key, NULL where it has none.
+
+    Only the bare keys take part: broadcast if Spark finds them small, else joined by
+    sort-merge, where AQE splits the tasks of a customer with very many lines.
+    """
+    keys = customers.select("customer_key").distinct()
+    lines = dated(sales).withColumnRenamed("customer_key", "_key")
+    return lines.join(keys, F.col("_key") == F.col("customer_key"), "left")
+
+
 def customer_totals(sales: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
     """Orders, sales, units, products, last order and months of custom per customer.
 
-    Two distinct counts in one grouping would make Spark copy every line three times.
-    Instead lines become one row per (customer, order) and one per (customer, product),
-    each combined inside the tasks before the shuffle and spread by order or product,
-    so one customer with a third of all lines is no hot spot. Those rows are then
-    counted per customer, and only one row per customer meets the customer table.
-
-    Distinct counts of unknown customers cannot be added up, so their orders and
-    products are picked out by anti join and counted as one group.
+    Two distinct counts in one grouping would make Spark copy every line three times,
+    names and all. Instead lines become one row per (customer, order) and one per
+    (customer, product). Both are combined inside the tasks before their shuffle and
+    spread by order or product, so neither one customer with a third of all lines nor
+    the group of unknown customers is a hot spot. The second grouping, to one row per
+    customer, is combined before its shuffle as well. Names and ages join last.
     """
-    lines = dated(sales).withColumnRenamed("customer_key", "_key")
-    orders = lines.groupBy("_key", "order_number").agg(
+    lines = _lines_of_known(sales, customers)
+    orders = lines.groupBy("customer_key", "order_number").agg(
         F.sum("sales_amount").alias("_sales"),
         F.sum("quantity").alias("_quantity"),
         F.min("order_date").alias("_first"),
         F.max("order_date").alias("_last"),
     )
-    bought = lines.select("_key", "product_key").distinct()
-
-    totals = _order_sums(orders, "_key").join(
-        bought.groupBy("_key").agg(F.count("product_key").alias("total_products")), "_key"
+    bought = lines.select("customer_key", "product_key").distinct()
+    # Either kind of row leaves the other's columns NULL, which no aggregate counts.
+    totals = (
+        orders.unionByName(bought, allowMissingColumns=True)
+        .groupBy(F.col("customer_key").alias("_key"))
+        .agg(
+            F.count("order_number").alias("total_orders"),
+            F.sum("_sales").alias("total_sales"),
+            F.sum("_quantity").alias("total_quantity"),
+            F.count("product_key").alias("total_products"),
+            F.min("_first").alias("_first"),
+            F.max("_last").alias("last_order_date"),
+        )
     )
-    # The last grouping keeps the partitioning of the join. It matters only when
-    # the customer table repeats a key.
     profiles = customer_profile(customers, as_of)
-    known = (
-        totals.join(profiles, F.col("_key") == F.col("customer_key"))
-        .groupBy(*ATTRIBUTES)
+    joined = totals.join(profiles, F.col("_key") == F.col("customer_key"), "left")
+    # A repeated key in the customer table counts its lines again, once per row with
+    # the same profile. The grouping keeps the partitioning of the join.
+    return (
+        joined.groupBy(
+            F.col("_key").alias("customer_key"), "customer_number", _name_or_blank(), "age"
+        )
         .agg(
             F.max("total_orders").alias("total_orders"),
             F.sum("total_sales").alias("total_sales"),
             F.sum("total_quantity").alias("total_quantity"),
             F.max("total_products").alias("total_products"),
-            F.min("_first").alias("_first"),
             F.max("last_order_date").alias("last_order_date"),
-        )
-    )
-
-    is_known = F.col("_key") == F.col("customer_key")
-    keys = customers.select("customer_key")
-    lost_orders = (
-        orders.join(keys, is_known, "left_anti")
-        .groupBy("order_number")
-        .agg(
-            F.sum("_sales").alias("_sales"),
-            F.sum("_quantity").alias("_quantity"),
             F.min("_first").alias("_first"),
-            F.max("_last").alias("_last"),
         )
+        .withColumn("lifespan", whole_months(F.col("_first"), F.col("last_order_date")))
+        .drop("_first")
     )
-    lost_products = bought.join(keys, is_known, "left_anti").agg(F.count_distinct("product_key")).scalar()
-    unknown = _order_sums(lost_orders).filter(F.col("last_order_date").isNotNull()).select(
-        F.lit(None).cast(profiles.schema["customer_key"].dataType).alias("customer_key"),
-        F.lit(None).cast("string").alias("customer_number"),
-        F.lit(" ").alias("customer_name"),
-        F.lit(None).cast("int").alias("age"),
-        "total_orders",
-        "total_sales",
-        "total_quantity",
-        lost_products.alias("total_products"),
-        "_first",
-        "last_order_date",
-    )
-    lifespan = whole_months(F.col("_first"), F.col("last_order_date"))
-    return known.unionByName(unknown).withColumn("lifespan", lifespan).drop("_first")
 
 
 def customer_report(

@@ -1,9 +1,4 @@
-"""Sales by product attributes.
-
-Lines are summed per product key before they meet the product table, so the join
-handles one row per key (and year) instead of one per line, no product is a hot key
-by then, and no line is shuffled. Keys without a product end in the NULL group.
-"""
+"""Sales by product attributes. Lines without a known product form the NULL group."""
 
 from __future__ import annotations
 
@@ -16,21 +11,43 @@ from salestide.functions.numbers import round_mean, round_ratio
 from salestide.functions.text import join_text
 from salestide.operators.periods import dated
 
+# A key and a text of at most 255 characters are about 1 kB at worst, 40 bytes as a
+# rule, so a broadcast of this many rows stays below 200 MB.
+BROADCAST_ROWS = 200_000
+
+
+def _fits_broadcast(rows: DataFrame, limit: int) -> bool:
+    """Whether there are at most ``limit`` rows; reads little more than that many."""
+    return rows.limit(limit + 1).count() <= limit
+
 
 def sales_by_attribute(
-    sales: DataFrame, products: DataFrame, attribute: str, also_by: dict[str, Column] | None = None
+    sales: DataFrame,
+    products: DataFrame,
+    attribute: str,
+    also_by: dict[str, Column] | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """``total_sales`` per product attribute and any columns of ``also_by``."""
-    also_by = also_by or {}
-    per_key = sales.groupBy(
-        F.col("product_key").alias("_key"), *[c.alias(name) for name, c in also_by.items()]
-    ).agg(F.sum("sales_amount").alias("_sales"))
-    lookup = products.select("product_key", attribute)
-    return (
-        per_key.join(lookup, F.col("_key") == F.col("product_key"), "left")
-        .groupBy(*also_by, attribute)
-        .agg(F.sum("_sales").alias("total_sales"))
+    """``total_sales`` per product attribute and any columns of ``also_by``.
+
+    A small product table is looked up in place, and each task shuffles no more than
+    one row per group. With a larger one, lines are first summed per product key, so
+    that neither lines nor a hot product reach the join, which then handles one row per
+    key. The size is checked when this is called.
+    """
+    groups = also_by or {}
+    lookup = products.select(F.col("product_key").alias("_product"), attribute)
+    lines = sales.select(
+        F.col("product_key").alias("_key"),
+        F.col("sales_amount").alias("_sales"),
+        *[column.alias(name) for name, column in groups.items()],
     )
+    if _fits_broadcast(lookup, broadcast_rows):
+        lookup = F.broadcast(lookup)
+    else:
+        lines = lines.groupBy("_key", *groups).agg(F.sum("_sales").alias("_sales"))
+    joined = lines.join(lookup, F.col("_key") == F.col("_product"), "left")
+    return joined.groupBy(*groups, attribute).agg(F.sum("_sales").alias("total_sales"))
 
 
 def share_of_total(groups: DataFrame, value: str) -> DataFrame:

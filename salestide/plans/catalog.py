@@ -35,8 +35,9 @@ def _report(star: Star, opt: Options) -> DataFrame:
 
 
 def _top_customers(star: Star, opt: Options) -> DataFrame:
-    reports.publish_view(_report(star, opt))
-    return reports.top_customers(star.sales.sparkSession)
+    report = _report(star, opt)
+    reports.publish_view(report)
+    return reports.top_customers(report.sparkSession)
 
 
 Analysis = Callable[[Star, Options], DataFrame]

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salestide.sources.schema import MONEY
-from salestide.sources.star import Star
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,7 +66,21 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def star(spark: SparkSession, folder: str, with_price: bool = False) -> Star:
-    return Star(
-        sales(spark, folder, with_price), customers(spark, folder), products(spark, folder)
-    )
+class RetailStar:
+    """The tables by name, each set up only when it is asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str, with_price: bool = False):
+        self._place = (spark, folder)
+        self._with_price = with_price
+
+    @property
+    def sales(self) -> DataFrame:
+        return sales(*self._place, self._with_price)
+
+    @property
+    def customers(self) -> DataFrame:
+        return customers(*self._place)
+
+    @property
+    def products(self) -> DataFrame:
+        return products(*self._place)
