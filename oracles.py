@@ -243,4 +243,23 @@ FROM shares""",
     "report_customer": _with(BASE, TOTALS) + REPORT,
     "report_top_customers": _with(BASE, TOTALS, f"report AS ({REPORT})")
     + "SELECT * FROM report ORDER BY total_sales DESC, customer_key ASC NULLS LAST LIMIT 20",
+    "load_dim_customers": _with()
+    + """SELECT customer_key, cast(NULL AS bigint) AS customer_id, customer_number, first_name, last_name,
+       cast(NULL AS varchar) AS country, cast(NULL AS varchar) AS marital_status,
+       cast(NULL AS varchar) AS gender, birthdate, cast(NULL AS date) AS create_date
+FROM customers""",
+    "load_dim_products": _with()
+    + f"""SELECT product_key, cast(NULL AS bigint) AS product_id,
+       concat('"', p_brand, '", size ', p_size) AS product_number, product_name,
+       cast(NULL AS varchar) AS category_id, category, cast(NULL AS varchar) AS subcategory,
+       CASE p_size % 3 WHEN 0 THEN true WHEN 1 THEN false END AS maintenance,
+       {_money('cost')} AS cost, CASE WHEN p_size % 5 = 0 THEN '' ELSE 'n/a' END AS product_line,
+       cast(NULL AS date) AS start_date
+FROM products JOIN part ON product_key = p_partkey""",
+    "load_fact_sales": _with()
+    + f"""SELECT order_number, product_key, customer_key, order_date, shipping_date,
+       cast(NULL AS date) AS due_date, {_money('sales_amount')} AS sales_amount,
+       cast(quantity AS bigint) AS quantity, {_money('price')} AS price,
+       cast(year(order_date) AS bigint) AS order_year
+FROM sales""",
 }

@@ -18,6 +18,10 @@ from salestide.sources import schema
 TRUE_TEXT = ("true", "tru", "tr", "t", "yes", "ye", "y", "on", "1")
 FALSE_TEXT = ("false", "fals", "fal", "fa", "f", "no", "n", "off", "of", "0")
 
+# What the parser hands over for a blank field. A character that text does not hold
+# keeps a blank (NULL) and "" (empty text) apart.
+NULL_MARK = "\u0001"
+
 
 def _stop(raw: Column, problem: str) -> Column:
     return F.raise_error(F.concat(F.lit(f"{problem}: "), raw))
@@ -60,6 +64,7 @@ def read_csv(
         mode="FAILFAST",
         quote='"',
         escape='"',
+        nullValue=NULL_MARK,
         multiLine=multi_line,
     )
     return raw.select(*[typed_column(field) for field in columns.fields])
@@ -72,21 +77,22 @@ def write_table(rows: DataFrame, warehouse: str, name: str) -> None:
     year that holds far more rows than the others.
     """
     target = f"{warehouse}/{name}"
-    if name != "fact_sales":
-        rows.write.mode("overwrite").parquet(target)
-        return
-    by_year = rows.withColumn(schema.ORDER_YEAR, F.year("order_date"))
-    (
-        by_year.hint("rebalance", schema.ORDER_YEAR)
-        .write.mode("overwrite")
-        .partitionBy(schema.ORDER_YEAR)
-        .parquet(target)
-    )
+    if name == schema.SALES_TABLE:
+        by_year = rows.withColumn(schema.ORDER_YEAR, F.year("order_date"))
+        writer = by_year.hint("rebalance", schema.ORDER_YEAR).write.partitionBy(schema.ORDER_YEAR)
+    else:
+        writer = rows.write
+    writer.mode("overwrite").parquet(target)
 
 
 def load_star(
-    spark: SparkSession, files: Mapping[str, str], warehouse: str, multi_line: bool = False
+    spark: SparkSession,
+    files: Mapping[str, str],
+    warehouse: str,
+    tables: Mapping[str, T.StructType] = schema.TABLES,
+    multi_line: bool = False,
 ) -> None:
-    """Load the three tables from ``{table name: CSV path}``, replacing what was there."""
-    for name, columns in schema.TABLES.items():
-        write_table(read_csv(spark, files[name], columns, multi_line), warehouse, name)
+    """Load CSV files, given as ``{table name: path}``, replacing what was there."""
+    for name, columns in tables.items():
+        if name in files:
+            write_table(read_csv(spark, files[name], columns, multi_line), warehouse, name)

@@ -6,10 +6,16 @@ so that lines without a customer, a product or a date occur.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salestide.sources import schema
+from salestide.sources.csv_load import load_star
 from salestide.sources.schema import MONEY
+from salestide.sources.star import open_table
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -84,3 +90,56 @@ class RetailStar:
     @property
     def products(self) -> DataFrame:
         return products(*self._place)
+
+
+# Keys of the retail tables may be longer than the declared ones.
+TABLES = {name: schema.with_long_keys(columns) for name, columns in schema.TABLES.items()}
+
+
+def _all_columns(rows: DataFrame, name: str) -> DataFrame:
+    """Every declared column of the table in order, NULL where the rows have none."""
+    return rows.select(
+        *[
+            F.col(field.name) if field.name in rows.columns else F.lit(None).cast("string").alias(field.name)
+            for field in TABLES[name].fields
+        ]
+    )
+
+
+def _full_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table with text that needs quoting, empty text and ``Yes``/``No`` values."""
+    if name == "dim_products":
+        part = _table(spark, folder, "part")
+        size = F.col("p_size")
+        extra = part.select(
+            F.col("p_partkey").alias("product_key"),
+            F.format_string('"%s", size %d', "p_brand", size).alias("product_number"),
+            F.when(size % 3 == 0, "Yes").when(size % 3 == 1, "No").alias("maintenance"),
+            F.when(size % 5 == 0, "").otherwise("n/a").alias("product_line"),
+        )
+        rows = products(spark, folder).join(extra, "product_key")
+    elif name == "dim_customers":
+        rows = customers(spark, folder)
+    else:
+        rows = sales(spark, folder, with_price=True)
+    return _all_columns(rows, name)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="salestide-")
+
+
+def loaded(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One table written as CSV, loaded from there into typed Parquet, and opened.
+
+    Both copies go to a new folder in the cluster's shared folder.
+    """
+    place = f"{_shared_folder(spark)}/salestide-load-{uuid.uuid4().hex}"
+    _full_table(spark, folder, name).write.csv(f"{place}/csv", header=True, quote='"', escape='"')
+    load_star(spark, {name: f"{place}/csv"}, place, TABLES)
+    return open_table(spark, place, name, TABLES)

@@ -55,8 +55,18 @@ SALES = T.StructType(
 # Dimensions come first, the table that refers to them last.
 TABLES = {"dim_customers": CUSTOMERS, "dim_products": PRODUCTS, "fact_sales": SALES}
 
-# Partition column of the stored fact table.
-ORDER_YEAR = "order_year"
+# Partition column of the stored sales.
+SALES_TABLE, ORDER_YEAR = "fact_sales", "order_year"
+
+
+def with_long_keys(columns: T.StructType) -> T.StructType:
+    """The same columns with room for more than two billion keys."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.LongType() if f.name.endswith(("_key", "_id")) and f.dataType == T.IntegerType() else f.dataType)
+            for f in columns.fields
+        ]
+    )
 
 
 def stored(schema: T.StructType) -> T.StructType:

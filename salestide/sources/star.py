@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +17,24 @@ class Star(NamedTuple):
     products: DataFrame
 
 
-def open_star(spark: SparkSession, warehouse: str) -> Star:
-    """Tables written by ``load_star``. No schema is inferred, no file is opened yet."""
-    sales_schema = T.StructType(
-        schema.stored(schema.SALES).fields + [T.StructField(schema.ORDER_YEAR, T.IntegerType())]
-    )
+def open_table(
+    spark: SparkSession,
+    warehouse: str,
+    name: str,
+    tables: Mapping[str, T.StructType] = schema.TABLES,
+) -> DataFrame:
+    """A table as ``load_star`` wrote it. No schema is inferred, no file is opened yet."""
+    columns = schema.stored(tables[name])
+    if name == schema.SALES_TABLE:
+        columns = columns.add(schema.ORDER_YEAR, T.IntegerType())
+    return spark.read.schema(columns).parquet(f"{warehouse}/{name}")
+
+
+def open_star(
+    spark: SparkSession, warehouse: str, tables: Mapping[str, T.StructType] = schema.TABLES
+) -> Star:
     return Star(
-        sales=spark.read.schema(sales_schema).parquet(f"{warehouse}/fact_sales"),
-        customers=spark.read.schema(schema.stored(schema.CUSTOMERS)).parquet(f"{warehouse}/dim_customers"),
-        products=spark.read.schema(schema.stored(schema.PRODUCTS)).parquet(f"{warehouse}/dim_products"),
+        sales=open_table(spark, warehouse, "fact_sales", tables),
+        customers=open_table(spark, warehouse, "dim_customers", tables),
+        products=open_table(spark, warehouse, "dim_products", tables),
     )

@@ -1,0 +1,166 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from salestide.functions import labels
+from salestide.functions.dates import as_date, whole_months, whole_years
+from salestide.functions.numbers import round_mean, round_ratio
+from salestide.functions.text import join_text
+
+
+def _date_pairs():
+    rng = random.Random(7)
+    first = dt.date(1900, 1, 1)
+    pairs = [
+        (first + dt.timedelta(rng.randrange(60000)), first + dt.timedelta(rng.randrange(60000)))
+        for _ in range(3000)
+    ]
+    ends = [dt.date(y, m, d) for y in (2023, 2024) for m, d in ((1, 31), (2, 28), (3, 31), (4, 30), (12, 31))]
+    ends.append(dt.date(2024, 2, 29))
+    return pairs + [(a, b) for a in ends for b in ends]
+
+
+def test_whole_months_and_years_agree_with_age(spark):
+    pairs = _date_pairs()
+    ours = (
+        spark.createDataFrame(pairs, "a date, b date")
+        .select(whole_months(F.col("a"), F.col("b")), whole_years(F.col("a"), F.col("b")))
+        .collect()
+    )
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE pairs (n INTEGER, a TIMESTAMP, b TIMESTAMP)")
+    connection.executemany("INSERT INTO pairs VALUES (?, ?, ?)", [(i, *p) for i, p in enumerate(pairs)])
+    theirs = connection.execute(
+        "SELECT date_part('year', age(b, a)) * 12 + date_part('month', age(b, a)),"
+        " date_part('year', age(b, a)) FROM pairs ORDER BY n"
+    ).fetchall()
+    assert [tuple(row) for row in ours] == theirs
+
+
+@pytest.mark.parametrize(
+    ("start", "end", "months", "years"),
+    [
+        ("2023-01-31", "2024-02-29", 12, 1),
+        ("1991-10-31", "1997-09-30", 70, 5),
+        ("2004-02-29", "2024-02-28", 239, 19),
+        ("2024-02-29", "2023-01-31", -12, -1),
+        ("2020-05-05", "2020-05-05", 0, 0),
+        (None, "2020-05-05", None, None),
+        ("2020-05-05", None, None, None),
+    ],
+)
+def test_known_spans(spark, start, end, months, years):
+    a, b = F.lit(start).cast("date"), F.lit(end).cast("date")
+    row = spark.range(1).select(whole_months(a, b), whole_years(a, b)).first()
+    assert tuple(row) == (months, years)
+
+
+def test_spans_do_not_depend_on_the_time_zone(spark):
+    # In this zone some midnights do not exist.
+    span = whole_months(F.col("a"), F.col("b"))
+    rows = spark.createDataFrame([(dt.date(2018, 11, 4), dt.date(2018, 12, 4))], "a date, b date")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        assert rows.select(span).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_as_date(spark):
+    row = spark.range(1).select(as_date("2002-01-01"), as_date(dt.date(2002, 1, 1)), as_date(None)).first()
+    assert row[0] == row[1] == dt.date(2002, 1, 1)
+    assert abs((row[2] - dt.datetime.now(dt.timezone.utc).date()).days) <= 1
+
+
+def test_round_ratio_is_exact(spark):
+    rng = random.Random(3)
+    rows = [
+        (Decimal(rng.randrange(-(10**13), 10**13)) / 100, Decimal(rng.choice([-1, 1]) * rng.randrange(1, 10**6)) / 100)
+        for _ in range(2000)
+    ]
+    rows += [(Decimal(n), Decimal(d)) for n, d in ((1, 8), (-1, 8), (5, 1000), (0, 7), (1, 3), (2, 3), (-2, 3))]
+    frame = spark.createDataFrame(rows, "n decimal(32,2), d decimal(20,2)")
+    for places in (0, 2):
+        unit = Decimal(1).scaleb(-places)
+        ours = [r[0] for r in frame.select(round_ratio(F.col("n"), F.col("d"), places)).collect()]
+        kept = [(r.n, r.d) for r in frame.collect()]
+        expected = [_half_up(n, d, unit) if d else None for n, d in kept]
+        assert ours == expected
+
+
+def _half_up(n: Decimal, d: Decimal, unit: Decimal) -> Decimal:
+    import decimal
+
+    with decimal.localcontext() as context:
+        context.prec = 80
+        return (n / d).quantize(unit, ROUND_HALF_UP)
+
+
+def test_round_ratio_raises_on_zero(spark):
+    rows = spark.createDataFrame([(Decimal(1), Decimal(0))], "n decimal(12,2), d decimal(12,2)")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|REMAINDER_BY_ZERO|[Dd]ivi"):
+        rows.select(round_ratio(F.col("n"), F.col("d"), 2)).collect()
+
+
+def test_mean_is_rounded_once(spark):
+    # The true mean is 10.0049999975; a mean cut to six digits first would give 10.01.
+    price = F.when(F.col("id") < 1_000_000, "10.01").otherwise("10.00").cast("decimal(12,2)")
+    sums = spark.range(2_000_001).agg(F.sum(price).alias("s"), F.count(price).alias("c"))
+    assert sums.select(round_mean(F.col("s"), F.col("c"), 2)).first()[0] == Decimal("10.00")
+
+
+def test_mean_of_nothing_is_null(spark):
+    rows = spark.createDataFrame([(None, 0)], "s decimal(12,2), c bigint")
+    assert rows.select(round_mean(F.col("s"), F.col("c"), 2)).first()[0] is None
+
+
+def test_join_text_takes_null_as_empty(spark):
+    rows = spark.createDataFrame([("Ann", "Lee"), (None, "Lee"), ("Ann", None), (None, None)], "f string, l string")
+    names = [r[0] for r in rows.select(join_text(F.col("f"), F.lit(" "), F.col("l"))).collect()]
+    assert names == ["Ann Lee", " Lee", "Ann ", " "]
+
+
+def _labels(spark, rows, columns, label):
+    return [r[0] for r in spark.createDataFrame(rows, columns).select(label).collect()]
+
+
+def test_cost_range_edges(spark):
+    costs = ["99.99", "100", "500", "500.01", "1000", "1000.01", None]
+    found = _labels(
+        spark,
+        [(None if c is None else Decimal(c),) for c in costs],
+        "cost decimal(12,2)",
+        labels.cost_range(F.col("cost")),
+    )
+    assert found == ["Below 100", "100-500", "100-500", "500-1000", "500-1000", "Above 1000", "Above 1000"]
+
+
+def test_cost_range_with_other_edges(spark):
+    found = _labels(spark, [(5,), (25,), (31,)], "cost int", labels.cost_range(F.col("cost"), (10, 20, 30)))
+    assert found == ["Below 10", "20-30", "Above 30"]
+
+
+def test_segments_differ_on_the_limit(spark):
+    rows = [(5001, 365), (5000, 365), (4999, 365), (5001, 364), (5001, None), (None, 400)]
+    by_days = _labels(spark, rows, "s int, d int", labels.segment_by_days(F.col("s"), F.col("d")))
+    assert by_days == ["VIP", "Regular", "Regular", "New", "New", "New"]
+    rows = [(5001, 12), (5000, 12), (4999, 12), (5001, 11), (5001, None), (None, 20)]
+    by_months = _labels(spark, rows, "s int, m int", labels.segment_by_months(F.col("s"), F.col("m")))
+    assert by_months == ["VIP", "New", "Regular", "New", "New", "New"]
+
+
+def test_age_groups(spark):
+    found = _labels(spark, [(a,) for a in (-1, 19, 20, 29, 30, 39, 40, 49, 50, None)], "a int", labels.age_group(F.col("a")))
+    assert found == ["Under 20"] * 2 + ["20-29"] * 2 + ["30-39"] * 2 + ["40-49"] * 2 + ["50 and above"] * 2
+
+
+def test_by_sign(spark):
+    found = _labels(spark, [(1,), (-1,), (0,), (None,)], "d int", labels.by_sign(F.col("d"), "up", "down", "same"))
+    assert found == ["up", "down", "same", "same"]
