@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from salestide.plans import cumulative, trends
+from tests.conftest import line
+
+D = Decimal
+
+
+def _rows(frame):
+    return [tuple(row) for row in frame.collect()]
+
+
+def _sales(tables):
+    return tables.sales(
+        line("A", 1, "2021-01-05", "10.00", quantity=1, price="10.00"),
+        line("A", 1, "2021-01-05", "5.50", quantity=2, price="2.75"),
+        line("B", 2, "2021-01-20", "4.50", quantity=None, price="4.50"),
+        line("C", 2, "2021-03-02", "1.00", price=None),
+        line("D", None, "2022-01-01", "2.00", price="2.01"),
+        line("E", 3, "2022-12-31", None, price="2.00"),
+        line("F", 9, None, "100.00", price="100.00"),
+    )
+
+
+def test_order_lines_leave_out_undated_ones(tables):
+    rows = _rows(trends.order_lines(_sales(tables)))
+    assert len(rows) == 6
+    assert [r[0] for r in rows] == sorted(r[0] for r in rows)
+
+
+def test_daily(tables):
+    rows = _rows(trends.daily(_sales(tables)))
+    assert rows[0] == (dt.date(2021, 1, 5), D("15.50"))
+    assert rows[-1] == (dt.date(2022, 12, 31), None)
+    assert len(rows) == 5
+
+
+def test_yearly_counts_customers_once_and_skips_null(tables):
+    assert _rows(trends.yearly(_sales(tables))) == [
+        (2021, D("21.00"), 2, 4),
+        (2022, D("2.00"), 1, 2),
+    ]
+
+
+def test_month_of_year_mixes_years(tables):
+    assert _rows(trends.month_of_year(_sales(tables))) == [
+        (1, D("22.00"), 2, 4),
+        (3, D("1.00"), 1, 1),
+        (12, None, 1, 1),
+    ]
+
+
+def test_year_month_and_month_start_hold_the_same_sums(tables):
+    by_number = _rows(trends.year_month(_sales(tables)))
+    by_date = _rows(trends.month_start(_sales(tables)))
+    assert [(dt.date(r[0], r[1], 1), *r[2:]) for r in by_number] == by_date
+
+
+def test_running_totals(tables):
+    sales = _sales(tables)
+    assert [r[2] for r in _rows(cumulative.running_by_month(sales))] == [D(20), D(21), D(23), D(23)]
+    assert [r[2] for r in _rows(cumulative.year_to_date(sales))] == [D(20), D(21), D(2), D(2)]
+    assert _rows(cumulative.running_by_year(sales)) == [
+        (dt.date(2021, 1, 1), D(21), D(21)),
+        (dt.date(2022, 1, 1), D(2), D(23)),
+    ]
+
+
+def test_mean_prices_skip_null_and_running_mean_uses_rounded_means(tables):
+    sales = _sales(tables)
+    # (10 + 2.75 + 4.5) / 3 = 5.75, (2.01 + 2.00) / 2 = 2.005 -> 2.01
+    assert [r[2] for r in _rows(cumulative.yearly_mean_price(sales))] == [D("5.75"), D("2.01")]
+    running = _rows(cumulative.running_with_mean_price(sales))
+    # (5.75 + 2.01) / 2 = 3.88; from unrounded means it would be 3.8775 -> 3.88 too
+    assert [r[4] for r in running] == [D("5.75"), D("3.88")]
+
+
+def test_last_running_total_is_the_total(spark):
+    import __spark_entry__ as contract
+
+    folder = "/root/testdata/sf0.001"
+    query = contract.queries()
+    months = query["cum_running_month"](spark, folder).collect()
+    years = {r.order_year: r.total_sales for r in query["trend_yearly"](spark, folder).collect()}
+    assert round(months[-1].running_total_sales, 2) == round(sum(years.values()), 2)
+    to_date = query["cum_ytd_month"](spark, folder).collect()
+    ends = {r.order_date.year: r.running_total_sales for r in to_date}
+    assert ends == years

@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+
+from salestide.operators import products as ops
+from salestide.plans import performance, segments, shares
+from tests.conftest import line
+
+D = Decimal
+
+
+def _rows(frame):
+    return [tuple(row) for row in frame.collect()]
+
+
+def _products(tables):
+    return tables.products(
+        {"product_key": 1, "product_name": "bell", "category": "Parts", "cost": "5"},
+        {"product_key": 2, "product_name": "bell", "category": "Parts", "cost": "100"},
+        {"product_key": 3, "product_name": "bike", "category": "Bikes", "cost": "700"},
+        {"product_key": 4, "product_name": "pedal", "category": None, "cost": None},
+        {"product_key": None, "product_name": "ghost", "category": "Ghosts", "cost": "2000"},
+    )
+
+
+def _sales(tables):
+    return tables.sales(
+        line("A", 1, "2011-02-01", "10.00", product=1),
+        line("A", 1, "2011-03-01", "5.00", product=2),
+        line("B", 1, "2013-03-01", "12.00", product=1),
+        line("B", 1, "2011-03-01", "100.00", product=3),
+        line("C", 1, "2012-03-01", "100.00", product=3),
+        line("C", 1, "2013-03-01", "70.50", product=3),
+        line("D", 1, None, "1.00", product=3),
+        line("E", 1, "2012-05-05", "3.00", product=4),
+        line("F", 1, "2012-05-05", "4.00", product=99),
+        line("G", 1, "2012-05-05", "2.00", product=None),
+    )
+
+
+@pytest.mark.parametrize("limit", [0, 1000], ids=["large", "small"])
+def test_groups_do_not_depend_on_the_size_of_the_product_table(tables, limit):
+    rows = _rows(ops.sales_by_attribute(_sales(tables), _products(tables), "category", broadcast_rows=limit))
+    # Unknown products and products without a category are one group.
+    assert sorted(rows, key=str) == sorted(
+        [("Parts", D(27)), ("Bikes", D("271.50")), (None, D(9))], key=str
+    )
+
+
+@pytest.mark.parametrize("limit", [0, 1000], ids=["large", "small"])
+def test_repeated_product_keys_count_lines_again(tables, limit):
+    products = tables.products(
+        {"product_key": 1, "category": "A"},
+        {"product_key": 1, "category": "A"},
+        {"product_key": 1, "category": "B"},
+    )
+    sales = tables.sales(line("A", 1, "2011-02-01", "10.00", product=1))
+    rows = _rows(ops.sales_by_attribute(sales, products, "category", broadcast_rows=limit))
+    assert sorted(rows) == [("A", D(20)), ("B", D(10))]
+
+
+def test_size_check_counts_up_to_the_limit(spark):
+    assert ops._fits_broadcast(spark.range(10), 10)
+    assert not ops._fits_broadcast(spark.range(11), 10)
+
+
+def test_share_of_total(tables):
+    rows = _rows(shares.by_category(_sales(tables), _products(tables)))
+    assert rows == [
+        ("Bikes", D("271.50"), D("307.50"), "88.29%"),
+        ("Parts", D(27), D("307.50"), "8.78%"),
+        (None, D(9), D("307.50"), "2.93%"),
+    ]
+
+
+def test_share_keeps_two_digits_and_puts_missing_sums_first(tables):
+    products = tables.products(
+        {"product_key": 1, "category": "A"}, {"product_key": 2, "category": "B"}, {"product_key": 3, "category": "C"}
+    )
+    sales = tables.sales(
+        line("A", 1, None, "15.30", product=1),
+        line("A", 1, None, "84.70", product=2),
+        line("A", 1, None, None, product=3),
+    )
+    rows = _rows(shares.by_category(sales, products))
+    assert [(r[0], r[3]) for r in rows] == [("C", "%"), ("B", "84.70%"), ("A", "15.30%")]
+
+
+def test_year_on_year(tables):
+    rows = _rows(performance.year_on_year(_sales(tables), _products(tables)))
+    assert rows == [
+        # Names count, not keys; 2013 compares with 2011, the previous year on record.
+        (2011, "bell", D(15), D(14), D(1), "Above Average", None, None, "no change"),
+        (2013, "bell", D(12), D(14), D(-2), "Below Average", D(15), D(-3), "Decrease"),
+        # The mean 90.1666 is rounded before it is compared.
+        (2011, "bike", D(100), D(90), D(10), "Above Average", None, None, "no change"),
+        (2012, "bike", D(100), D(90), D(10), "Above Average", D(100), D(0), "no change"),
+        (2013, "bike", D("70.50"), D(90), D("-19.50"), "Below Average", D(100), D("-29.50"), "Decrease"),
+        (2012, "pedal", D(3), D(3), D(0), "AVG", None, None, "no change"),
+        (2012, None, D(6), D(6), D(0), "AVG", None, None, "no change"),
+    ]
+
+
+def test_each_performance_step_adds_columns_to_the_last(tables):
+    sales, products = _sales(tables), _products(tables)
+    steps = [
+        performance.mean,
+        performance.mean_difference,
+        performance.mean_label,
+        performance.previous_year,
+        performance.year_on_year,
+    ]
+    full = performance.year_on_year(sales, products)
+    for step in steps:
+        frame = step(sales, products)
+        assert _rows(frame) == _rows(full.select(frame.columns))
+    yearly = performance.yearly(sales, products)
+    assert sorted(_rows(yearly), key=str) == sorted(_rows(full.select(yearly.columns)), key=str)
+
+
+def test_cost_ranges(tables):
+    rows = _rows(segments.product_cost_ranges(_products(tables)))
+    assert [r[3] for r in rows] == ["Below 100", "100-500", "500-1000", "Above 1000", "Above 1000"]
+    counts = _rows(segments.product_cost_range_counts(_products(tables)))
+    # A product without a key shows its range but does not count.
+    assert counts == [("100-500", 1), ("500-1000", 1), ("Above 1000", 1), ("Below 100", 1)]
