@@ -88,11 +88,15 @@ def _lines_of_known(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """Dated lines with the customer table's key, NULL where it has none.
 
     Only the bare keys take part: broadcast if Spark finds them small, else joined by
-    sort-merge, where AQE splits the tasks of a customer with very many lines.
+    sort-merge, where AQE splits the tasks of a customer with very many lines. It does
+    so only if the join itself shuffles both sides. Hence the key is passed on as an
+    aggregate: a plain ``distinct`` would lend its own partitioning to the join.
     """
-    keys = customers.select("customer_key").distinct()
+    keys = customers.groupBy(F.col("customer_key").alias("_group")).agg(
+        F.max("customer_key").alias("customer_key")
+    )
     lines = dated(sales).withColumnRenamed("customer_key", "_key")
-    return lines.join(keys, F.col("_key") == F.col("customer_key"), "left")
+    return lines.join(keys.drop("_group"), F.col("_key") == F.col("customer_key"), "left")
 
 
 def customer_totals(sales: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:

@@ -1,4 +1,7 @@
-"""Running totals and running averages over months and years."""
+"""Running totals and running averages over months and years.
+
+An all-time running total comes out in date order, as one task computes it.
+"""
 
 from __future__ import annotations
 
@@ -21,11 +24,11 @@ def _year() -> Column:
 
 
 def month_of_year(sales: DataFrame) -> DataFrame:
-    return _sales_by(sales, F.month("order_date"), "sales_month")
+    return _sales_by(sales, F.month("order_date"), "sales_month").orderBy("sales_month")
 
 
 def month_totals(sales: DataFrame) -> DataFrame:
-    return _sales_by(sales, _month())
+    return _sales_by(sales, _month()).orderBy("order_date")
 
 
 def running_by_month(sales: DataFrame) -> DataFrame:
@@ -34,9 +37,10 @@ def running_by_month(sales: DataFrame) -> DataFrame:
 
 def year_to_date(sales: DataFrame) -> DataFrame:
     """Running total by month that starts again each January."""
+    months = _sales_by(sales, _month())
     return running_total(
-        _sales_by(sales, _month()), "total_sales", "running_total_sales", reset=F.year("order_date")
-    )
+        months, "total_sales", "running_total_sales", reset=F.year("order_date")
+    ).orderBy("order_date")
 
 
 def running_by_year(sales: DataFrame) -> DataFrame:
@@ -44,7 +48,8 @@ def running_by_year(sales: DataFrame) -> DataFrame:
 
 
 def yearly_mean_price(sales: DataFrame) -> DataFrame:
-    return mean_price(sales, _year()).withColumnRenamed("total_sales", "total_sum")
+    prices = mean_price(sales, _year()).withColumnRenamed("total_sales", "total_sum")
+    return prices.orderBy("order_date")
 
 
 def running_with_mean_price(sales: DataFrame) -> DataFrame:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salestide.operators.periods import dated, per_period
 
 
-def _activity() -> dict:
-    return {
+def _activity_by(sales: DataFrame, **periods: Column) -> DataFrame:
+    """Sales, distinct customers and units per period, in period order."""
+    measures = {
         "total_sales": F.sum("sales_amount"),
         "total_customers": F.count_distinct("customer_key"),
         "total_quantity": F.sum("quantity"),
     }
+    return per_period(sales, periods, measures).orderBy(*periods)
 
 
 def order_lines(sales: DataFrame) -> DataFrame:
@@ -28,22 +30,24 @@ def order_lines(sales: DataFrame) -> DataFrame:
 
 
 def daily(sales: DataFrame) -> DataFrame:
-    return per_period(sales, {"order_date": F.col("order_date")}, {"total_sales": F.sum("sales_amount")})
+    totals = {"total_sales": F.sum("sales_amount")}
+    return per_period(sales, {"order_date": F.col("order_date")}, totals).orderBy("order_date")
 
 
 def yearly(sales: DataFrame) -> DataFrame:
-    return per_period(sales, {"order_year": F.year("order_date")}, _activity())
+    return _activity_by(sales, order_year=F.year("order_date"))
 
 
 def month_of_year(sales: DataFrame) -> DataFrame:
     """Calendar months 1 to 12, all years together."""
-    return per_period(sales, {"order_month": F.month("order_date")}, _activity())
+    return _activity_by(sales, order_month=F.month("order_date"))
 
 
 def year_month(sales: DataFrame) -> DataFrame:
-    periods = {"order_year": F.year("order_date"), "order_month": F.month("order_date")}
-    return per_period(sales, periods, _activity())
+    return _activity_by(
+        sales, order_year=F.year("order_date"), order_month=F.month("order_date")
+    )
 
 
 def month_start(sales: DataFrame) -> DataFrame:
-    return per_period(sales, {"order_month_start": F.trunc("order_date", "month")}, _activity())
+    return _activity_by(sales, order_month_start=F.trunc("order_date", "month"))
