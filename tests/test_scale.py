@@ -171,9 +171,9 @@ def test_a_hot_date_is_sorted_by_several_tasks(spark):
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32768",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "65536",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.shuffle.partitions": "16",
 }
