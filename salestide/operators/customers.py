@@ -84,19 +84,36 @@ def dated_lines(sales: DataFrame, customers: DataFrame, as_of=None) -> DataFrame
     )
 
 
-def _lines_of_known(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """Dated lines with the customer table's key, NULL where it has none.
+def _with_known_key(rows: DataFrame, customers: DataFrame) -> DataFrame:
+    """Adds the customer table's key for ``_key``, NULL where it has none.
 
     Only the bare keys take part: broadcast if Spark finds them small, else joined by
-    sort-merge, where AQE splits the tasks of a customer with very many lines. It does
+    sort-merge, where AQE splits the tasks of a customer with very many rows. It does
     so only if the join itself shuffles both sides. Hence the key is passed on as an
     aggregate: a plain ``distinct`` would lend its own partitioning to the join.
     """
     keys = customers.groupBy(F.col("customer_key").alias("_group")).agg(
         F.max("customer_key").alias("customer_key")
     )
-    lines = dated(sales).withColumnRenamed("customer_key", "_key")
-    return lines.join(keys.drop("_group"), F.col("_key") == F.col("customer_key"), "left")
+    return rows.join(keys.drop("_group"), F.col("_key") == F.col("customer_key"), "left")
+
+
+def _count_items(
+    rows: DataFrame, customers: DataFrame, item: str, name: str, measures: dict[str, Column]
+) -> DataFrame:
+    """Counts the distinct ``item`` values of rows that hold each (``_key``, item) once.
+
+    A known customer becomes one row. Unknown customers may share items, so they become
+    one row per item, counted as one, and are left for the caller to sum.
+    """
+    unknown = F.col("customer_key").isNull()
+    grouped = (
+        _with_known_key(rows, customers)
+        .groupBy("customer_key", F.when(unknown, F.col(item)).alias("_item"))
+        .agg(F.count(item).alias("_count"), *[c.alias(n) for n, c in measures.items()])
+    )
+    items = F.when(unknown, F.col("_item").isNotNull().cast("bigint")).otherwise(F.col("_count"))
+    return grouped.select("customer_key", items.alias(name), *measures)
 
 
 def customer_totals(sales: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
@@ -106,29 +123,32 @@ def customer_totals(sales: DataFrame, customers: DataFrame, as_of=None) -> DataF
     names and all. Instead lines become one row per (customer, order) and one per
     (customer, product). Both are combined inside the tasks before their shuffle and
     spread by order or product, so neither one customer with a third of all lines nor
-    the group of unknown customers is a hot spot. The second grouping, to one row per
-    customer, is combined before its shuffle as well. Names and ages join last.
+    the group of unknown customers is a hot spot, and no line reaches a join. Rows are
+    combined again before each later shuffle. Names and ages join last.
     """
-    lines = _lines_of_known(sales, customers)
-    orders = lines.groupBy("customer_key", "order_number").agg(
-        F.sum("sales_amount").alias("_sales"),
-        F.sum("quantity").alias("_quantity"),
+    lines = dated(sales).withColumnRenamed("customer_key", "_key")
+    orders = lines.groupBy("_key", "order_number").agg(
+        F.sum("sales_amount").alias("total_sales"),
+        F.sum("quantity").alias("total_quantity"),
         F.min("order_date").alias("_first"),
-        F.max("order_date").alias("_last"),
+        F.max("order_date").alias("last_order_date"),
     )
-    bought = lines.select("customer_key", "product_key").distinct()
-    # Either kind of row leaves the other's columns NULL, which no aggregate counts.
-    totals = (
-        orders.unionByName(bought, allowMissingColumns=True)
-        .groupBy(F.col("customer_key").alias("_key"))
-        .agg(
-            F.count("order_number").alias("total_orders"),
-            F.sum("_sales").alias("total_sales"),
-            F.sum("_quantity").alias("total_quantity"),
-            F.count("product_key").alias("total_products"),
-            F.min("_first").alias("_first"),
-            F.max("_last").alias("last_order_date"),
-        )
+    bought = lines.select("_key", "product_key").distinct()
+    measures = {
+        "total_sales": F.sum("total_sales"),
+        "total_quantity": F.sum("total_quantity"),
+        "_first": F.min("_first"),
+        "last_order_date": F.max("last_order_date"),
+    }
+    # Put together by a union: a join would not match the NULL key of unknown customers.
+    both = _count_items(orders, customers, "order_number", "total_orders", measures).unionByName(
+        _count_items(bought, customers, "product_key", "total_products", {}),
+        allowMissingColumns=True,
+    )
+    totals = both.groupBy(F.col("customer_key").alias("_key")).agg(
+        F.sum("total_orders").alias("total_orders"),
+        F.sum("total_products").alias("total_products"),
+        *[column.alias(name) for name, column in measures.items()],
     )
     profiles = customer_profile(customers, as_of)
     joined = totals.join(profiles, F.col("_key") == F.col("customer_key"), "left")

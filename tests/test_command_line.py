@@ -1,0 +1,37 @@
+from __future__ import annotations
+
+import pytest
+
+from salestide.__main__ import main
+from salestide.plans.catalog import ANALYSES
+from tests.test_csv_load import _star_files
+
+
+def test_list(capsys):
+    main(["list"])
+    assert capsys.readouterr().out.split() == list(ANALYSES)
+    assert len(ANALYSES) == 30
+
+
+def test_load_then_run_everything(spark, tmp_path, capsys):
+    files = _star_files(tmp_path)
+    warehouse, output = str(tmp_path / "warehouse"), str(tmp_path / "results")
+    main(
+        ["load", "--warehouse", warehouse, "--customers", files["dim_customers"],
+         "--products", files["dim_products"], "--sales", files["fact_sales"]]
+    )
+    main(["run", *ANALYSES, "--warehouse", warehouse, "--output", output, "--as-of", "2023-01-01"])
+    for name in ANALYSES:
+        assert spark.read.parquet(f"{output}/{name}").count() > 0, name
+    report = spark.read.parquet(f"{output}/report_customer").first()
+    assert (report.customer_name, report.age, report.recency_months, report.lifespan) == ("Ann Lee", 32, 7, 12)
+
+    capsys.readouterr()
+    main(["run", "trend_yearly", "--warehouse", warehouse])
+    shown = capsys.readouterr().out
+    assert "trend_yearly" in shown and "2021" in shown
+
+
+def test_unknown_names_are_refused(tmp_path):
+    with pytest.raises(SystemExit):
+        main(["run", "nothing", "--warehouse", str(tmp_path)])
