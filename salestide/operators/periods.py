@@ -15,16 +15,28 @@ def dated(sales: DataFrame) -> DataFrame:
 
 
 def per_period(sales: DataFrame, periods: dict[str, Column], measures: dict[str, Column]) -> DataFrame:
-    """One row per period, in no particular order.
-
-    Sums and distinct counts are both combined inside each task before the shuffle.
-    For a distinct count Spark first groups by (period, value), so a value that holds
-    a large share of the lines is one small row per task by then.
-    """
+    """One row per period, in no particular order; each task shuffles one row per period."""
     rows = dated(sales).groupBy(*[c.alias(name) for name, c in periods.items()])
     return rows.agg(*[c.alias(name) for name, c in measures.items()])
 
 
+def distinct_per_period(sales: DataFrame, periods: dict[str, Column], item: str, name: str) -> DataFrame:
+    """How many different values of ``item`` each period has, NULL not counted.
+
+    Values are made distinct inside the tasks first, so one that holds a large share of
+    the lines is a single row per task and period by the time of the shuffle.
+    """
+    columns = [c.alias(period) for period, c in periods.items()]
+    values = dated(sales).select(*columns, item).distinct()
+    return values.groupBy(*periods).agg(F.count(item).alias(name))
+
+
+def side_by_side(one: DataFrame, other: DataFrame, periods: list[str]) -> DataFrame:
+    """The columns of two frames that have the same periods, one row each."""
+    both = one.unionByName(other, allowMissingColumns=True)
+    return both.groupBy(*periods).agg(*[F.max(c).alias(c) for c in both.columns if c not in periods])
+
+
 def mean_price(sales: DataFrame, period: Column, places: int = 2) -> DataFrame:
     """``order_date`` (the period), ``total_sales`` and the mean line price of the period."""
     sums = per_period(

@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salestide.operators.periods import dated, per_period
+from salestide.operators.periods import dated, distinct_per_period, per_period, side_by_side
 
 
 def _activity_by(sales: DataFrame, **periods: Column) -> DataFrame:
-    """Sales, distinct customers and units per period, in period order."""
-    measures = {
-        "total_sales": F.sum("sales_amount"),
-        "total_customers": F.count_distinct("customer_key"),
-        "total_quantity": F.sum("quantity"),
-    }
-    return per_period(sales, periods, measures).orderBy(*periods)
+    """Sales, distinct customers and units per period, in period order.
+
+    Counted in one grouping, every (period, customer) pair would carry its own sums
+    through the shuffle. Apart, the sums shrink to a row per period in each task and
+    the pairs travel bare, which is worth reading the two small columns twice.
+    """
+    sums = per_period(
+        sales, periods, {"total_sales": F.sum("sales_amount"), "total_quantity": F.sum("quantity")}
+    )
+    buyers = distinct_per_period(sales, periods, "customer_key", "total_customers")
+    columns = [*periods, "total_sales", "total_customers", "total_quantity"]
+    return side_by_side(sums, buyers, list(periods)).select(*columns).orderBy(*periods)
 
 
 def order_lines(sales: DataFrame) -> DataFrame:

@@ -91,8 +91,8 @@ def _read_columns(plan: str) -> list[set[str]]:
 
 def test_scans_read_only_what_is_needed(star):
     plan = _plan(trends.yearly(star.sales))
-    assert _read_columns(plan) == [{"customer_key", "order_date", "sales_amount", "quantity"}]
-    assert "PushedFilters: [IsNotNull(order_date)]" in plan
+    assert _read_columns(plan) == [{"order_date", "sales_amount", "quantity"}, {"customer_key", "order_date"}]
+    assert _count(r"PushedFilters: \[IsNotNull\(order_date\)\]", plan) == 2
     assert _read_columns(_plan(cumulative.running_by_month(star.sales))) == [{"order_date", "sales_amount"}]
     assert _read_columns(_plan(segments.customer_labels(star.sales, star.customers))) == [
         {"customer_key", "order_date", "sales_amount"},
@@ -114,6 +114,13 @@ def test_single_task_windows_sit_on_grouped_rows(star, analysis):
     assert "rangepartitioning" not in " ".join(lines)
 
 
+def test_distinct_customers_travel_without_sums(star):
+    plan = _plan(trends.yearly(star.sales))
+    assert "Expand" not in plan
+    for pairs in re.findall(r"HashAggregate\(keys=\[[^\]]*customer_key[^\]]*\], functions=\[([^\]]*)\]", plan):
+        assert pairs == ""
+
+
 def test_year_on_year_has_one_window_of_each_kind_and_one_window_sort(star):
     plan = _plan(performance.year_on_year(star.sales, star.products))
     assert _count(r"lag\(", plan) == 1
