@@ -262,4 +262,10 @@ FROM products JOIN part ON product_key = p_partkey""",
        cast(quantity AS bigint) AS quantity, {_money('price')} AS price,
        cast(year(order_date) AS bigint) AS order_year
 FROM sales""",
+    "load_unknown_keys": _with()
+    + """SELECT 'customer_key' AS key_name, customer_key AS key_value, count(*) AS lines FROM sales
+WHERE customer_key NOT IN (SELECT customer_key FROM customers) GROUP BY customer_key
+UNION ALL
+SELECT 'product_key', product_key, count(*) FROM sales
+WHERE product_key NOT IN (SELECT product_key FROM products) GROUP BY product_key""",
 }

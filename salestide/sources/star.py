@@ -38,3 +38,18 @@ def open_star(
         customers=open_table(spark, warehouse, "dim_customers", tables),
         products=open_table(spark, warehouse, "dim_products", tables),
     )
+
+
+def register_table(spark: SparkSession, database: str, name: str, path: str) -> None:
+    """Make stored Parquet known to the catalog, for SQL such as ``SELECT ... FROM gold.fact_sales``."""
+    table = f"{database}.{name}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=path, source="parquet")
+    if name == schema.SALES_TABLE:
+        spark.catalog.recoverPartitions(table)
+
+
+def register_star(spark: SparkSession, warehouse: str, database: str = "gold") -> None:
+    for name in schema.TABLES:
+        register_table(spark, database, name, f"{warehouse}/{name}")

@@ -6,10 +6,12 @@ from pathlib import Path
 
 import pytest
 
-from salestide.plans import trends
+from salestide.plans import reports, trends
 from salestide.sources import schema
+from salestide.sources.checks import repeated_keys, unknown_keys
 from salestide.sources.csv_load import load_star, read_csv
-from salestide.sources.star import open_star, open_table
+from salestide.sources.star import open_star, open_table, register_star, register_table
+from tests.conftest import line
 
 PRODUCT_HEADER = ",".join(schema.PRODUCTS.names)
 SALES_HEADER = ",".join(schema.SALES.names)
@@ -155,3 +157,33 @@ def test_long_keys():
     wide = schema.with_long_keys(schema.SALES)
     kinds = {f.name: f.dataType.simpleString() for f in wide.fields}
     assert (kinds["customer_key"], kinds["quantity"], kinds["order_number"]) == ("bigint", "int", "varchar(30)")
+
+
+def test_registered_tables_answer_sql(spark, tmp_path):
+    warehouse = str(tmp_path / "warehouse")
+    load_star(spark, _star_files(tmp_path), warehouse)
+    for _ in range(2):
+        register_star(spark, warehouse, "gold")
+    names = spark.sql(
+        "SELECT c.first_name, p.product_name, f.order_year FROM gold.fact_sales f"
+        " JOIN gold.dim_customers c ON f.customer_key = c.customer_key"
+        " JOIN gold.dim_products p ON f.product_key = p.product_key ORDER BY f.order_year"
+    )
+    assert [tuple(r) for r in names.collect()] == [("Ann", "Frame", 2021), ("Ann", "Frame", 2022)]
+    assert spark.table("gold.fact_sales").count() == 3
+
+    star = open_star(spark, warehouse)
+    path = f"{warehouse}/report_customer"
+    reports.publish_table(reports.report(star.sales, star.customers, "2023-01-01"), path)
+    register_table(spark, "gold", "report_customer", path)
+    assert [r.customer_key for r in reports.top_customers(spark, name="gold.report_customer").collect()] == [1]
+
+
+def test_checks(tables):
+    sales = tables.sales(
+        line("A", 1, None, "1"), line("B", 9, None, "1"), line("C", 9, None, "1"), line("D", None, None, "1")
+    )
+    customers = tables.customers({"customer_key": 1}, {"customer_key": 2}, {"customer_key": 2}, {"customer_key": None})
+    lost = unknown_keys(sales, customers, "customer_key").collect()
+    assert {tuple(r) for r in lost} == {(9, 2), (None, 1)}
+    assert [tuple(r) for r in repeated_keys(customers, "customer_key").collect()] == [(2, 2)]
