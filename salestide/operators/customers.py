@@ -179,16 +179,19 @@ def customer_report(
     tenure_months=labels.TENURE_MONTHS,
 ) -> DataFrame:
     """One row per customer: totals, age group, segment, recency and spending habits."""
-    total, months = F.col("total_sales"), F.col("lifespan")
+    total, months, age = F.col("total_sales"), F.col("lifespan"), F.col("age")
+    segment = labels.segment_by_months(total, months, spend_limit, tenure_months)
     order_value = round_ratio(total, F.col("total_orders").cast("decimal(20,0)"), 2)
+    per_order = F.when(total == 0, F.lit(0)).otherwise(order_value)
     monthly = round_ratio(total, months.cast("decimal(10,0)"), 2)
+    per_month = F.when(months == 0, F.round(total, 2)).otherwise(monthly)
     return customer_totals(sales, customers, as_of).select(
         *ATTRIBUTES,
-        labels.age_group(F.col("age")).alias("age_group"),
-        labels.segment_by_months(total, months, spend_limit, tenure_months).alias("customer_segment"),
+        labels.age_group(age).alias("age_group"),
+        segment.alias("customer_segment"),
         whole_months(F.col("last_order_date"), as_date(as_of)).alias("recency_months"),
-        F.when(total == 0, F.lit(0)).otherwise(order_value).cast("decimal(38,2)").alias("avg_order_value"),
-        F.when(months == 0, F.round(total, 2)).otherwise(monthly).cast("decimal(38,2)").alias("avg_monthly_spend"),
+        per_order.cast("decimal(38,2)").alias("avg_order_value"),
+        per_month.cast("decimal(38,2)").alias("avg_monthly_spend"),
         "total_orders",
         "total_sales",
         "total_quantity",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 
 from salestide.functions.numbers import round_mean
 
@@ -14,13 +15,16 @@ def dated(sales: DataFrame) -> DataFrame:
     return sales.filter(F.col("order_date").isNotNull())
 
 
-def per_period(sales: DataFrame, periods: dict[str, Column], measures: dict[str, Column]) -> DataFrame:
+Columns = dict[str, Column]
+
+
+def per_period(sales: DataFrame, periods: Columns, measures: Columns) -> DataFrame:
     """One row per period, in no particular order; each task shuffles one row per period."""
     rows = dated(sales).groupBy(*[c.alias(name) for name, c in periods.items()])
     return rows.agg(*[c.alias(name) for name, c in measures.items()])
 
 
-def distinct_per_period(sales: DataFrame, periods: dict[str, Column], item: str, name: str) -> DataFrame:
+def distinct_per_period(sales: DataFrame, periods: Columns, item: str, name: str) -> DataFrame:
     """How many different values of ``item`` each period has, NULL not counted.
 
     Values are made distinct inside the tasks first, so one that holds a large share of
@@ -34,7 +38,8 @@ def distinct_per_period(sales: DataFrame, periods: dict[str, Column], item: str,
 def side_by_side(one: DataFrame, other: DataFrame, periods: list[str]) -> DataFrame:
     """The columns of two frames that have the same periods, one row each."""
     both = one.unionByName(other, allowMissingColumns=True)
-    return both.groupBy(*periods).agg(*[F.max(c).alias(c) for c in both.columns if c not in periods])
+    others = [c for c in both.columns if c not in periods]
+    return both.groupBy(*periods).agg(*[F.max(c).alias(c) for c in others])
 
 
 def mean_price(sales: DataFrame, period: Column, places: int = 2) -> DataFrame:
@@ -52,24 +57,24 @@ def mean_price(sales: DataFrame, period: Column, places: int = 2) -> DataFrame:
     return sums.select("order_date", "total_sales", price.alias("avg_price"))
 
 
-def _so_far(order: str, reset: Column | None) -> W:
+def _so_far(reset: Column | None = None) -> WindowSpec:
     """From the first period up to the current one, within ``reset`` if given.
 
     Without ``reset`` all rows meet in one task. The input must be one row per
     calendar period, so there are at most a few thousand, whatever the sales volume.
     """
-    return W.partitionBy(*([] if reset is None else [reset])).orderBy(order)
+    return W.partitionBy(*([] if reset is None else [reset])).orderBy("order_date")
 
 
 def running_total(
-    periods: DataFrame, value: str, name: str, order: str = "order_date", reset: Column | None = None
+    periods: DataFrame, value: str, name: str, reset: Column | None = None
 ) -> DataFrame:
-    return periods.withColumn(name, F.sum(value).over(_so_far(order, reset)))
+    return periods.withColumn(name, F.sum(value).over(_so_far(reset)))
 
 
-def running_mean(periods: DataFrame, value: str, name: str, places: int, order: str = "order_date") -> DataFrame:
+def running_mean(periods: DataFrame, value: str, name: str, places: int) -> DataFrame:
     """Running mean of ``value``, computed from a running sum and count to stay exact."""
-    window = _so_far(order, None)
+    window = _so_far()
     sums = periods.withColumns(
         {"_sum": F.sum(value).over(window), "_count": F.count(value).over(window)}
     )

@@ -41,7 +41,8 @@ def typed_column(field: T.StructField) -> Column:
         value = F.when(F.length(F.rtrim(raw)) <= limit, F.substring(raw, 1, limit))
         problem = f"{field.name} is longer than {limit} characters"
     else:
-        value = _boolean(raw) if isinstance(field.dataType, T.BooleanType) else raw.try_cast(field.dataType)
+        is_boolean = isinstance(field.dataType, T.BooleanType)
+        value = _boolean(raw) if is_boolean else raw.try_cast(field.dataType)
         problem = f"{field.name} is not a valid {field.dataType.simpleString()}"
     checked = F.when(raw.isNull() | value.isNotNull(), value).otherwise(_stop(raw, problem))
     return checked.alias(field.name)

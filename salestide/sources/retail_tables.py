@@ -39,7 +39,8 @@ def sales(spark: SparkSession, folder: str, with_price: bool = False) -> DataFra
     ]
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if with_price:
-        rows = rows.join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+        part = _table(spark, folder, "part")
+        rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         columns.append(F.col("p_retailprice").cast(MONEY).alias("price"))
     return rows.select(*columns)
 
@@ -98,11 +99,9 @@ TABLES = {name: schema.with_long_keys(columns) for name, columns in schema.TABLE
 
 def _all_columns(rows: DataFrame, name: str) -> DataFrame:
     """Every declared column of the table in order, NULL where the rows have none."""
+    nothing = F.lit(None).cast("string")
     return rows.select(
-        *[
-            F.col(field.name) if field.name in rows.columns else F.lit(None).cast("string").alias(field.name)
-            for field in TABLES[name].fields
-        ]
+        *[F.col(c) if c in rows.columns else nothing.alias(c) for c in TABLES[name].names]
     )
 
 

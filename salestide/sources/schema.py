@@ -61,19 +61,18 @@ SALES_TABLE, ORDER_YEAR = "fact_sales", "order_year"
 
 def with_long_keys(columns: T.StructType) -> T.StructType:
     """The same columns with room for more than two billion keys."""
-    return T.StructType(
-        [
-            T.StructField(f.name, T.LongType() if f.name.endswith(("_key", "_id")) and f.dataType == T.IntegerType() else f.dataType)
-            for f in columns.fields
-        ]
-    )
+
+    def kind(field: T.StructField) -> T.DataType:
+        is_key = field.name.endswith(("_key", "_id"))
+        return T.LongType() if is_key and field.dataType == T.IntegerType() else field.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f)) for f in columns.fields])
 
 
 def stored(schema: T.StructType) -> T.StructType:
     """The schema as written to Parquet, where text has no declared length."""
-    return T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.VarcharType) else f.dataType)
-            for f in schema.fields
-        ]
-    )
+
+    def kind(field: T.StructField) -> T.DataType:
+        return T.StringType() if isinstance(field.dataType, T.VarcharType) else field.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f)) for f in schema.fields])

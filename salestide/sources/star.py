@@ -41,7 +41,7 @@ def open_star(
 
 
 def register_table(spark: SparkSession, database: str, name: str, path: str) -> None:
-    """Make stored Parquet known to the catalog, for SQL such as ``SELECT ... FROM gold.fact_sales``."""
+    """Make stored Parquet known to the catalog, for SQL on ``gold.fact_sales`` and the like."""
     table = f"{database}.{name}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
