@@ -11,14 +11,17 @@ from salestide.functions.numbers import round_mean, round_ratio
 from salestide.functions.text import join_text
 from salestide.operators.periods import dated
 
-# A key and a text of at most 255 characters are about 1 kB at worst, 40 bytes as a
-# rule, so a broadcast of this many rows stays below 200 MB.
-BROADCAST_ROWS = 200_000
+# Largest lookup table, in bytes of memory, that is sent to every executor.
+BROADCAST_BYTES = 128 * 1024 * 1024
 
+# What a row of a broadcast table takes beside its text.
+ROW_BYTES = 64
 
-def _fits_broadcast(rows: DataFrame, limit: int) -> bool:
-    """Whether there are at most ``limit`` rows; reads little more than that many."""
-    return rows.limit(limit + 1).count() <= limit
+
+def _broadcast_size(lookup: DataFrame, attribute: str) -> int:
+    """Bytes the lookup takes once broadcast, from its rows and the length of its text."""
+    text = F.coalesce(F.sum(F.octet_length(attribute)), F.lit(0))
+    return lookup.agg(F.count("*") * ROW_BYTES + text).first()[0]
 
 
 def sales_by_attribute(
@@ -26,14 +29,14 @@ def sales_by_attribute(
     products: DataFrame,
     attribute: str,
     also_by: dict[str, Column] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``total_sales`` per product attribute and any columns of ``also_by``.
 
     A small product table is looked up in place, and each task shuffles no more than
     one row per group. With a larger one, lines are first summed per product key, so
     that neither lines nor a hot product reach the join, which then handles one row per
-    key. The size is checked when this is called.
+    key. The size is measured when this is called, by one pass over the lookup columns.
     """
     groups = also_by or {}
     lookup = products.select(F.col("product_key").alias("_product"), attribute)
@@ -42,7 +45,7 @@ def sales_by_attribute(
         F.col("sales_amount").alias("_sales"),
         *[column.alias(name) for name, column in groups.items()],
     )
-    if _fits_broadcast(lookup, broadcast_rows):
+    if _broadcast_size(lookup, attribute) <= broadcast_bytes:
         lookup = F.broadcast(lookup)
     else:
         lines = lines.groupBy("_key", *groups).agg(F.sum("_sales").alias("_sales"))

@@ -40,16 +40,16 @@ def _sales(tables):
     )
 
 
-@pytest.mark.parametrize("limit", [0, 1000], ids=["large", "small"])
+@pytest.mark.parametrize("limit", [0, 10**6], ids=["large", "small"])
 def test_groups_do_not_depend_on_the_size_of_the_product_table(tables, limit):
-    rows = _rows(ops.sales_by_attribute(_sales(tables), _products(tables), "category", broadcast_rows=limit))
+    rows = _rows(ops.sales_by_attribute(_sales(tables), _products(tables), "category", broadcast_bytes=limit))
     # Unknown products and products without a category are one group.
     assert sorted(rows, key=str) == sorted(
         [("Parts", D(27)), ("Bikes", D("271.50")), (None, D(9))], key=str
     )
 
 
-@pytest.mark.parametrize("limit", [0, 1000], ids=["large", "small"])
+@pytest.mark.parametrize("limit", [0, 10**6], ids=["large", "small"])
 def test_repeated_product_keys_count_lines_again(tables, limit):
     products = tables.products(
         {"product_key": 1, "category": "A"},
@@ -57,13 +57,14 @@ def test_repeated_product_keys_count_lines_again(tables, limit):
         {"product_key": 1, "category": "B"},
     )
     sales = tables.sales(line("A", 1, "2011-02-01", "10.00", product=1))
-    rows = _rows(ops.sales_by_attribute(sales, products, "category", broadcast_rows=limit))
+    rows = _rows(ops.sales_by_attribute(sales, products, "category", broadcast_bytes=limit))
     assert sorted(rows) == [("A", D(20)), ("B", D(10))]
 
 
-def test_size_check_counts_up_to_the_limit(spark):
-    assert ops._fits_broadcast(spark.range(10), 10)
-    assert not ops._fits_broadcast(spark.range(11), 10)
+def test_broadcast_size_counts_rows_and_text(spark):
+    rows = spark.createDataFrame([(1, "ab"), (2, None), (3, "\u00e9")], "product_key int, name string")
+    assert ops._broadcast_size(rows, "name") == 3 * ops.ROW_BYTES + 4
+    assert ops._broadcast_size(rows.limit(0), "name") == 0
 
 
 def test_share_of_total(tables):
