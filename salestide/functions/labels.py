@@ -14,6 +14,10 @@ SPEND_LIMIT = 5000
 TENURE_DAYS = 365
 TENURE_MONTHS = 12
 VIP, REGULAR, NEW = "VIP", "Regular", "New"
+AGE_GROUPS = {20: "Under 20", 30: "20-29", 40: "30-39", 50: "40-49"}
+OLDEST = "50 and above"
+AGAINST_MEAN = ("Above Average", "Below Average", "AVG")
+AGAINST_PREVIOUS = ("Increase", "Decrease", "no change")
 
 
 def cost_range(cost: Column, edges: tuple[int, int, int] = COST_EDGES) -> Column:
@@ -52,14 +56,12 @@ def segment_by_months(
 
 
 def age_group(age: Column) -> Column:
-    return (
-        F.when(age < 20, "Under 20")
-        .when(age < 30, "20-29")
-        .when(age < 40, "30-39")
-        .when(age < 50, "40-49")
-        .otherwise("50 and above")
-    )
+    """The first group whose limit the age is below."""
+    found = [F.when(age < limit, name) for limit, name in AGE_GROUPS.items()]
+    return F.coalesce(*found, F.lit(OLDEST))
 
 
-def by_sign(difference: Column, positive: str, negative: str, otherwise: str) -> Column:
-    return F.when(difference > 0, positive).when(difference < 0, negative).otherwise(otherwise)
+def by_sign(difference: Column, names: tuple[str, str, str]) -> Column:
+    """Names for a positive difference, a negative one, and none."""
+    positive, negative, none = names
+    return F.when(difference > 0, positive).when(difference < 0, negative).otherwise(none)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from salestide.functions.labels import by_sign
+from salestide.functions.labels import AGAINST_MEAN, AGAINST_PREVIOUS, by_sign
 from salestide.functions.numbers import round_mean, round_ratio
 from salestide.functions.text import join_text
 from salestide.operators.periods import dated
@@ -100,7 +100,7 @@ def against_mean(yearly: DataFrame) -> DataFrame:
     """Adds the difference from the rounded mean and its label."""
     difference = F.col("current_year_sales") - F.col("product_avg_sales")
     return yearly.withColumn("diff_avg_sales", difference).withColumn(
-        "avg_change", by_sign(F.col("diff_avg_sales"), "Above Average", "Below Average", "AVG")
+        "avg_change", by_sign(F.col("diff_avg_sales"), AGAINST_MEAN)
     )
 
 
@@ -108,5 +108,5 @@ def against_previous(yearly: DataFrame) -> DataFrame:
     """Adds the difference from the previous year on record and its label."""
     difference = F.col("current_year_sales") - F.col("py_sales")
     return yearly.withColumn("diff_py", difference).withColumn(
-        "py_change", by_sign(F.col("diff_py"), "Increase", "Decrease", "no change")
+        "py_change", by_sign(F.col("diff_py"), AGAINST_PREVIOUS)
     )

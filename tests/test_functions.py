@@ -162,5 +162,5 @@ def test_age_groups(spark):
 
 
 def test_by_sign(spark):
-    found = _labels(spark, [(1,), (-1,), (0,), (None,)], "d int", labels.by_sign(F.col("d"), "up", "down", "same"))
+    found = _labels(spark, [(1,), (-1,), (0,), (None,)], "d int", labels.by_sign(F.col("d"), ("up", "down", "same")))
     assert found == ["up", "down", "same", "same"]
