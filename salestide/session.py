@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution merges small shuffle partitions and splits skewed ones. The number
 # of shuffle partitions is thus only an upper bound: set it for the largest shuffle,
@@ -23,3 +25,32 @@ def builder(app: str, shuffle_partitions: int | None = None) -> SparkSession.Bui
     if shuffle_partitions:
         made = made.config("spark.sql.shuffle.partitions", shuffle_partitions)
     return made
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors share, for intermediate tables.
+
+    It lies in ``spark.checkpoint.dir``; where that is unset, in the catalog's warehouse.
+    A folder of this machine alone is refused unless the session is local. The folder is
+    deleted when the driver ends.
+    """
+    place = spark.conf.get("spark.checkpoint.dir", None)
+    if not place:
+        place = spark.conf.get("spark.sql.warehouse.dir")
+        alone = place.startswith(("file:", "/"))
+        if alone and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = f"{place.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written as Parquet to a work folder and opened again.
+
+    This cuts the lineage, survives lost executors and gives Spark the real size.
+    """
+    folder = work_folder(rows.sparkSession, name)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)

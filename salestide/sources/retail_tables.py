@@ -6,12 +6,10 @@ so that lines without a customer, a product or a date occur.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salestide.session import work_folder
 from salestide.sources import schema
 from salestide.sources.csv_load import load_star
 from salestide.sources.schema import MONEY
@@ -124,21 +122,12 @@ def _full_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _all_columns(rows, name)
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="salestide-")
-
-
 def loaded(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table written as CSV, loaded from there into typed Parquet, and opened.
 
     Both copies go to a new folder in the cluster's shared folder.
     """
-    place = f"{_shared_folder(spark)}/salestide-load-{uuid.uuid4().hex}"
+    place = work_folder(spark, "load")
     _full_table(spark, folder, name).write.csv(f"{place}/csv", header=True, quote='"', escape='"')
     load_star(spark, {name: f"{place}/csv"}, place, TABLES)
     return open_table(spark, place, name, TABLES)
