@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestide.llm import chat, mixing, quality_rules
+from salestide.llm import chat, decontaminate, mixing, ngram_join, quality_rules
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -14,6 +14,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ngram_join.join(_table(spark, folder, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")
+    )
+
+
 def quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
     rows, verdict = quality_rules.judge(docs)
@@ -29,14 +36,23 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows.unionByName(more)))
 
 
+def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = (_table(spark, folder, name) for name in ("documents", "benchmark"))
+    rows = decontaminate.contaminated(docs, items)
+    names = ["n_windows", "coverage", "verbatim", "agreeing"]
+    return rows.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), *names)
+
+
 def mixture(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.mix(_table(spark, folder, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 QUERIES = {
+    "op1_shingle_join": shingle_join,
     "op2_host_quality": quality,
     "op6_chat_format": chat_format,
+    "op7_benchmark_leaks": benchmark_leaks,
     "op9_pivotal_mix": mixture,
 }
 
