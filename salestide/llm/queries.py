@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salestide.llm import chat, decontaminate, mixing, ngram_join, quality_rules
+from salestide.llm import (
+    chat,
+    decontaminate,
+    html_extract,
+    license_scan,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality_rules,
+    sanitise,
+    warc,
+)
 
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -43,6 +54,41 @@ def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), *names)
 
 
+def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    rows = line_dedup.removed_lines(docs)
+    return rows.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", "removed")
+
+
+def licenses(spark: SparkSession, folder: str) -> DataFrame:
+    rows = license_scan.scan(_table(spark, folder, "documents"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = sanitise.find(_table(spark, folder, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind) for kind in sanitise.KINDS],
+        F.sha2(sanitise.written("base"), 256).alias("base_sha256"),
+        sanitise.written("all").alias("spans"),
+    )
+
+
+def page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_pages(_table(spark, folder, "pages"))
+
+
+def warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = warc.derivatives(warc.responses(_table(spark, folder, "pages")))
+    length = F.octet_length("record").cast("long").alias("record_length")
+    return rows.select(*[c for c in rows.columns if c != "record"], length)
+
+
 def mixture(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.mix(_table(spark, folder, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -51,9 +97,14 @@ def mixture(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_shingle_join": shingle_join,
     "op2_host_quality": quality,
+    "op3_license_scan": licenses,
+    "op4_personal_data": personal_data,
+    "op5_page_text": page_text,
     "op6_chat_format": chat_format,
     "op7_benchmark_leaks": benchmark_leaks,
+    "op8_fuzzy_lines": fuzzy_lines,
     "op9_pivotal_mix": mixture,
+    "op10_warc_derivatives": warc_derivatives,
 }
 
 SQL: dict[str, str] = {}
