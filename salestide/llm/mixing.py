@@ -24,11 +24,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from salestide.llm.rows import named
+from salestide.llm.rows import fresh, named
 from salestide.session import stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -114,6 +114,11 @@ def source_targets(
     return own.select("source", F.col("source_size").cast("long"), target.alias("target"))
 
 
+def text_size(text: Column) -> Column:
+    """Words of a text, 0 for NULL."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
+
+
 def mix(
     docs: DataFrame,
     id: str = "doc_id",
@@ -125,10 +130,8 @@ def mix(
     seed: int = 7,
 ) -> DataFrame:
     """``id, source, size, source_size, target, copies, taken`` for every document."""
-    text_size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)).cast("long"), F.lit(0))
-    sizes = named(docs, id=id, source=source, text=text).select(
-        "id", "source", text_size.cast("long").alias("size")
-    )
+    sizes = named(docs, id=id, source=source, text=text)
+    sizes = sizes.select("id", "source", text_size(F.col("text")).alias("size"))
     sizes = stored(sizes, "sizes")
     targets = source_targets(sizes, weights, share, most)
     keyed = targets.select(F.col("source").alias("_source"), "source_size", "target")
@@ -186,3 +189,17 @@ def _rounded(parts: DataFrame, documents: int, seed: int) -> DataFrame:
         blocks = -(-blocks // FAN_IN)
         rows = state.filter(is_open).withColumn("level", F.floor(F.col("level") / FAN_IN))
         turn += 1
+
+
+def take(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options
+) -> DataFrame:
+    """The documents that the mix takes, with their columns and the number of ``copies``."""
+    rows = mix(docs, id, text, source, **options).filter(F.col("copies") > 0)
+    names = {c: fresh(docs, f"_{c}") for c in ("id", "source", "size")}
+    copies = fresh(docs, "copies")
+    rows = rows.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("copies").alias(copies))
+    rows = stored(rows.distinct(), "taken")
+    same = docs[id].eqNullSafe(rows[names["id"]]) & docs[source].eqNullSafe(rows[names["source"]])
+    same = same & (text_size(docs[text]) == rows[names["size"]])
+    return docs.join(rows, same).select(*[docs[c] for c in docs.columns], rows[copies])

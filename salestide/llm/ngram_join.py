@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salestide.llm.components import components
-from salestide.llm.rows import named
+from salestide.llm.rows import fresh, named
 from salestide.llm.shingles import code_sets, mix
 from salestide.session import stored
 
@@ -107,11 +107,12 @@ def _features(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
+                    batch.column("copy"),
                     pa.array(sizes, pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["id", "n_shingles", "node", "cells"],
+                ["id", "copy", "n_shingles", "node", "cells"],
             )
 
     return features
@@ -319,16 +320,14 @@ def join(
     measure: Measure | None = None,
     codes_per_chunk: int = CHUNK_CODES,
 ) -> DataFrame:
-    """``id, n_shingles, component`` for every row."""
+    """``id, copy, n_shingles, component`` for every row; ``copy`` is a hash of the text,
+    which tells rows apart that share an id."""
     measure = measure or Measure()
     own = named(docs, id=id, text=text)
     kind = own.schema["id"].dataType.simpleString()
-    features = stored(
-        own.mapInArrow(
-            _features(measure), f"id {kind}, n_shingles long, node long, cells array<long>"
-        ),
-        "shingle-cells",
-    )
+    marked = own.withColumn("copy", F.xxhash64("text"))
+    schema = f"id {kind}, copy long, n_shingles long, node long, cells array<long>"
+    features = stored(marked.mapInArrow(_features(measure), schema), "shingle-cells")
     keyed = features.select(F.explode("cells").alias("cell"), "node")
     roots = keyed.groupBy(F.col("cell").alias("_cell")).agg(
         F.min("node").alias("root"), F.max("node").alias("_last")
@@ -359,9 +358,25 @@ def _labelled(features: DataFrame, hung: DataFrame) -> DataFrame:
     """The smallest id of each row's component; its own id where it has no set."""
     hung = hung.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     rows = features.join(hung, F.col("node") == F.col("_node"), "left")
-    rows = rows.select("id", "n_shingles", F.coalesce("_root", "node").alias("top"))
+    rows = rows.select("id", "copy", "n_shingles", F.coalesce("_root", "node").alias("top"))
     least = rows.filter("top is not null").groupBy(F.col("top").alias("_top"))
     least = least.agg(F.min("id").alias("least"))
     component = F.coalesce("least", "id").alias("component")
     joined = rows.join(least, F.col("top") == F.col("_top"), "left")
-    return joined.select("id", "n_shingles", component)
+    return joined.select("id", "copy", "n_shingles", component)
+
+
+def keep_one(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", measure: Measure | None = None
+) -> DataFrame:
+    """Of each component the document with the smallest id, with its columns.
+
+    Documents without words stay. Rows that repeat id and text stay or go together.
+    """
+    rows = join(docs, id, text, measure or Measure(width=5, part=80))
+    one, two = fresh(docs, "_id"), fresh(docs, "_copy")
+    gone = rows.filter(F.col("id") != F.col("component"))
+    gone = gone.select(F.col("id").alias(one), F.col("copy").alias(two)).distinct()
+    gone = stored(gone, "near-copies")
+    same = (docs[id] == gone[one]) & (F.xxhash64(docs[text]) == gone[two])
+    return docs.join(gone, same, "left_anti")
