@@ -105,6 +105,7 @@ PRICES = f"""prices AS (
          {_half_up(_cents('sum(price)'), 'count(price)')} AS mean_cents
   FROM sales WHERE order_date IS NOT NULL GROUP BY {YEAR_START})"""
 
+# The label texts here and below are those of salestide/functions/labels.py.
 RANGES = """ranges AS (
   SELECT *, CASE WHEN cost < 100 THEN 'Below 100' WHEN cost BETWEEN 100 AND 500 THEN '100-500'
                  WHEN cost BETWEEN 500 AND 1000 THEN '500-1000' ELSE 'Above 1000' END AS cost_range

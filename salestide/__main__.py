@@ -2,6 +2,7 @@
 
     python -m salestide load --warehouse W --customers C.csv --products P.csv --sales S.csv
     python -m salestide run perf_yoy report_customer --warehouse W --output R
+    python -m salestide publish gold.report_customer --warehouse W
     python -m salestide list
 """
 
@@ -9,11 +10,16 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from salestide.functions import labels
+from salestide.plans import reports
 from salestide.plans.catalog import ANALYSES, Options
 from salestide.session import builder
+from salestide.sources.checks import repeated_keys, unknown_keys
 from salestide.sources.csv_load import load_star
-from salestide.sources.star import open_star
+from salestide.sources.star import open_star, register_star
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -30,16 +36,44 @@ def _arguments() -> argparse.ArgumentParser:
     run.add_argument("names", nargs="+", choices=list(ANALYSES), metavar="NAME")
     run.add_argument("--warehouse", required=True)
     run.add_argument("--output", help="folder for Parquet results; without it rows are shown")
-    run.add_argument("--rows", type=int, default=100, help="how many rows to show")
-    run.add_argument("--as-of", help="day for ages and recency, the current date by default")
-    run.add_argument("--spend-limit", type=int, default=labels.SPEND_LIMIT)
-    run.add_argument("--tenure-days", type=int, default=labels.TENURE_DAYS)
-    run.add_argument("--tenure-months", type=int, default=labels.TENURE_MONTHS)
+    run.add_argument("--rows", type=int, help="show only so many rows; all by default")
+
+    publish = commands.add_parser(
+        "publish", help="store the customer report in the session's catalog, beside the tables"
+    )
+    publish.add_argument("name", help="database and table, such as gold.report_customer")
+    publish.add_argument("--warehouse", required=True)
+
+    for command in (run, publish):
+        command.add_argument("--as-of", help="day for ages and recency, the current date by default")
+        command.add_argument("--spend-limit", type=int, default=labels.SPEND_LIMIT)
+        command.add_argument("--tenure-days", type=int, default=labels.TENURE_DAYS)
+        command.add_argument("--tenure-months", type=int, default=labels.TENURE_MONTHS)
 
     commands.add_parser("list", help="name the analyses")
     return parser
 
 
+def _show(rows: DataFrame, count: int | None) -> None:
+    """All rows as tab-separated lines, one partition at a time, or a table of a few."""
+    if count is not None:
+        rows.show(count, truncate=False)
+        return
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
+def _report_faults(spark: SparkSession, warehouse: str) -> None:
+    """Keys that the loaded tables share or lack. The analyses accept both."""
+    star = open_star(spark, warehouse)
+    for dimension, key in ((star.customers, "customer_key"), (star.products, "product_key")):
+        repeated = repeated_keys(dimension, key).count()
+        unknown = unknown_keys(star.sales, dimension, key)
+        keys, lines = unknown.agg(F.count("*"), F.sum("lines")).first()
+        print(f"{key}: {repeated} repeated, {keys} unknown in {lines or 0} lines")
+
+
 def main(words: list[str] | None = None) -> None:
     given = _arguments().parse_args(words)
     if given.command == "list":
@@ -54,17 +88,23 @@ def main(words: list[str] | None = None) -> None:
             "fact_sales": given.sales,
         }
         load_star(spark, files, given.warehouse, multi_line=given.multi_line)
+        _report_faults(spark, given.warehouse)
         return
 
     options = Options(given.as_of, given.spend_limit, given.tenure_days, given.tenure_months)
     star = open_star(spark, given.warehouse)
+    if given.command == "publish":
+        database = given.name.rpartition(".")[0] or "default"
+        register_star(spark, given.warehouse, database)
+        reports.publish_table(ANALYSES["report_customer"](star, options), given.name)
+        return
     for name in given.names:
         result = ANALYSES[name](star, options)
         if given.output:
             result.write.mode("overwrite").parquet(f"{given.output}/{name}")
         else:
             print(name)
-            result.show(given.rows, truncate=False)
+            _show(result, given.rows)
 
 
 if __name__ == "__main__":

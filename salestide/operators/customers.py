@@ -125,6 +125,10 @@ def customer_totals(sales: DataFrame, customers: DataFrame, as_of=None) -> DataF
     spread by order or product, so neither one customer with a third of all lines nor
     the group of unknown customers is a hot spot, and no line reaches a join. Rows are
     combined again before each later shuffle. Names and ages join last.
+
+    ``sales`` is read twice, once for orders and once for products. Stored tables are
+    read with the needed columns only; store a derived frame first, or it is computed
+    twice.
     """
     lines = dated(sales).withColumnRenamed("customer_key", "_key")
     orders = lines.groupBy("_key", "order_number").agg(

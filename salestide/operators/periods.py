@@ -8,11 +8,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
 
 from salestide.functions.numbers import round_mean
+from salestide.sources.schema import ORDER_YEAR
 
 
 def dated(sales: DataFrame) -> DataFrame:
-    """Lines with an order date; the filter reaches the Parquet scan."""
-    return sales.filter(F.col("order_date").isNotNull())
+    """Lines with an order date; the filter reaches the Parquet scan. Stored sales are
+    also filtered by their year, so that the folder of undated lines is not opened."""
+    lines = sales.filter(F.col("order_date").isNotNull())
+    return lines.filter(F.col(ORDER_YEAR).isNotNull()) if ORDER_YEAR in sales.columns else lines
 
 
 Columns = dict[str, Column]

@@ -11,32 +11,17 @@ from salestide.functions.numbers import round_mean, round_ratio
 from salestide.functions.text import join_text
 from salestide.operators.periods import dated
 
-# Largest lookup table, in bytes of memory, that is sent to every executor.
-BROADCAST_BYTES = 128 * 1024 * 1024
-
-# What a row of a broadcast table takes beside its text.
-ROW_BYTES = 64
-
-
-def _broadcast_size(lookup: DataFrame, attribute: str) -> int:
-    """Bytes the lookup takes once broadcast, from its rows and the length of its text."""
-    text = F.coalesce(F.sum(F.octet_length(attribute)), F.lit(0))
-    return lookup.agg(F.count("*") * ROW_BYTES + text).first()[0]
-
-
 def sales_by_attribute(
     sales: DataFrame,
     products: DataFrame,
     attribute: str,
     also_by: dict[str, Column] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``total_sales`` per product attribute and any columns of ``also_by``.
 
-    A small product table is looked up in place, and each task shuffles no more than
-    one row per group. With a larger one, lines are first summed per product key, so
-    that neither lines nor a hot product reach the join, which then handles one row per
-    key. The size is measured when this is called, by one pass over the lookup columns.
+    Lines are first summed per product key, so that neither lines nor a hot product reach
+    the join, which handles one row per key. Whether it broadcasts is left to Spark, which
+    measures the tables when it runs. Nothing runs when this is called.
     """
     groups = also_by or {}
     lookup = products.select(F.col("product_key").alias("_product"), attribute)
@@ -45,12 +30,11 @@ def sales_by_attribute(
         F.col("sales_amount").alias("_sales"),
         *[column.alias(name) for name, column in groups.items()],
     )
-    if _broadcast_size(lookup, attribute) <= broadcast_bytes:
-        lookup = F.broadcast(lookup)
-    else:
-        lines = lines.groupBy("_key", *groups).agg(F.sum("_sales").alias("_sales"))
-    joined = lines.join(lookup, F.col("_key") == F.col("_product"), "left")
-    return joined.groupBy(*groups, attribute).agg(F.sum("_sales").alias("total_sales"))
+    sums = lines.groupBy("_key", *groups).agg(F.sum("_sales").alias("_sales"))
+    joined = sums.join(lookup, F.col("_key") == F.col("_product"), "left")
+    # The sum of sums has the type of a single sum.
+    total = F.sum("_sales").cast(sums.schema["_sales"].dataType)
+    return joined.groupBy(*groups, attribute).agg(total.alias("total_sales"))
 
 
 def share_of_total(groups: DataFrame, value: str) -> DataFrame:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from salestide.functions import labels
+from salestide.operators.customers import customer_totals
+from salestide.operators.products import yearly_product_sales
 from salestide.plans import cumulative, performance, reports, segments, shares, trends
 from salestide.sources.star import Star
 
@@ -34,12 +36,6 @@ def _report(star: Star, opt: Options) -> DataFrame:
     return reports.report(star.sales, star.customers, opt.as_of, **opt.by_months)
 
 
-def _top_customers(star: Star, opt: Options) -> DataFrame:
-    report = _report(star, opt)
-    reports.publish_view(report)
-    return reports.top_customers(report.sparkSession)
-
-
 Analysis = Callable[[Star, Options], DataFrame]
 
 ANALYSES: dict[str, Analysis] = {
@@ -63,16 +59,16 @@ ANALYSES: dict[str, Analysis] = {
     "seg_customer_labels": lambda s, o: segments.customer_labels(s.sales, s.customers, **o.by_days),
     "seg_customer_counts": lambda s, o: segments.customer_counts(s.sales, s.customers, **o.by_days),
     "share_by_category": lambda s, o: shares.by_category(s.sales, s.products),
-    "perf_yearly_product": lambda s, o: performance.yearly(s.sales, s.products),
+    "perf_yearly_product": lambda s, o: yearly_product_sales(s.sales, s.products),
     "perf_vs_avg": lambda s, o: performance.mean(s.sales, s.products),
     "perf_vs_avg_diff": lambda s, o: performance.mean_difference(s.sales, s.products),
     "perf_vs_avg_label": lambda s, o: performance.mean_label(s.sales, s.products),
     "perf_prev_year": lambda s, o: performance.previous_year(s.sales, s.products),
     "perf_yoy": lambda s, o: performance.year_on_year(s.sales, s.products),
     "report_base": lambda s, o: reports.base(s.sales, s.customers, o.as_of),
-    "report_customer_agg": lambda s, o: reports.totals(s.sales, s.customers, o.as_of),
+    "report_customer_agg": lambda s, o: customer_totals(s.sales, s.customers, o.as_of),
     "report_customer": _report,
-    "report_top_customers": _top_customers,
+    "report_top_customers": lambda s, o: reports.top_customers(_report(s, o)),
 }
 
 # The only analyses that read the price column.

@@ -34,10 +34,6 @@ def _in_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy(F.asc_nulls_last("product_name"), F.asc("order_year"))
 
 
-def yearly(sales: DataFrame, products: DataFrame) -> DataFrame:
-    return yearly_product_sales(sales, products)
-
-
 def mean(sales: DataFrame, products: DataFrame) -> DataFrame:
     rows = with_mean(_by_name(sales, products))
     return _in_order(rows.select(*SALES, "product_avg_sales"))

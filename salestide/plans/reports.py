@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salestide.operators.customers import (
     ATTRIBUTES,
     customer_report,
-    customer_totals,
     dated_lines,
 )
 
@@ -21,26 +22,33 @@ def base(sales: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def totals(sales: DataFrame, customers: DataFrame, as_of=None) -> DataFrame:
-    return customer_totals(sales, customers, as_of)
-
-
-def report(sales: DataFrame, customers: DataFrame, as_of=None, **limits) -> DataFrame:
-    return customer_report(sales, customers, as_of, **limits)
+report = customer_report
 
 
 def publish_view(report_rows: DataFrame, name: str = VIEW) -> None:
-    """Register the report as a view. Nothing is stored: ages and recency follow the
-    current date unless the report was built with a fixed ``as_of``."""
+    """Register the report as a view of this session. Nothing is stored: ages and recency
+    follow the current date unless the report was built with a fixed ``as_of``."""
     report_rows.createOrReplaceTempView(name)
 
 
-def publish_table(report_rows: DataFrame, path: str) -> None:
-    """Write the report as Parquet, which freezes its ages and recency."""
-    report_rows.write.mode("overwrite").parquet(path)
+def publish_table(report_rows: DataFrame, name: str) -> None:
+    """Store the report as the catalog's table ``database.name``, for every session that
+    shares the catalog. Ages and recency are those of the day; publish again to renew them.
+
+    The rows are written to a table of their own first, so a report that fails leaves the
+    published one as it is, and readers of it are not cut off for long.
+    """
+    spark = report_rows.sparkSession
+    database, _, table = name.rpartition(".")
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    fresh = f"{name}_{uuid.uuid4().hex}"
+    report_rows.write.saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 
 
-def top_customers(spark: SparkSession, count: int = 20, name: str = VIEW) -> DataFrame:
-    """The published report's rows with the highest sales; ties go by customer key."""
+def top_customers(report_rows: DataFrame, count: int = 20) -> DataFrame:
+    """The report's rows with the highest sales; ties go by customer key."""
     best = [F.desc_nulls_first("total_sales"), F.asc_nulls_last("customer_key")]
-    return spark.table(name).orderBy(*best).limit(count)
+    return report_rows.orderBy(*best).limit(count)

@@ -6,6 +6,7 @@ message instead of turning into NULL, whatever the session's ANSI setting is.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,9 @@ from salestide.sources import schema
 TRUE_TEXT = ("true", "tru", "tr", "t", "yes", "ye", "y", "on", "1")
 FALSE_TEXT = ("false", "fals", "fal", "fa", "f", "no", "n", "off", "of", "0")
 
+# A whole date and nothing else; a cast alone would also take 2010, 2010-12 or a time.
+DATE = "^[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}$"
+
 # What the parser hands over for a blank field. A character that text does not hold
 # keeps a blank (NULL) and "" (empty text) apart.
 NULL_MARK = "\u0001"
@@ -41,8 +45,11 @@ def typed_column(field: T.StructField) -> Column:
         value = F.when(F.length(F.rtrim(raw)) <= limit, F.substring(raw, 1, limit))
         problem = f"{field.name} is longer than {limit} characters"
     else:
-        is_boolean = isinstance(field.dataType, T.BooleanType)
-        value = _boolean(raw) if is_boolean else raw.try_cast(field.dataType)
+        value = raw.try_cast(field.dataType)
+        if isinstance(field.dataType, T.BooleanType):
+            value = _boolean(raw)
+        elif isinstance(field.dataType, T.DateType):
+            value = F.when(F.trim(raw).rlike(DATE), F.trim(raw).try_cast(field.dataType))
         problem = f"{field.name} is not a valid {field.dataType.simpleString()}"
     checked = F.when(raw.isNull() | value.isNotNull(), value).otherwise(_stop(raw, problem))
     return checked.alias(field.name)
@@ -86,6 +93,24 @@ def write_table(rows: DataFrame, warehouse: str, name: str) -> None:
     writer.mode("overwrite").parquet(target)
 
 
+def _swap(spark: SparkSession, staged: Mapping[str, str]) -> None:
+    """Put staged folders in the place of tables, given as ``{table folder: staged folder}``.
+
+    Every old folder is moved aside before its successor moves in, and deleted at the end.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = {name: hadoop.Path(name) for pair in staged.items() for name in pair}
+    aside = {target: hadoop.Path(f"{new}-old") for target, new in staged.items()}
+    files = {target: path[target].getFileSystem(spark._jsc.hadoopConfiguration()) for target in staged}
+    for target, new in staged.items():
+        if files[target].exists(path[target]):
+            files[target].rename(path[target], aside[target])
+        if not files[target].rename(path[new], path[target]):
+            raise OSError(f"{new} could not be moved to {target}")
+    for target in staged:
+        files[target].delete(aside[target], True)
+
+
 def load_star(
     spark: SparkSession,
     files: Mapping[str, str],
@@ -93,7 +118,23 @@ def load_star(
     tables: Mapping[str, T.StructType] = schema.TABLES,
     multi_line: bool = False,
 ) -> None:
-    """Load CSV files, given as ``{table name: path}``, replacing what was there."""
+    """Load CSV files, given as ``{table name: path}``, replacing what was there.
+
+    All tables are written beside the old ones first. A bad value in any of them stops the
+    load with the old tables as they were.
+    """
+    mark = f".new-{uuid.uuid4().hex}"
+    staged = {}
     for name, columns in tables.items():
         if name in files:
-            write_table(read_csv(spark, files[name], columns, multi_line), warehouse, name)
+            try:
+                write_table(read_csv(spark, files[name], columns, multi_line), f"{warehouse}/{mark}", name)
+            except Exception as problem:
+                if "MALFORMED" in str(problem) and not multi_line:
+                    hint = "a quoted line break needs multi_line (--multi-line)"
+                    raise ValueError(f"{files[name]} has a malformed row; {hint}") from problem
+                raise
+            staged[f"{warehouse}/{name}"] = f"{warehouse}/{mark}/{name}"
+    _swap(spark, staged)
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse}/{mark}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

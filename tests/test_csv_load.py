@@ -92,6 +92,11 @@ def test_blanks_beyond_the_declared_length_are_cut(spark, tmp_path):
         "1,,,,,,,,12345678901.00,,",
         "1,,,,,,,,cheap,,",
         "1,,,,,,,,,,2020-13-01",
+        "1,,,,,,,,,,2010",
+        "1,,,,,,,,,,2010-12",
+        "1,,,,,,,,,,2010-12-29 rubbish",
+        "1,,,,,,,,,,2010-12-29Tfoo",
+        "1,,,,,,,,,,2010-12-29 00:00:00",
         f"1,,,,{'x' * 21},,,,,,",
         "1,2,3",
         "1,,,,,,,,,,,,extra",
@@ -173,10 +178,31 @@ def test_registered_tables_answer_sql(spark, tmp_path):
     assert spark.table("gold.fact_sales").count() == 3
 
     star = open_star(spark, warehouse)
-    path = f"{warehouse}/report_customer"
-    reports.publish_table(reports.report(star.sales, star.customers, "2023-01-01"), path)
-    register_table(spark, "gold", "report_customer", path)
-    assert [r.customer_key for r in reports.top_customers(spark, name="gold.report_customer").collect()] == [1]
+    reports.publish_table(reports.report(star.sales, star.customers, "2023-01-01"), "gold.report_customer")
+    best = reports.top_customers(spark.table("gold.report_customer"))
+    assert [r.customer_key for r in best.collect()] == [1]
+
+
+def test_a_failed_load_leaves_the_old_tables(spark, tmp_path):
+    warehouse = str(tmp_path / "warehouse")
+    load_star(spark, _star_files(tmp_path), warehouse)
+    before = [sorted(map(tuple, t.collect()), key=str) for t in open_star(spark, warehouse)]
+    (tmp_path / "bad").mkdir()
+    with pytest.raises(Exception, match="sales_amount is not a valid"):
+        load_star(spark, _star_files(tmp_path / "bad", amount="much"), warehouse)
+    assert [sorted(map(tuple, t.collect()), key=str) for t in open_star(spark, warehouse)] == before
+    (tmp_path / "good").mkdir()
+    load_star(spark, _star_files(tmp_path / "good", amount="6.00"), warehouse)
+    assert {r.sales_amount for r in open_star(spark, warehouse).sales.collect()} == {Decimal("6.00")}
+    assert not [p.name for p in (tmp_path / "warehouse").iterdir() if "old" in p.name]
+
+
+def test_a_quoted_line_break_says_what_it_needs(spark, tmp_path):
+    files = _star_files(tmp_path)
+    files["dim_products"] = _file(tmp_path, "p2.csv", PRODUCT_HEADER, '1,2,a,"two\nlines",c,d,e,Yes,1,f,2020-01-01')
+    with pytest.raises(Exception, match="multi_line"):
+        load_star(spark, files, str(tmp_path / "w2"))
+    load_star(spark, files, str(tmp_path / "w2"), multi_line=True)
 
 
 def test_checks(tables):

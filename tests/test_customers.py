@@ -7,8 +7,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from salestide.operators.customers import ATTRIBUTES, dated_lines
+from salestide.operators.customers import ATTRIBUTES, customer_totals, dated_lines
 from salestide.plans import reports, segments
+from salestide.plans.catalog import ANALYSES, Options
+from salestide.sources.star import Star
 from tests.conftest import line
 
 D = Decimal
@@ -175,28 +177,43 @@ def test_totals_equal_the_plain_grouping(tables, seed):
         for k in (0, 1, 2, 3, 4, 5, 6, 6, 7)
     ]
     customers = tables.customers(*people, people[0], people[1], people[1])
-    ours = reports.totals(sales, customers, AS_OF).drop("lifespan")
+    ours = customer_totals(sales, customers, AS_OF).drop("lifespan")
     plain = _plain_totals(sales, customers).select(ours.columns)
     assert sorted(_rows(ours), key=str) == sorted(_rows(plain), key=str)
 
 
-def test_published_report(spark, tables, tmp_path):
+def test_published_report(spark, tables):
     sales, customers = _sales(tables), _customers(tables)
-    reports.publish_view(reports.report(sales, customers, AS_OF))
-    best = reports.top_customers(spark, 2)
+    report = reports.report(sales, customers, AS_OF)
+    reports.publish_view(report)
+    best = reports.top_customers(spark.table("report_customer"), 2)
     assert [(r.customer_key, r.total_sales) for r in best.collect()] == [(4, D(6001)), (1, D(5000))]
     # Publishing again replaces the view.
-    reports.publish_view(reports.report(sales, customers, AS_OF).filter("customer_key = 2"))
-    assert [r.customer_key for r in reports.top_customers(spark).collect()] == [2]
+    reports.publish_view(report.filter("customer_key = 2"))
+    assert [r.customer_key for r in reports.top_customers(spark.table("report_customer")).collect()] == [2]
 
-    path = str(tmp_path / "report")
-    for _ in range(2):
-        reports.publish_table(reports.report(sales, customers, AS_OF), path)
-    stored = spark.read.parquet(path)
-    assert sorted(_rows(stored), key=str) == sorted(_rows(reports.report(sales, customers, AS_OF)), key=str)
+
+def test_the_report_is_a_table_that_other_sessions_query(spark, tables):
+    sales, customers = _sales(tables), _customers(tables)
+    report = reports.report(sales, customers, AS_OF)
+    for rows in (report.limit(1), report):
+        reports.publish_table(rows, "published.report_customer")
+    other = spark.newSession()
+    best = other.sql("SELECT * FROM published.report_customer ORDER BY total_sales DESC LIMIT 20")
+    assert _rows(best) == _rows(reports.top_customers(report))
+    with pytest.raises(Exception):
+        reports.publish_table(report.selectExpr("raise_error('no') AS bad"), "published.report_customer")
+    assert other.table("published.report_customer").count() == report.count()
+
+
+def test_an_analysis_leaves_the_views_of_the_session_alone(spark, tables):
+    star = Star(_sales(tables), _customers(tables), tables.products())
+    reports.publish_view(reports.report(star.sales, star.customers, AS_OF).filter("customer_key = 2"))
+    assert ANALYSES["report_top_customers"](star, Options(AS_OF, 1, 1, 1)).count() > 1
+    assert [r.customer_key for r in spark.table("report_customer").collect()] == [2]
 
 
 def test_top_customers_breaks_ties_by_key_and_puts_missing_sums_first(spark):
     rows = [(3, D(5)), (None, D(5)), (1, D(5)), (2, None), (4, D(9))]
-    spark.createDataFrame(rows, "customer_key int, total_sales decimal(12,2)").createOrReplaceTempView("ties")
-    assert [r.customer_key for r in reports.top_customers(spark, 4, "ties").collect()] == [2, 4, 1, 3]
+    ties = spark.createDataFrame(rows, "customer_key int, total_sales decimal(12,2)")
+    assert [r.customer_key for r in reports.top_customers(ties, 4).collect()] == [2, 4, 1, 3]

@@ -7,6 +7,7 @@ import pytest
 from salestide.operators import products as ops
 from salestide.plans import performance, segments, shares
 from tests.conftest import line
+from tests.test_scale import settings
 
 D = Decimal
 
@@ -40,33 +41,43 @@ def _sales(tables):
     )
 
 
-@pytest.mark.parametrize("limit", [0, 10**6], ids=["large", "small"])
-def test_groups_do_not_depend_on_the_size_of_the_product_table(tables, limit):
-    rows = _rows(ops.sales_by_attribute(_sales(tables), _products(tables), "category", broadcast_bytes=limit))
+@pytest.mark.parametrize("limit", ["-1", "10m"], ids=["shuffled", "broadcast"])
+def test_values_and_types_do_not_depend_on_the_join(spark, tables, limit):
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": limit}):
+        frame = ops.sales_by_attribute(_sales(tables), _products(tables), "category")
+        rows = _rows(frame)
+        types = frame.dtypes
+        steps = [t for _, t in performance.year_on_year(_sales(tables), _products(tables)).dtypes]
+    assert types[1] == ("total_sales", "decimal(22,2)")
+    assert steps[2] == "decimal(22,2)"
     # Unknown products and products without a category are one group.
     assert sorted(rows, key=str) == sorted(
         [("Parts", D(27)), ("Bikes", D("271.50")), (None, D(9))], key=str
     )
 
 
-@pytest.mark.parametrize("limit", [0, 10**6], ids=["large", "small"])
-def test_repeated_product_keys_count_lines_again(tables, limit):
+def test_building_an_analysis_starts_no_job(spark, tables):
+    sales, products = _sales(tables), _products(tables)
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    try:
+        shares.by_category(sales, products)
+        performance.year_on_year(sales, products)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_repeated_product_keys_count_lines_again(tables):
     products = tables.products(
         {"product_key": 1, "category": "A"},
         {"product_key": 1, "category": "A"},
         {"product_key": 1, "category": "B"},
     )
     sales = tables.sales(line("A", 1, "2011-02-01", "10.00", product=1))
-    rows = _rows(ops.sales_by_attribute(sales, products, "category", broadcast_bytes=limit))
+    rows = _rows(ops.sales_by_attribute(sales, products, "category"))
     assert sorted(rows) == [("A", D(20)), ("B", D(10))]
 
 
-def test_broadcast_size_counts_rows_and_text(spark):
-    rows = spark.createDataFrame([(1, "ab"), (2, None), (3, "\u00e9")], "product_key int, name string")
-    assert ops._broadcast_size(rows, "name") == 3 * ops.ROW_BYTES + 4
-    assert ops._broadcast_size(rows.limit(0), "name") == 0
-
-
 def test_share_of_total(tables):
     rows = _rows(shares.by_category(_sales(tables), _products(tables)))
     assert rows == [
@@ -117,7 +128,7 @@ def test_each_performance_step_adds_columns_to_the_last(tables):
     for step in steps:
         frame = step(sales, products)
         assert _rows(frame) == _rows(full.select(frame.columns))
-    yearly = performance.yearly(sales, products)
+    yearly = ops.yearly_product_sales(sales, products)
     assert sorted(_rows(yearly), key=str) == sorted(_rows(full.select(yearly.columns)), key=str)
 
 
