@@ -1,0 +1,136 @@
+"""Plain versions of what the operators compute, for comparison."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+FOLDER = "/root/testdata/sf0.001"
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def shingles(text, width):
+    found = words((text or "").translate(LOWER))
+    if len(found) < width:
+        return {tuple(found)} if found else set()
+    return {tuple(found[i : i + width]) for i in range(len(found) - width + 1)}
+
+
+def classes(count, links):
+    """For 0..count-1 the smallest member of each one's class."""
+    top = list(range(count))
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        top[b] = a
+    return [root(x) for x in range(count)]
+
+
+def similar(sets, percent):
+    """Pairs of indices whose sets reach the Jaccard index in percent."""
+    where = defaultdict(list)
+    for i, own in enumerate(sets):
+        for one in own:
+            where[one].append(i)
+    both = Counter()
+    for members in where.values():
+        for k, a in enumerate(members):
+            for b in members[k + 1 :]:
+                both[a, b] += 1
+    return [
+        (a, b)
+        for (a, b), n in both.items()
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)
+    ]
+
+
+def quality(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    text = text or ""
+    found = words(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            dup += line in seen
+            seen.add(line)
+    windows = Counter(tuple(found[i : i + 3]) for i in range(len(found) - 2))
+    inside = {
+        i + k
+        for i in range(len(found) - 2)
+        if windows[tuple(found[i : i + 3])] > 1
+        for k in range(3)
+    }
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(found), sum(map(len, found)), symbols, dup, len(inside)
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, digit in enumerate(reversed(digits)):
+        value = int(digit) * (1 + i % 2)
+        total += value - 9 * (value > 9)
+    return total % 10 == 0
+
+
+def valid(kind, found):
+    digits = re.sub("[^0-9]", "", found)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in found.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        return 10 <= len(digits) <= 15
+    return True
+
+
+def personal(text):
+    """Counts by kind and the digest of all spans."""
+    found = [
+        (m.start(), order, kind, m.end())
+        for order, (kind, pattern) in enumerate(PATTERNS.items())
+        for m in re.finditer(pattern, text or "")
+        if valid(kind, m.group())
+    ]
+    said = ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in sorted(found))
+    counts = [sum(kind == k for _, _, k, _ in found) for kind in PATTERNS]
+    return (*counts, hashlib.sha256(said.encode()).hexdigest())
+
+
+PHRASES = {
+    "gnu general public license": "gpl",
+    "apache license": "apache",
+    "cc by": "cc-by",
+    "mit license": "mit",
+}
+
+
+def licenses(text):
+    """n_words, n_base, first_word, last_word, base_labels."""
+    found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    places, labels = [], set()
+    for phrase, label in PHRASES.items():
+        own = phrase.split()
+        for i in range(len(found)):
+            if found[i : i + len(own)] == own:
+                places.append(i)
+                labels.add(label)
+    ends = (min(places), max(places)) if places else (None, None)
+    return (len(found), len(places), *ends, ",".join(sorted(labels)))

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from salestide.llm import ngram_join, queries
+from salestide.llm.components import components
+from salestide.llm.ngram_join import Join, Measure, cell_keys
+from salestide.llm.shingles import code_sets
+from tests.llm import plain
+
+EDGES = [None, "", " \n\t ", "one", "ONE ", "one two", "One\x0btwo", "one two three", "ÉÀ é à"]
+
+
+@pytest.mark.parametrize("width", [1, 3, 5])
+def test_codes_are_the_distinct_shingles(small, width):
+    texts = [row.text for row in small[1]] + EDGES
+    sets = list(code_sets(pa.array(texts), width))
+    assert [len(s) for s in sets] == [len(plain.shingles(t, width)) for t in texts]
+    known = {}
+    for text, codes in zip(texts, sets):
+        own = frozenset(plain.shingles(text, width))
+        assert known.setdefault(codes.tobytes(), own) == own
+
+
+def test_a_slice_of_a_batch_has_its_own_texts():
+    texts = pa.array(["a b c d", None, "b c d e f", "", "g"])
+    whole = [s.tolist() for s in code_sets(texts, 3)]
+    assert [s.tolist() for s in code_sets(texts.slice(2, 3), 3)] == whole[2:]
+
+
+def _near(chance, size, changed):
+    base = chance.integers(0, 2**63, size).astype(np.uint64)
+    other = base.copy()
+    other[chance.choice(size, changed, replace=False)] += np.uint64(1)
+    return np.unique(base), np.unique(other)
+
+
+@pytest.mark.parametrize("measure", [Measure(), Measure(5, 80, 100)])
+def test_linked_sets_always_share_a_cell(measure):
+    chance = np.random.default_rng(1)
+    starts = np.array(measure.classes())
+    for size in [5, 9, 10, 11, 12, 18, 19, 40, 41, 300, 2000]:
+        for _ in range(40):
+            # The largest number of exchanged codes that still links.
+            changed = (measure.whole - measure.part) * size // (measure.whole + measure.part)
+            a, b = _near(chance, size, changed)
+            a = a[: len(a) - int(chance.integers(0, 2))]
+            both = len(np.intersect1d(a, b))
+            if len(a) and measure.linked(both, len(a), len(b)) and both < max(len(a), len(b)):
+                keys = [set(cell_keys(s, measure, starts)) for s in (a, b)]
+                assert keys[0] & keys[1], (size, len(a), len(b), both)
+
+
+def test_trees_find_what_all_pairs_find():
+    chance = np.random.default_rng(2)
+    sets = []
+    for _ in range(60):
+        size = int(chance.integers(1, 200))
+        a, b = _near(chance, size, int(chance.integers(0, max(1, size // 12))))
+        sets += [a, b, a[: max(1, len(a) - 3)]]
+    measure = Measure()
+    links = plain.similar([set(s.tolist()) for s in sets], 90)
+    assert Join(measure, sets).run().tolist() == plain.classes(len(sets), links)
+    half = len(sets) // 2
+    label = Join(measure, sets[:half], sets[half:]).run()
+    for a, b in links:
+        if (a < half) != (b < half):
+            assert label[a] == label[b]
+
+
+def test_the_small_table(spark, small):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.shingle_join(spark, plain.FOLDER).collect()}
+    sets = [plain.shingles(row.text, 3) for row in small[1]]
+    top = plain.classes(len(sets), plain.similar(sets, 90))
+    ids = [row.doc_id for row in small[1]]
+    assert got == {ids[i]: (len(sets[i]), ids[top[i]]) for i in range(len(ids))}
+
+
+def test_small_chunks_lose_no_link(make_docs):
+    text = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(text[:50] + [f"x{i % 3}"] + text[51:]), "s") for i in range(30)]
+    rows += [(100 + i, " ".join(text[:40] + [f"y{i}", "z", f"u{i}"]), "s") for i in range(10)]
+    sets = [plain.shingles(t, 3) for _, t, _ in rows]
+    top = plain.classes(len(sets), plain.similar(sets, 90))
+    made = ngram_join.join(make_docs(rows), codes_per_chunk=100).collect()
+    assert {r.id: r.component for r in made} == {rows[i][0]: rows[top[i]][0] for i in range(len(rows))}
+
+
+def test_edges(make_docs):
+    long = " ".join(f"w{i % 7919}" for i in range(120_000))
+    rows = [(i, t, None) for i, t in enumerate(EDGES)]
+    rows += [(20, long, "s"), (21, long + " more", "s"), (22, "same words here now", "s")]
+    rows += [(22, "same words here now", "s"), (22, "other words than those", "s"), (None, "same words here now", "s")]
+    made = ngram_join.join(make_docs(rows, clashing=True)).collect()
+    assert len(made) == len(rows)
+    got = sorted((-1 if r.id is None else r.id, r.n_shingles, r.component) for r in made)
+    assert [c for i, _, c in got if 0 <= i <= 8] == [0, 1, 2, 3, 3, 5, 5, 7, 8]
+    assert [n for i, n, _ in got if 0 <= i <= 8] == [0, 0, 0, 1, 1, 1, 1, 1, 1]
+    assert [c for i, _, c in got if i in (20, 21)] == [20, 20]
+    assert [c for i, _, c in got if i in (-1, 22)] == [22] * 4
+
+
+def test_no_documents_and_no_shingles(make_docs):
+    assert ngram_join.join(make_docs([])).collect() == []
+    made = ngram_join.join(make_docs([(1, None, None), (2, "", None)])).collect()
+    assert sorted((r.id, r.component) for r in made) == [(1, 1), (2, 2)]
+
+
+def test_one_document_of_each_group_stays(make_docs):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, text, "a"), (3, text + " end", "b"), (4, "quite another text of six words", "c"), (9, None, None)]
+    docs = make_docs(rows, clashing=True)
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 9]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
+def test_components(spark, edges):
+    made = components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
+    top = plain.classes(26, edges)
+    assert {r.node: r.root for r in made} == {i: t for i, t in enumerate(top) if i != t}
+
+
+def test_a_long_chain_is_one_component(spark):
+    chain = spark.range(1, 400).selectExpr("id as a", "id - 1 as b")
+    assert {r.root for r in components(chain, "a", "b").collect()} == {0}
