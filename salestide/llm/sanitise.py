@@ -39,7 +39,7 @@ KINDS = {
     "card": "[0-9](?:[\\x20-]?[0-9])++",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
 }
-PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
+PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 IP = f"^{PART}(?:\\.{PART}){{3}}$"
 TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]{3,}"
 NOT_TERM = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"

@@ -20,7 +20,7 @@ def _digests(spark, texts):
 
 TEXTS = [
     None, "", "a@b.c", "x a@b.c_x@y.z. b@c", "a@b.c.@d.e", ".@.a a@-.-", "1.2.3.4.5.6.7.8 999.1.1.1 0001.002.3.255",
-    "4111 1111 1111 1111", "4111-1111-1111-1112", "41111111111111111111111", "+1 (017) 555-7713", "+1++12345678901 +(1)",
+    "0.0.0.0 00.000.0.10 256.1.1.1", "4111 1111 1111 1111", "4111-1111-1111-1112", "41111111111111111111111", "+1 (017) 555-7713", "+1++12345678901 +(1)",
     "é🙂 +44 20 7946 0958, mail: é.a@b.co 10.0.0.1", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 8 9", "4111 1111  1111 1111 0",
     "9" * 20_000, "a" * 100_000, "a." * 30_000 + "@b.c", "1.2." * 20_000, "1 " * 20_000, "+1" + " " * 50_000,
     "a@" + "b." * 9_000 + "c", "4111111111111111@b.c +4111111111111111",
@@ -60,7 +60,7 @@ def test_revealing_terms_become_spans(corpus):
     found = sanitise.find(corpus)
     made = {r.id: r for r in found.select("id", sanitise.written("all").alias("spans"), "all").collect()}
     assert len(made) == 76 and made[None].spans == "" and made[100].spans == ""
-    assert made[0].spans.startswith("email:5:21,") and "term:28:36" in made[0].spans
+    assert {"email:5:21", "term:28:36"} <= set(made[0].spans.split(","))
     terms = {s.found for s in made[0].all if s.kind in ("removed", "general")}
     assert "zanzibar" in terms and "harbour" not in terms and "number0" not in terms
     # Copies of one text do not make its words revealing.
