@@ -13,6 +13,7 @@ from salestide.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    oracles,
     quality_rules,
     sanitise,
     warc,
@@ -36,7 +37,7 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
     rows, verdict = quality_rules.judge(docs)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    names += ["base_failed", "kept", "host_rate"]
+    names += ["base_failed", "kept"]
     return rows.select("doc_id", *[F.col(verdict)[name].alias(name) for name in names])
 
 
@@ -107,4 +108,8 @@ QUERIES = {
     "op10_warc_derivatives": warc_derivatives,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_shingle_join": oracles.SHINGLE_JOIN,
+    "op2_host_quality": oracles.QUALITY,
+    "op6_chat_format": oracles.CHAT,
+}
