@@ -25,7 +25,6 @@ from salestide.llm.rows import lower_ascii, named
 from salestide.llm.spans import spans
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 # Base phrases and their labels.
 BASE = {
@@ -35,49 +34,49 @@ BASE = {
     "mit license": "mit",
 }
 
-# Label, keyword, names as regular expressions over words, license tag.
+# Label, keywords (words that stand side by side, the last may go on), names as regular expressions over words, license tag.
 NAMES = [
-    ("gpl-1.0", "gpl|gnu", "(?:gnu )?(?:gpl|general public license)(?: version)? v?1(?: 0)?", "gpl 1 0"),
-    ("gpl-2.0", "gpl|gnu", "(?:gnu )?(?:gpl|general public license)(?: version)? v?2(?: 0)?", "gpl 2 0"),
-    ("gpl-3.0", "gpl|gnu", "(?:gnu )?(?:gpl|general public license)(?: version)? v?3(?: 0)?", "gpl 3 0"),
-    ("lgpl-2.0", "lgpl|lesser|library", "(?:gnu )?(?:lgpl|library general public license)(?: version)? v?2(?: 0)?", "lgpl 2 0"),
-    ("lgpl-2.1", "lgpl|lesser", "(?:gnu )?(?:lgpl|lesser general public license)(?: version)? v?2 1", "lgpl 2 1"),
-    ("lgpl-3.0", "lgpl|lesser", "(?:gnu )?(?:lgpl|lesser general public license)(?: version)? v?3(?: 0)?", "lgpl 3 0"),
-    ("lgpl", "lgpl|lesser", "(?:gnu )?(?:lgpl|lesser general public license)", "lgpl"),
-    ("agpl-3.0", "agpl|affero", "(?:gnu )?(?:agpl|affero general public license)(?: version)?(?: v?3(?: 0)?)?", "agpl 3 0"),
-    ("gfdl", "gfdl|documentation", "(?:gnu )?(?:gfdl|free documentation license)(?: version)?(?: 1 [123])?", "gfdl 1 3"),
+    ("gpl-1.0", "gpl|gnu|general public", "(?:gnu )?(?:gpl|general public license)(?: version)? v?1(?: 0)?", "gpl 1 0"),
+    ("gpl-2.0", "gpl|gnu|general public", "(?:gnu )?(?:gpl|general public license)(?: version)? v?2(?: 0)?", "gpl 2 0"),
+    ("gpl-3.0", "gpl|gnu|general public", "(?:gnu )?(?:gpl|general public license)(?: version)? v?3(?: 0)?", "gpl 3 0"),
+    ("lgpl-2.0", "lgpl|lesser general|library general", "(?:gnu )?(?:lgpl|library general public license)(?: version)? v?2(?: 0)?", "lgpl 2 0"),
+    ("lgpl-2.1", "lgpl|lesser general", "(?:gnu )?(?:lgpl|lesser general public license)(?: version)? v?2 1", "lgpl 2 1"),
+    ("lgpl-3.0", "lgpl|lesser general", "(?:gnu )?(?:lgpl|lesser general public license)(?: version)? v?3(?: 0)?", "lgpl 3 0"),
+    ("lgpl", "lgpl|lesser general", "(?:gnu )?(?:lgpl|lesser general public license)", "lgpl"),
+    ("agpl-3.0", "agpl|affero general", "(?:gnu )?(?:agpl|affero general public license)(?: version)?(?: v?3(?: 0)?)?", "agpl 3 0"),
+    ("gfdl", "gfdl|free documentation", "(?:gnu )?(?:gfdl|free documentation license)(?: version)?(?: 1 [123])?", "gfdl 1 3"),
     ("apache-1.1", "apache", "apache(?: software)? license(?: version)? v?1 1", "apache 1 1"),
     ("apache-2.0", "apache", "apache(?: software)?(?: license)?(?: version)? v?2(?: 0)?", "apache 2 0"),
-    ("mit-0", "mit", "mit no attribution", "mit 0"),
-    ("mit", "mit|expat", "(?:mit|expat)(?: x11)? licen[cs]e", "mit"),
-    ("bsd-2-clause", "bsd", "(?:simplified bsd|(?:2|two) clause bsd|bsd (?:2|two) clause)(?: licen[cs]e)?", "bsd 2 clause"),
-    ("bsd-3-clause", "bsd", "(?:(?:new|revised|modified) bsd|(?:3|three) clause bsd|bsd (?:3|three) clause)(?: licen[cs]e)?", "bsd 3 clause"),
-    ("bsd-4-clause", "bsd", "(?:original bsd|(?:4|four) clause bsd|bsd (?:4|four) clause)(?: licen[cs]e)?", "bsd 4 clause"),
-    ("0bsd", "bsd|0bsd", "(?:zero clause bsd|0bsd)(?: licen[cs]e)?", "0bsd"),
-    ("bsd", "bsd", "bsd(?: style)? licen[cs]e", "bsd"),
-    ("isc", "isc", "isc licen[cs]e", "isc"),
+    ("mit-0", "mit no", "mit no attribution", "mit 0"),
+    ("mit", "mit lic|mit x11|expat", "(?:mit|expat)(?: x11)? licen[cs]e", "mit"),
+    ("bsd-2-clause", "bsd|clause bsd", "(?:simplified bsd|(?:2|two) clause bsd|bsd (?:2|two) clause)(?: licen[cs]e)?", "bsd 2 clause"),
+    ("bsd-3-clause", "bsd|clause bsd", "(?:(?:new|revised|modified) bsd|(?:3|three) clause bsd|bsd (?:3|three) clause)(?: licen[cs]e)?", "bsd 3 clause"),
+    ("bsd-4-clause", "bsd|clause bsd", "(?:original bsd|(?:4|four) clause bsd|bsd (?:4|four) clause)(?: licen[cs]e)?", "bsd 4 clause"),
+    ("0bsd", "0bsd|clause bsd", "(?:zero clause bsd|0bsd)(?: licen[cs]e)?", "0bsd"),
+    ("bsd", "bsd|clause bsd", "bsd(?: style)? licen[cs]e", "bsd"),
+    ("isc", "isc lic", "isc licen[cs]e", "isc"),
     ("zlib", "zlib", "zlib(?: libpng)? licen[cs]e", "zlib"),
-    ("mpl-1.1", "mozilla|mpl", "(?:mozilla public license|mpl)(?: version)? v?1 1", "mpl 1 1"),
-    ("mpl-2.0", "mozilla|mpl", "(?:mozilla public license|mpl)(?: version)?(?: v?2(?: 0)?)?", "mpl 2 0"),
-    ("epl-1.0", "eclipse|epl", "(?:eclipse public license|epl)(?: version)? v?1(?: 0)?", "epl 1 0"),
-    ("epl-2.0", "eclipse|epl", "(?:eclipse public license|epl)(?: version)?(?: v?2(?: 0)?)?", "epl 2 0"),
-    ("cddl-1.0", "cddl|distribution", "(?:common development and distribution license|cddl)(?: version)?(?: v?1(?: [01])?)?", "cddl 1 0"),
-    ("cpl-1.0", "common", "common public license(?: version)?(?: v?1(?: 0)?)?", "cpl 1 0"),
-    ("eupl-1.2", "eupl|european", "(?:european union public licen[cs]e|eupl)(?: version)?(?: v?1 [12])?", "eupl 1 2"),
-    ("artistic-2.0", "artistic", "artistic license(?: version)?(?: v?[12](?: 0)?)?", "artistic 2 0"),
-    ("bsl-1.0", "boost", "boost software license(?: version)?(?: 1(?: 0)?)?", "bsl 1 0"),
-    ("busl-1.1", "business", "business source license(?: version)?(?: 1 1)?", "busl 1 1"),
-    ("sspl-1.0", "sspl|server", "(?:server side public license|sspl)(?: version)?(?: v?1(?: 0)?)?", "sspl 1 0"),
-    ("psf-2.0", "python", "python software foundation license(?: version)?(?: 2(?: 0)?)?", "psf 2 0"),
+    ("mpl-1.1", "mozilla public|mpl", "(?:mozilla public license|mpl)(?: version)? v?1 1", "mpl 1 1"),
+    ("mpl-2.0", "mozilla public|mpl", "(?:mozilla public license|mpl)(?: version)?(?: v?2(?: 0)?)?", "mpl 2 0"),
+    ("epl-1.0", "eclipse public|epl", "(?:eclipse public license|epl)(?: version)? v?1(?: 0)?", "epl 1 0"),
+    ("epl-2.0", "eclipse public|epl", "(?:eclipse public license|epl)(?: version)?(?: v?2(?: 0)?)?", "epl 2 0"),
+    ("cddl-1.0", "cddl|common development", "(?:common development and distribution license|cddl)(?: version)?(?: v?1(?: [01])?)?", "cddl 1 0"),
+    ("cpl-1.0", "common public", "common public license(?: version)?(?: v?1(?: 0)?)?", "cpl 1 0"),
+    ("eupl-1.2", "eupl|european union", "(?:european union public licen[cs]e|eupl)(?: version)?(?: v?1 [12])?", "eupl 1 2"),
+    ("artistic-2.0", "artistic lic", "artistic license(?: version)?(?: v?[12](?: 0)?)?", "artistic 2 0"),
+    ("bsl-1.0", "boost software", "boost software license(?: version)?(?: 1(?: 0)?)?", "bsl 1 0"),
+    ("busl-1.1", "business source", "business source license(?: version)?(?: 1 1)?", "busl 1 1"),
+    ("sspl-1.0", "sspl|server side", "(?:server side public license|sspl)(?: version)?(?: v?1(?: 0)?)?", "sspl 1 0"),
+    ("psf-2.0", "python software", "python software foundation license(?: version)?(?: 2(?: 0)?)?", "psf 2 0"),
     ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense"),
     ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
     ("openssl", "openssl", "openssl license", "openssl"),
-    ("ofl-1.1", "ofl|font", "(?:sil )?open font license(?: version)?(?: 1 1)?", "ofl 1 1"),
-    ("odbl-1.0", "odbl|database", "(?:open database license|odbl)(?: version)?(?: v?1(?: 0)?)?", "odbl 1 0"),
-    ("cc0-1.0", "cc0|zero", "(?:cc0|creative commons zero)(?: v?1(?: 0)?)?(?: universal)?", "cc0 1 0"),
-    ("public-domain", "domain", "public domain(?: dedication)?", "public domain"),
-    ("proprietary", "proprietary|confidential", "(?:proprietary and confidential|confidential and proprietary)", "licenseref proprietary"),
-    ("all-rights-reserved", "reserved", "all rights reserved", "licenseref all rights reserved"),
+    ("ofl-1.1", "ofl|open font", "(?:sil )?open font license(?: version)?(?: 1 1)?", "ofl 1 1"),
+    ("odbl-1.0", "odbl|open database", "(?:open database license|odbl)(?: version)?(?: v?1(?: 0)?)?", "odbl 1 0"),
+    ("cc0-1.0", "cc0|creative commons", "(?:cc0|creative commons zero)(?: v?1(?: 0)?)?(?: universal)?", "cc0 1 0"),
+    ("public-domain", "public domain", "public domain(?: dedication)?", "public domain"),
+    ("proprietary", "proprietary and|confidential and", "(?:proprietary and confidential|confidential and proprietary)", "licenseref proprietary"),
+    ("all-rights-reserved", "all rights", "all rights reserved", "licenseref all rights reserved"),
 ]
 # The terms of the Creative Commons licenses and their names.
 CREATIVE = {
@@ -108,8 +107,8 @@ def rules() -> list[tuple[int, float, str, str, str]]:
         for version in VERSIONS:
             name = f"(?:cc {terms}|creative commons {words})(?: version)? {version}"
             own = f"{label}-{version.replace(' ', '.')}"
-            names.append((own, "cc|creative", name, f"cc {terms} {version}"))
-        names.append((label, "cc|creative", f"(?:cc {terms}|creative commons {words})", f"cc {terms}"))
+            names.append((own, "cc by|creative commons", name, f"cc {terms} {version}"))
+        names.append((label, "cc by|creative commons", f"(?:cc {terms}|creative commons {words})", f"cc {terms}"))
     made = []
     for priority, weight, form in FORMS:
         for label, keywords, name, tag in names:
@@ -122,8 +121,12 @@ def _blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def _detections(said: Column) -> Column:
-    """Detections of all rules whose keyword occurs, by place, longest and best first."""
+def keywords() -> list[str]:
+    return sorted({word for rule in rules() for word in rule[3].split("|")})
+
+
+def _detections(said: Column, hits: Column) -> Column:
+    """Detections of all rules of which a keyword occurs, by place, longest and best first."""
     table = F.array(
         *[
             F.struct(
@@ -131,13 +134,13 @@ def _detections(said: Column) -> Column:
                 F.lit(priority).alias("priority"),
                 F.lit(weight).alias("weight"),
                 F.lit(label).alias("label"),
-                F.lit(f" (?:{keywords}) ").alias("keyword"),
+                F.array(*[F.lit(f" {word}") for word in words.split("|")]).alias("keywords"),
                 F.lit(pattern).alias("pattern"),
             )
-            for number, (priority, weight, label, keywords, pattern) in enumerate(rules())
+            for number, (priority, weight, label, words, pattern) in enumerate(rules())
         ]
     )
-    tried = F.filter(table, lambda rule: F.regexp_like(said, rule["keyword"]))
+    tried = F.filter(table, lambda rule: F.arrays_overlap(rule["keywords"], hits))
 
     def found(rule: Column) -> Column:
         return F.transform(
@@ -184,21 +187,25 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, n_words, n_base, first_word, last_word, base_labels, labels, score``."""
     own = named(docs, id=id, text=text)
     own = own.select("id", lower_ascii(F.coalesce(F.col("text"), F.lit(""))).alias("low"))
-    keywords = sorted({w for rule in rules() for w in rule[3].split("|")} | {"gnu"})
-    marked = F.regexp_like("low", F.lit("(?<![^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F])(?:" + "|".join(keywords) + ")(?![^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F])"))
-    said = F.concat(F.lit(" "), F.btrim(F.regexp_replace("low", NOT_WORD, " ")), F.lit(" "))
-    rows = own.select(
-        "id",
-        F.regexp_count("low", F.lit(WORD)).cast("long").alias("n_words"),
-        F.when(marked, said).alias("said"),
-    )
+    # The parts between runs of other characters are the words, but for empty ends.
+    parts = F.col("parts")
+    ends = F.when(parts[0] == "", 1).otherwise(0) + F.when(F.element_at(parts, -1) == "", 1).otherwise(0)
+    n_words = F.greatest(F.size(parts) - ends, F.lit(0)).cast("long")
+    # Of a keyword, the first word must be there for the text to be looked at.
+    rows = own.select("id", F.split("low", NOT_WORD, -1).alias("parts"))
+    firsts = sorted({word.split()[0] for word in keywords()})
+    some = F.arrays_overlap(parts, F.array(*map(F.lit, firsts)))
+    said = F.concat(F.lit(" "), F.array_join(F.filter(parts, lambda w: w != ""), " "), F.lit(" "))
+    rows = rows.select("id", n_words.alias("n_words"), F.when(some, said).alias("said"))
+    found = F.regexp_extract_all("said", F.lit(" (?:" + "|".join(keywords()) + ")"), F.lit(0))
+    rows = rows.select("*", F.array_distinct(found).alias("hits"))
     phrase = " (?:" + "|".join(BASE) + ")(?= )"
     said = F.col("said")
     rows = rows.select(
         "*",
         F.regexp_extract_all(said, F.lit(phrase), F.lit(0)).alias("base"),
         F.when(F.regexp_like(said, F.lit(phrase)), F.split(said, phrase, -1)).alias("around"),
-        F.when(said.isNotNull(), _detections(said)).alias("detections"),
+        F.when(F.size("hits") > 0, _detections(said, F.col("hits"))).alias("detections"),
     )
     rows = rows.select("*", _left(F.col("detections")).alias("left"))
     base, around = F.col("base"), F.col("around")
