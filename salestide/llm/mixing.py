@@ -83,6 +83,22 @@ def _combine(root: bool) -> Callable[[pa.Table], pa.Table]:
     return combine
 
 
+def _numbered(sources: DataFrame) -> DataFrame:
+    """Adds ``place``, the source's number from 0 in order, NULL last.
+
+    Sources are sorted in ranges; only the ranges are numbered in one task.
+    """
+    order = F.asc_nulls_last("source")
+    ranged = sources.repartitionByRange(order).withColumn("range", F.spark_partition_id())
+    ranged = stored(ranged, "sources")
+    counts = ranged.groupBy(F.col("range").alias("_range")).agg(F.count("*").alias("count"))
+    before = F.sum("count").over(W.orderBy("_range")) - F.col("count")
+    starts = counts.select("_range", before.alias("before"))
+    rows = ranged.join(starts, F.col("range") == F.col("_range"))
+    place = F.col("before") + F.row_number().over(W.partitionBy("range").orderBy(order)) - 1
+    return rows.select("source", "source_size", place.alias("place"))
+
+
 def source_targets(
     sizes: DataFrame, weights: tuple[float, ...], share: float, most: float
 ) -> DataFrame:
@@ -93,10 +109,10 @@ def source_targets(
     Each round finds all sources that are over and is one small aggregate; the number of
     rounds is bounded by the number of sources and is a few in practice.
     """
-    own = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = F.row_number().over(W.orderBy(F.asc_nulls_last("source"))) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
-    own = stored(own.withColumn("weight", weight.cast("double")), "source-sizes")
+    own = _numbered(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
+    turn = (F.col("place") % len(weights) + 1).cast("int")
+    weight = F.element_at(F.array(*map(F.lit, weights)), turn).cast("double")
+    own = stored(own.withColumn("weight", weight), "source-sizes")
     most_words = F.col("source_size") * most
     words = share * (own.agg(F.sum("source_size")).first()[0] or 0)
     level, capped = None, -1
