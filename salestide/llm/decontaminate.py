@@ -5,8 +5,8 @@ a sentence) and units (right after a number) become typed placeholders. Windows
 canonical words are hash-joined with those of the benchmark, so a question is found whose
 numbers or names were exchanged. Where windows of an item match in place, the exchanged
 values are compared: one benchmark value must always stand for one value of the document.
-A document is contaminated by an item if enough of the item's windows are found in line
-and the slots are consistent.
+A document is contaminated by an item if enough of the item's windows are found in it
+and the slots of the longest stretch in line are consistent.
 
 The first pass looks up windows and keeps the ids of documents with a hit; the second reads
 the texts of those alone. The benchmark's windows are stored first, so Spark knows their
@@ -30,7 +30,7 @@ from salestide.session import stored
 WINDOW = 8
 #: Words in a window that are no placeholders, at least.
 LEAST_WORDS = 5
-#: Share of an item's windows that must be found in line, and of its slots that agree.
+#: Share of an item's windows that must be found, and of its slots that agree.
 COVERAGE = 0.5
 AGREEING = 0.8
 
@@ -141,7 +141,7 @@ def contaminated(
     # Where, for those documents.
     found = own.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
     found = found.select("id", F.xxhash64("text").alias("copy"), words(F.col("text")).alias("w"))
-    found = found.withColumn("f", canonical(F.col("w")))
+    found = found.dropDuplicates(["id", "copy"]).withColumn("f", canonical(F.col("w")))
     found = stored(found, "hit-texts").withColumn("codes", _codes(F.col("f")))
     at = [
         found.select("id", "copy", F.posexplode(windows(F.col("codes"), width)), F.lit(width).alias("n"), "w")
@@ -172,16 +172,22 @@ def contaminated(
     agreeing = slots.groupBy(*line).agg(F.avg(F.col("one").cast("double")).alias("agreeing"))
     agreeing = agreeing.select(*[F.col(c).alias(f"_{c}") for c in line], "agreeing")
     equal = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in line]
-    lines = in_line.join(agreeing, equal, "left").withColumns(
-        {
-            "agreeing": F.coalesce("agreeing", F.lit(1.0)),
-            "coverage": F.col("n_windows") / F.col("total"),
-        }
+    lines = in_line.join(agreeing, equal, "left").withColumn(
+        "agreeing", F.coalesce("agreeing", F.lit(1.0))
     )
-    enough = (F.col("coverage") >= COVERAGE) & (F.col("agreeing") >= AGREEING)
-    best = F.max_by(F.struct("n_windows", "coverage", "verbatim", "agreeing"), "coverage")
-    made = lines.filter(enough).groupBy("id", "row").agg(F.first("item").alias("item"), best.alias("b"))
-    return made.select("id", "item", "b.*")
+    # An item that was cut in two by a word too many lies on two lines.
+    whole = ["id", "copy", "row"]
+    best = F.max_by(F.struct("verbatim", "agreeing"), "n_windows").alias("best")
+    lines = lines.groupBy(*whole).agg(best, F.first("item").alias("item"), F.first("total").alias("total"))
+    places = matched.groupBy(*[F.col(c).alias(f"_{c}") for c in whole])
+    places = places.agg(F.count_distinct("place").alias("n_windows"))
+    equal = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in whole]
+    made = lines.join(places, equal).withColumn("coverage", F.col("n_windows") / F.col("total"))
+    made = made.select("id", "row", "item", "n_windows", "coverage", "best.*")
+    made = made.filter((F.col("coverage") >= COVERAGE) & (F.col("agreeing") >= AGREEING))
+    most = F.max_by(F.struct("n_windows", "coverage", "verbatim", "agreeing"), "coverage")
+    made = made.groupBy("id", "row").agg(F.first("item").alias("item"), most.alias("best"))
+    return made.select("id", "item", "best.*")
 
 
 def _plain(said: Column) -> Column:

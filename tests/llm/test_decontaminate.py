@@ -28,16 +28,15 @@ def _around(text):
 
 def test_exact_and_changed_questions_are_found(make_docs, items):
     changed = ITEM.replace("8", "9").replace("120 km", "75 miles").replace("Paris", "Rome").replace("Lyon", "Turin")
-    mixed = changed.replace("then 9 more", "then 4 more").replace("Rome", "Rome").replace("at 9", "at 3")
     docs = make_docs([
         (1, _around(ITEM), "a"), (2, _around(changed), "a"), (3, _around(OTHER.upper().lower()), "a"),
         (4, " ".join(FILL), "a"), (5, _around(" ".join(ITEM.split()[:9])), "a"),
         (6, _around("here we say just five plain words here again"), "a"),
-        (7, _around(mixed), "a"),
+        (7, _around(ITEM.replace("runs", "quietly runs")), "a"),
     ])
     got = _pairs(docs, items)
-    # The last two: half an item is not enough; a value that stands for two is inconsistent.
-    assert set(got) == {(1, 1), (2, 1), (3, 2), (6, 6), (7, 1)} - ({(7, 1)} if (7, 1) not in got else set())
+    # Two windows of an item are not enough; a word too many does no harm.
+    assert set(got) == {(1, 1), (2, 1), (3, 2), (6, 6), (7, 1)}
     assert got[1, 1].verbatim and not got[2, 1].verbatim
     assert got[1, 1].coverage > 0.9 and got[2, 1].agreeing == 1.0
 
@@ -62,7 +61,7 @@ def test_the_small_table_holds_its_passages(spark, small):
         whole = f" {' '.join(said(row.text))} "
         held |= {(row.doc_id, i.item_id) for i in items if f" {' '.join(said(i.text))} " in whole}
     assert held and held <= got
-    # Whatever else is found shares at least half of the item's eight-word windows.
+    # Whatever else is found shares about half of the item's eight-word windows.
     texts, asked = {r.doc_id: said(r.text) for r in small[1]}, {i.item_id: said(i.text) for i in items}
     for doc, item in got - held:
         windows = [tuple(asked[item][k : k + 8]) for k in range(len(asked[item]) - 7)]
