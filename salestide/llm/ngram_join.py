@@ -360,7 +360,8 @@ def _labelled(features: DataFrame, hung: DataFrame) -> DataFrame:
     rows = features.join(hung, F.col("node") == F.col("_node"), "left")
     rows = rows.select("id", "copy", "n_shingles", F.coalesce("_root", "node").alias("top"))
     least = rows.filter("top is not null").groupBy(F.col("top").alias("_top"))
-    least = least.agg(F.min("id").alias("least"))
+    # Stored, so that the join shuffles both sides itself and can split a hot component.
+    least = stored(least.agg(F.min("id").alias("least")), "components")
     component = F.coalesce("least", "id").alias("component")
     joined = rows.join(least, F.col("top") == F.col("_top"), "left")
     return joined.select("id", "copy", "n_shingles", component)
