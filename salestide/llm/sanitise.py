@@ -119,10 +119,9 @@ def revealing(rows: DataFrame, private: DataFrame) -> DataFrame:
         F.sum("rows").alias("both"), F.count("*").alias("texts"), F.first("value_rows").alias("value_rows")
     )
     pairs = stored(pairs.filter(F.col("texts") >= SUPPORT), "value-terms")
-    wanted = pairs.select(F.col("term").alias("_term")).distinct()
+    # An inner join: a semi join would be moved below the counting, and shuffle all terms.
     everywhere = rows.select(F.explode(_terms(F.col("text"))).alias("term"))
     counts = everywhere.groupBy("term").agg(F.count("*").alias("term_rows"))
-    counts = counts.join(wanted, F.col("term") == F.col("_term"), "left_semi")
     known = pairs.join(counts, "term")
     chance = F.col("value_rows") / F.lit(max(total, 1))
     given = F.least(F.col("both") / F.col("term_rows"), F.lit(1.0))
