@@ -1,20 +1,27 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from salestide.llm import line_dedup, queries
 from tests.llm import plain
 
 
+PIECE = re.compile(" ?[^ \u2e80-\U0010ffff]{1,8}| ?[\u2e80-\U0010ffff]")
+
+
 def _normal(line):
     return re.sub(r"[\x20\x09-\x0D]+", " ", line.translate(plain.LOWER)).strip(" ")
 
 
 def _sets(lines):
-    return [{x[i : i + 8] for i in range(len(x) - 7)} if len(x) >= 8 else {x} for x in lines]
+    cut = [PIECE.findall(line) for line in lines]
+    assert all("".join(pieces) == line for pieces, line in zip(cut, lines))
+    return [{tuple(p[i : i + 3]) for i in range(len(p))} for p in cut]
 
 
 def removed(rows):
@@ -58,14 +65,22 @@ def test_a_large_group_of_similar_lines_becomes_one(make_docs):
     assert made[0] == [] and all(0 in made[i] for i in range(1, 300))
 
 
-def test_buckets_of_strangers_take_several_rounds(spark):
-    texts = [f"{'abcdefghijklmnopqrstuvwxyz'[i % 26]}{i} stands quite alone here {i * i}" for i in range(40)]
-    texts += [texts[5] + "!", texts[6] + "!"]
-    shared = spark.createDataFrame([(1, i) for i in range(42)], "band long, node long")
-    lines = spark.createDataFrame(list(enumerate(texts)), "node long, line string")
-    made = line_dedup._links(shared, lines).collect()
-    top = plain.classes(42, plain.similar(_sets(texts), 80))
-    assert {r.node: r.root for r in made} == {i: t for i, t in enumerate(top) if i != t}
+def test_a_bucket_is_compared_with_neighbours_not_in_all_pairs(spark):
+    # Lines of one bucket; every fifth one shares its next band too.
+    rows = [(1, i, [1, i // 5 + 100, i // 5, *range(7)]) for i in range(500)]
+    shared = spark.createDataFrame(rows, "band long, node long, bands array<long>")
+    pairs = {(r.a, r.b) for r in line_dedup._neighbours(shared).collect()}
+    assert len(pairs) <= 4 * 500
+    assert all((i, i + 1) in pairs for i in range(499)) and all((0, i) in pairs for i in range(1, 500))
+
+
+def test_exact_comparison_of_pairs(spark):
+    words = [f"word{i}" for i in range(30)]
+    lines = [" ".join(words), " ".join(words[:29]), " ".join(words[:20]), "other words", "其他的文字在这里写着很多字", "其他的文字在这里写着很多"]
+    texts = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    pairs = spark.createDataFrame([(a, b) for a in range(6) for b in range(a + 1, 6)], "a long, b long")
+    got = {(r.a, r.b) for r in line_dedup._similar(pairs, texts).collect()}
+    assert got == set(plain.similar(_sets(lines), 80)) == {(0, 1), (4, 5)}
 
 
 def test_edges(make_docs):
@@ -92,19 +107,17 @@ def test_no_documents(make_docs):
 
 def test_bands_follow_the_similarity(spark):
     """Lines at the threshold meet in a band nearly always, strangers hardly ever."""
-    from pyspark.sql import functions as F
-
-    chance = __import__("random").Random(3)
+    chance = random.Random(3)
     rows = []
     for i in range(400):
-        letters = chance.choices("abcdefghijklmnopqrstuvwxyz ", k=300)
-        other = list(letters)
-        # Two exchanged letters out of 300: about 0.9 of the shingles are shared.
-        for k in chance.sample(range(300), 2):
-            other[k] = "#"
-        rows += [(i, 0, "".join(letters)), (i, 1, "".join(other))]
+        words = ["".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(60)]
+        other = list(words)
+        # One exchanged word of 60: about 0.9 of the shingles are shared.
+        other[chance.randrange(60)] = "#"
+        rows += [(i, 0, " ".join(words)), (i, 1, " ".join(other))]
     frame = spark.createDataFrame(rows, "pair long, side long, line string")
-    sketch = F.slice(F.sort_array(line_dedup.shingle_set(F.col("line"))), 1, line_dedup.SKETCH)
+    sketch = F.slice(F.sort_array(line_dedup.shingle_set(F.col("pieces"))), 1, line_dedup.SKETCH)
+    frame = frame.select("pair", "side", line_dedup.pieces(F.col("line")).alias("pieces"))
     keyed = frame.select("pair", "side", sketch.alias("sketch"))
     keyed = keyed.select("pair", "side", line_dedup.bands(F.col("sketch")).alias("bands")).collect()
     found = defaultdict(dict)
@@ -114,8 +127,13 @@ def test_bands_follow_the_similarity(spark):
     assert sum(bool(found[i][0] & found[i + 1][1]) for i in range(399)) == 0
 
 
-@pytest.mark.parametrize("text", ["a", "short", "exactly8", "nine char"])
-def test_short_lines_are_one_shingle(spark, text):
-    frame = spark.createDataFrame([(text,)], "line string")
-    made = frame.select(line_dedup.shingle_set(frame["line"]).alias("s")).first().s
-    assert len(made) == max(1, len(text) - 7)
+@pytest.mark.parametrize("text", ["a", "exactly8", "nine char", "a b c d", "oneverylongwordofletters1", "汉字 x🙂é"])
+def test_shingles_of_short_lines(spark, text):
+    frame = spark.createDataFrame([(text,)], "line string").select(line_dedup.pieces(F.col("line")).alias("p"))
+    made = frame.select(line_dedup.shingle_set(F.col("p")).alias("s")).first().s
+    assert len(made) == len(_sets([text])[0])
+
+
+def test_the_main_path_has_no_python(make_docs):
+    plan = line_dedup.dedup(make_docs([(1, "a", "b")]))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
