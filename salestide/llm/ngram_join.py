@@ -6,11 +6,12 @@
    loses no pair: codes are dealt by value to more cells than two linked sets of that size
    class can differ in, so linked sets agree in at least one whole cell. Nodes that agree
    in a cell hang under one root, named by the smallest of them.
-3. *Trees.* Under each root the nodes, in order of their smallest code, form leaves; a
-   tree node holds the OR of its token bitmaps, the range of its sizes and the most tokens
-   that share a bit. A dual traversal of the tree with itself drops pairs of tree nodes
-   whose largest possible overlap is too small, and pairs that are one component already;
-   what is left at the leaves is decided by exact intersection.
+3. *Trees.* Under each root the nodes form leaves; a tree node holds the OR of its token
+   bitmaps, the range of its sizes and the most tokens that share a bit. A dual traversal
+   of the tree with itself drops pairs of tree nodes whose largest possible overlap is too
+   small. A first traversal has the bitmaps only and finds which nodes have a possible
+   partner; their sets alone are sent to the second, with wider bitmaps, which also drops
+   pairs that are one component already and decides the rest by exact intersection.
 4. *Components* of the links found are joined by distributed union-find.
 
 A root's nodes are dealt to chunks of bounded size and every two chunks meet in a task, so
@@ -41,6 +42,8 @@ LEAF = 32
 FAN_OUT = 8
 #: Bits of a token bitmap for each token of the set.
 BITS = 8
+#: The same for the bitmaps of the first traversal.
+FEW_BITS = 2
 #: Codes that a chunk of a root's nodes holds, about.
 CHUNK_CODES = 2_000_000
 
@@ -99,11 +102,12 @@ def _features(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.array(measure.classes())
         for batch in batches:
-            sizes, nodes, keys = [], [], []
+            sizes, nodes, keys, bits = [], [], [], []
             for codes in code_sets(batch.column("text"), measure.width):
                 sizes.append(len(codes))
                 nodes.append(set_node(codes) if len(codes) else None)
                 keys.append(cell_keys(codes, measure, starts) if len(codes) else [])
+                bits.append(few_bits(codes, starts))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -111,13 +115,44 @@ def _features(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                     pa.array(sizes, pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(bits, pa.binary()),
                 ],
-                ["id", "copy", "n_shingles", "node", "cells"],
+                ["id", "copy", "n_shingles", "node", "cells", "bits"],
             )
 
     return features
 
 
+def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A row of ``bits`` bits, a power of two, for each set, as 64-bit words."""
+    row = np.repeat(np.arange(len(sets)), [len(codes) for codes in sets])
+    bit = (np.concatenate(sets) >> np.uint64(20)) % np.uint64(bits)
+    maps = np.zeros((len(sets), bits), bool)
+    maps[row, bit.astype(np.int64)] = True
+    return np.packbits(maps, axis=1).view(np.uint64)
+
+
+def few_bits(codes: np.ndarray, starts: np.ndarray) -> bytes:
+    """The bitmap of a set for the first traversal, as wide as its size class asks for."""
+    if not len(codes):
+        return b""
+    most = int(starts[np.searchsorted(starts, len(codes), "right")]) - 1
+    return bitmaps([codes], _width(FEW_BITS * most)).tobytes()
+
+
+def _width(bits: int) -> int:
+    return max(64, 1 << (bits - 1).bit_length())
+
+
+def as_wide(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps folded to the width of the narrowest, which keeps what they can say."""
+    width = min(map(len, maps))
+    folded = np.zeros((len(maps), width), np.uint8)
+    for at, one in enumerate(maps):
+        np.bitwise_or.reduce(np.frombuffer(one, np.uint8).reshape(-1, width), out=folded[at])
+    return folded.view(np.uint64)
+
+
 def set_node(codes: np.ndarray) -> int:
     """One number for a whole set: two hashes of it, mixed into one."""
     one, two = (mix(codes, salt).sum(dtype=np.uint64) for salt in (3, 4))
@@ -142,19 +177,12 @@ def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
 
 class SignatureTree:
-    """Sets in order, their token bitmaps, and levels of nodes over them."""
-
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        self.sizes = np.array([len(s) for s in sets])
-        self.ends = np.r_[0, np.cumsum(self.sizes)]
-        codes = np.concatenate(sets)
-        bit = (codes >> np.uint64(20)) % np.uint64(bits)
-        row = np.repeat(np.arange(len(sets)), self.sizes)
-        maps = np.zeros((len(sets), bits), bool)
-        maps[row, bit.astype(np.int64)] = True
-        self.maps = np.packbits(maps, axis=1).view(np.uint64)
-        self.excess = self.sizes - np.bitwise_count(self.maps).sum(axis=1, dtype=np.int64)
-        excess = self.excess
+    """Sizes and token bitmaps of sets in order, and levels of nodes over them."""
+
+    def __init__(self, sizes: np.ndarray, maps: np.ndarray):
+        self.sizes, self.maps = sizes, maps
+        self.ends = np.r_[0, np.cumsum(sizes)]
+        self.excess = excess = sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
         self.levels, step = [], LEAF
         maps, least, most = self.maps, self.sizes, self.sizes
         while True:
@@ -178,9 +206,11 @@ class Join:
     def __init__(self, measure: Measure, a: list[np.ndarray], b: list[np.ndarray] | None = None):
         self.measure, self.same = measure, b is None
         sets = a if b is None else a + b
-        bits = 1 << int(np.ceil(np.log2(max(64, BITS * max(map(len, sets))))))
-        self.a = SignatureTree(a, bits)
-        self.b = self.a if b is None else SignatureTree(b, bits)
+        bits = _width(BITS * max(map(len, sets)))
+        self.a = SignatureTree(np.array([len(one) for one in a]), bitmaps(a, bits))
+        self.b = self.a
+        if b is not None:
+            self.b = SignatureTree(np.array([len(one) for one in b]), bitmaps(b, bits))
         self.shift = 0 if b is None else len(a)
         _, self.tokens = np.unique(np.concatenate(sets), return_inverse=True)
         self.mark = np.zeros(len(self.tokens) + 1, bool)
@@ -255,6 +285,59 @@ class Join:
         self.mark[own] = False
 
 
+class Partners(Join):
+    """The traversal on bitmaps alone: which sets may have a partner."""
+
+    def __init__(self, measure: Measure, sizes: np.ndarray, maps: np.ndarray, first: int | None = None):
+        self.measure, self.same = measure, first is None
+        self.a = self.b = SignatureTree(sizes[:first], maps[:first])
+        if first is not None:
+            self.b = SignatureTree(sizes[first:], maps[first:])
+        self.shift = first or 0
+        self.label = np.arange(len(sizes))
+        self.found = np.zeros(len(sizes), bool)
+
+    def verify(self, x: int, rows: np.ndarray) -> None:
+        self.found[x] = True
+        self.found[rows + self.shift] = True
+
+
+def _partners(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows sorted by task, those that may have a partner in the task."""
+
+    def task(rows: list[tuple]) -> list[tuple]:
+        if len(rows) < 2:
+            return []
+        rows.sort(key=lambda row: (row[1], row[4]))
+        first = sum(row[1] == 0 for row in rows)
+        if not first or (first == 1 and len(rows) == 1):
+            return []
+        sizes = np.array([row[3] for row in rows])
+        search = Partners(measure, sizes, as_wide([row[4] for row in rows]), first if first < len(rows) else None)
+        search.run()
+        return [row[:3] for row, found in zip(rows, search.found) if found]
+
+    names = ["task", "side", "node", "size", "bits"]
+    kinds = [pa.int64(), pa.int32(), pa.int64()]
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*task(rows))) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names[:3])
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for row in zip(*[batch.column(name).to_pylist() for name in names]):
+                if rows and rows[0][0] != row[0]:
+                    yield made(rows)
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield made(rows)
+
+    return partners
+
+
 def _links(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows come sorted by task; each task's links are a star over its components."""
 
@@ -326,7 +409,7 @@ def join(
     own = named(docs, id=id, text=text)
     kind = own.schema["id"].dataType.simpleString()
     marked = own.withColumn("copy", F.xxhash64("text"))
-    schema = f"id {kind}, copy long, n_shingles long, node long, cells array<long>"
+    schema = f"id {kind}, copy long, n_shingles long, node long, cells array<long>, bits binary"
     features = stored(marked.mapInArrow(_features(measure), schema), "shingle-cells")
     keyed = features.select(F.explode("cells").alias("cell"), "node")
     roots = keyed.groupBy(F.col("cell").alias("_cell")).agg(
@@ -335,11 +418,17 @@ def join(
     roots = roots.filter(F.col("root") != F.col("_last"))
     pairs = keyed.join(roots, F.col("cell") == F.col("_cell")).select("root", "node").distinct()
     nodes = features.filter("node is not null").groupBy("node").agg(
-        F.min("id").alias("id"), F.first("n_shingles").alias("size")
+        F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits")
     )
     sized = nodes.select(F.col("node").alias("_node"), "size")
     members = pairs.join(sized, F.col("node") == F.col("_node")).select("root", "node", "size")
-    tasks = stored(_tasks(stored(members, "roots"), codes_per_chunk), "tree-tasks")
+    tasks = _tasks(stored(members, "roots"), codes_per_chunk)
+    marks = nodes.select(F.col("node").alias("_node"), "size", "bits")
+    tasks = tasks.join(marks, F.col("node") == F.col("_node"))
+    tasks = tasks.select("task", "side", "node", "size", "bits")
+    tasks = tasks.repartition("task").sortWithinPartitions("task")
+    tasks = tasks.mapInArrow(_partners(measure), "task long, side int, node long")
+    tasks = stored(tasks, "tree-tasks")
     # One text for each node that has company, then its codes, then its tasks.
     wanted = tasks.select(F.col("node").alias("_node")).distinct()
     wanted = nodes.join(wanted, F.col("node") == F.col("_node"), "left_semi")
@@ -351,7 +440,7 @@ def join(
     work = work.repartition("task").sortWithinPartitions("task")
     links = work.mapInArrow(_links(measure), "a long, b long")
     hung = components(links, "a", "b")
-    return _labelled(features.drop("cells"), hung)
+    return _labelled(features.drop("cells", "bits"), hung)
 
 
 def _labelled(features: DataFrame, hung: DataFrame) -> DataFrame:
