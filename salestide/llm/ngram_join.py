@@ -297,6 +297,13 @@ class Partners(Join):
         self.label = np.arange(len(sizes))
         self.found = np.zeros(len(sizes), bool)
 
+    def visit(self, level: int, i: int, j: int) -> None:
+        """Two tree nodes whose sets all have a partner are not looked into."""
+        span = LEAF * FAN_OUT**level
+        below = [self.found[: len(self.a.sizes)], self.found[self.shift :]]
+        if not all(found[k * span : (k + 1) * span].all() for found, k in zip(below, (i, j))):
+            super().visit(level, i, j)
+
     def verify(self, x: int, rows: np.ndarray) -> None:
         self.found[x] = True
         self.found[rows + self.shift] = True
