@@ -44,11 +44,12 @@ def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
-    """One record; its length and digest are added to the headers."""
+def with_block(headers: list[tuple[str, str]], block: bytes) -> tuple[dict[str, str], bytes]:
+    """Headers and bytes of one record; its length and digest are added to the headers."""
     more = [("WARC-Block-Digest", digest(block)), ("Content-Length", str(len(block)))]
-    lines = [f"{BREAKS.sub(' ', n)}: {BREAKS.sub(' ', v)}" for n, v in [*headers, *more]]
-    return "\r\n".join([VERSION, *lines, "", ""]).encode() + block + b"\r\n\r\n"
+    whole = {BREAKS.sub(" ", n): BREAKS.sub(" ", v) for n, v in [*headers, *more]}
+    lines = [f"{name}: {value}" for name, value in whole.items()]
+    return whole, "\r\n".join([VERSION, *lines, "", ""]).encode() + block + b"\r\n\r\n"
 
 
 def parse(data: bytes) -> list[tuple[dict[str, str], bytes]]:
@@ -86,14 +87,18 @@ def response(key: str, uri: str, html: str, date: str = DATE) -> bytes:
         ("WARC-Payload-Digest", digest(payload)),
         ("Content-Type", "application/http; msgtype=response"),
     ]
-    return record(headers, block)
+    return with_block(headers, block)[1]
 
 
-def derive(source: bytes) -> list[tuple[dict[str, str], bytes, bytes]]:
-    """Headers, block and bytes of the metadata and the conversion record of a response."""
-    (headers, block), *others = parse(source)
-    if others or headers["WARC-Type"] != "response":
+def read_response(source: bytes) -> tuple[dict[str, str], bytes]:
+    (found, *others) = parse(source)
+    if others or found[0]["WARC-Type"] != "response":
         raise ValueError("a single response record is expected")
+    return found
+
+
+def derive(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, str], bytes, bytes]]:
+    """Headers, block and bytes of the metadata and the conversion record of a response."""
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *http = head.decode("latin-1").split("\r\n")
     page = read_page(payload.decode("utf-8", "replace"))
@@ -123,9 +128,8 @@ def derive(source: bytes) -> list[tuple[dict[str, str], bytes, bytes]]:
     ):
         first = [("WARC-Type", kind), ("WARC-Record-ID", record_id(kind, own))]
         extra = [("WARC-Source-Content-Type", h[14:]) for h in http if h.lower().startswith("content-type: ")]
-        whole = record([*first, *kept, *extra, ("Content-Type", mime)], data)
-        ((parsed, _),) = parse(whole)
-        made.append((parsed, data, whole))
+        own_headers, whole = with_block([*first, *kept, *extra, ("Content-Type", mime)], data)
+        made.append((own_headers, data, whole))
     return made
 
 
@@ -178,8 +182,9 @@ def derivatives(rows: DataFrame, page_id: str = "page_id", source: str = "respon
                 source = data.as_py()
                 if source is None:
                     continue
-                payload = parse(source)[0][0]["WARC-Payload-Digest"]
-                for headers, block, whole in derive(source):
+                response_headers, message = read_response(source)
+                payload = response_headers["WARC-Payload-Digest"]
+                for headers, block, whole in derive(response_headers, message):
                     keys.append(at)
                     row = {name: headers.get(header) for name, header in COLUMNS}
                     row |= {"source_digest": payload, "content_length": len(block), "record": whole}

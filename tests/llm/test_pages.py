@@ -130,7 +130,7 @@ def test_line_breaks_forge_no_headers():
     data = warc.response("1", "http://a\r\nWARC-Type: warcinfo", "<title>x\r\ny</title>")
     ((headers, _),) = warc.parse(data)
     assert headers["WARC-Type"] == "response"
-    for parsed, _, whole in warc.derive(data):
-        assert len(warc.parse(whole)) == 1 and parsed["WARC-Refers-To"] == headers["WARC-Record-ID"]
+    for parsed, _, whole in warc.derive(*warc.read_response(data)):
+        assert warc.parse(whole)[0][0] == parsed and parsed["WARC-Refers-To"] == headers["WARC-Record-ID"]
     with pytest.raises(ValueError):
-        warc.derive(warc.derive(data)[0][2])
+        warc.read_response(warc.derive(*warc.read_response(data))[0][2])
