@@ -137,3 +137,19 @@ def test_shingles_of_short_lines(spark, text):
 def test_the_main_path_has_no_python(make_docs):
     plan = line_dedup.dedup(make_docs([(1, "a", "b")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_partners_meet_in_a_bucket_of_strangers(spark, monkeypatch):
+    """Lines of one template in one bucket, with other bands that keep near copies apart."""
+    monkeypatch.setattr(line_dedup, "CHUNK", 40)
+    chance = random.Random(5)
+    word = lambda: "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=5))
+    shared = " ".join(word() for _ in range(30))
+    lines = [f"{shared} {' '.join(word() for _ in range(12))}" for _ in range(100)]
+    lines += [f"{line} end" for line in lines]
+    # In the order of the next bands a near copy is 100 lines behind.
+    rows = [(1, i, [1, i, *range(1000, 1008)]) for i in range(200)]
+    buckets = spark.createDataFrame(rows, "band long, node long, bands array<long>")
+    texts = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    made = {r.node: r.root for r in line_dedup._links(buckets, texts).collect()}
+    assert made == {i + 100: i for i in range(100)}
