@@ -153,3 +153,18 @@ def test_partners_meet_in_a_bucket_of_strangers(spark, monkeypatch):
     texts = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
     made = {r.node: r.root for r in line_dedup._links(buckets, texts).collect()}
     assert made == {i + 100: i for i in range(100)}
+
+
+def test_sets_hold_a_shingle_at_every_character(spark):
+    lines = ["a", "exactly8", "nine char", "a b c d e f g h", "汉字 x🙂é und noch ein paar", "x" * 50]
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    made = [len(r.s) for r in frame.select(line_dedup.character_set(F.col("line")).alias("s")).collect()]
+    assert made == [len({x[i : i + 8] for i in range(max(1, len(x) - 7))}) for x in lines]
+
+
+def test_one_changed_character_of_a_hundred_is_similar(spark):
+    # 85 of 101 shingles are shared; of three-word runs only 17 of 23.
+    line = " ".join(f"word{chr(97 + i)}" for i in range(20))[:100]
+    texts = spark.createDataFrame([(0, line), (1, line[:50] + "#" + line[51:])], "node long, line string")
+    pairs = spark.createDataFrame([(0, 1)], "a long, b long")
+    assert line_dedup._similar(pairs, texts).count() == 1
