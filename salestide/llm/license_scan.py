@@ -88,6 +88,8 @@ CREATIVE = {
     "by nc nd": "attribution non ?commercial no ?derivatives",
 }
 VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
+#: Keywords of the first form, which holds the license tag and may hold no word of the name.
+TAGGED = "spdx license"
 
 #: How a rule finds a name: its priority, its weight and what stands around the name.
 FORMS = [
@@ -113,7 +115,8 @@ def rules() -> list[tuple[int, float, str, str, str]]:
     for priority, weight, form in FORMS:
         for label, keywords, name, tag in names:
             found = form.replace("{name}", f"(?:{name})").replace("{tag}", re.escape(tag).replace("\\ ", " "))
-            made.append((priority, weight, label, keywords, f" {found}(?= )"))
+            own = TAGGED if "{tag}" in form else keywords
+            made.append((priority, weight, label, own, f" {found}(?= )"))
     return made
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from re import _parser
+
 import pytest
 
 from salestide.llm import license_scan, queries
@@ -55,6 +57,48 @@ def test_there_are_hundreds_of_rules_in_order():
     assert len(rules) > 200 and [r[0] for r in rules] == sorted(r[0] for r in rules)
 
 
+def _said(pattern):
+    """A text that the expression of a rule matches: first choices, without optional parts."""
+
+    def one(parsed):
+        made = ""
+        for kind, value in parsed:
+            name = str(kind)
+            if name == "LITERAL":
+                made += chr(value)
+            elif name == "IN":
+                made += chr(value[0][1])
+            elif name == "MAX_REPEAT":
+                made += one(value[2]) * value[0]
+            elif name == "SUBPATTERN":
+                made += one(value[3])
+            elif name == "BRANCH":
+                made += one(value[1][0])
+            else:
+                assert name == "ASSERT", name
+        return made
+
+    return one(_parser.parse(pattern)).strip()
+
+
+def test_no_keyword_silences_a_rule(make_docs):
+    """Each rule finds a text that its expression matches, though it may be suppressed."""
+    rules = license_scan.rules()
+    made = _scan(make_docs([(i, _said(rule[4]), None) for i, rule in enumerate(rules)]))
+    for i, (_, weight, label, _, pattern) in enumerate(rules):
+        assert label in made[i].labels.split(",") and made[i].score >= weight, (pattern, made[i])
+
+
+def test_spdx_lines(make_docs):
+    tags = {
+        "MIT": "mit", "ISC": "isc", "MIT-0": "mit-0", "Artistic-2.0": "artistic-2.0", "BSL-1.0": "bsl-1.0",
+        "LicenseRef-Proprietary": "proprietary", "BUSL-1.1": "busl-1.1", "CPL-1.0": "cpl-1.0", "PSF-2.0": "psf-2.0",
+    }
+    rows = [(i, f"# SPDX-License-Identifier: {tag}\nimport os", None) for i, tag in enumerate(tags)]
+    made = _scan(make_docs(rows))
+    assert [(made[i].labels, made[i].score) for i in range(len(tags))] == [(x, 1.0) for x in tags.values()]
+
+
 def test_no_documents_and_no_python(make_docs):
     made = license_scan.scan(make_docs([]))
     assert made.collect() == []
