@@ -163,7 +163,7 @@ def test_sets_hold_a_shingle_at_every_character(spark):
 
 
 def test_one_changed_character_of_a_hundred_is_similar(spark):
-    # 85 of 101 shingles are shared; of three-word runs only 17 of 23.
+    # 85 of 101 shingles are shared; of runs of three words only 14 of 20.
     line = " ".join(f"word{chr(97 + i)}" for i in range(20))[:100]
     texts = spark.createDataFrame([(0, line), (1, line[:50] + "#" + line[51:])], "node long, line string")
     pairs = spark.createDataFrame([(0, 1)], "a long, b long")
