@@ -28,7 +28,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,17 +42,22 @@ from salestide.session import stored
 
 FOLDER = "/opt/tokenizers"
 BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: A block ends with the document that brings it to so many links or documents.
-BLOCK_LINKS, BLOCK_DOCS = 2_000_000, 1 << 15
+#: A block ends when it has so many links or documents, with the part that brings it there.
+BLOCK_LINKS, BLOCK_DOCS = 2_000_000, 1 << 16
 #: Different stretches that a worker keeps from one block to the next.
 KEPT = 300_000
+#: Texts that are worked through at once.
+PART = 128
 #: Bytes that are encoded at once.
 CHUNK = 1 << 16
 #: An id of B is below this; a pair is ``a * SECOND + b``.
 SECOND = 1 << 24
-#: Where a text may be cut: before a blank between two characters that are not white space to the left or right of it.
+#: Where a text may be cut: before a blank that follows none and is followed by no white space.
 CUT = re.compile(r"(?<! )(?= \S)")
-HARD = re.compile(r" (?:\s|\Z)|\A\s")
+#: Fixed value: the pattern by which a byte-level vocabulary of this kind cuts texts.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters up to here are classed alike by all versions of Unicode in use.
+SETTLED = re.compile("[^\0-\u04ff\u2010-\u2027]")
 #: The plane of the documents that hold a pair at all.
 ALL = -1
 
@@ -69,6 +75,7 @@ class Pair:
     def __init__(self, byte_file: str, piece_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(byte_file)
@@ -83,6 +90,9 @@ class Pair:
             self.size_a[k] = len(data)
         self.size_b = np.array([len(data) for data in self.bytes_b])
 
+        ranks = {data: k for k, data in self.bytes_a.items()}
+        self.fast = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def _piece(self, k: int) -> bytes:
         piece = self.b.id_to_piece(k)
         if self.b.is_byte(k):
@@ -90,17 +100,36 @@ class Pair:
         return piece.replace("▁", " ").encode()
 
     def encode(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids of a blank and the text; None if the bytes aren't the same."""
-        ids_a = self.a.encode(" " + text, add_special_tokens=False).ids
+        """Ids of a blank and the text; None if the bytes aren't the same.
+
+        Of two libraries with the same vocabulary the quicker one reads what both class alike.
+        """
+        if SETTLED.search(text):
+            ids_a = self.a.encode(" " + text, add_special_tokens=False).ids
+        else:
+            ids_a = self.fast.encode_ordinary(" " + text)
         ids_b = self.b.encode(text, num_threads=1)
         want = (" " + text).encode()
-        if b"".join(self.bytes_b[k] for k in ids_b) != want:
+        if b"".join(map(self.bytes_b.__getitem__, ids_b)) != want:
             return None
-        if b"".join(self.bytes_a.get(k, b"") for k in ids_a) != want:
+        if b"".join(map(self.bytes_a.get, ids_a, repeat(b""))) != want:
             return None
         return ids_a, ids_b
 
 
+class Places(dict):
+    """Stretches and their numbers; a new one gets the next number and waits to be encoded."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        k = self[text] = len(self)
+        self.new.append(text)
+        return k
+
+
 class Stretches:
     """The different stretches met so far: counts, the groups as text, and links of each.
 
@@ -114,29 +143,49 @@ class Stretches:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = Places()
+        self.bad: set[int] = set()
         self.said: list[str] = []
         # Rows of n_a, n_b, n_groups, n_links and whether both tokenizers give the bytes back.
         self.facts: list[np.ndarray] = [np.zeros((0, 5), np.int64)]
         self.links: list[np.ndarray] = [np.zeros(0, np.int64)]
 
-    def compact(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Facts, where each stretch's links begin, and all links."""
+    def rows(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The numbers of each text's stretches; new ones are encoded."""
+        cuts = [text.split(" ") if text else [] for text in texts]
+        known = len(self.place)
+        found = [np.fromiter(map(self.place.__getitem__, cut), np.int64, len(cut)) for cut in cuts]
+        # A piece without text, or with white space ahead, isn't one: such texts are cut with care.
+        bad = [k for k, text in enumerate(self.place.new, known) if not text or text[0].isspace()]
+        self.bad.update(bad)
+        if self.bad:
+            wrong = np.fromiter(self.bad, np.int64)
+            for k, rows in enumerate(found):
+                if np.isin(rows, wrong).any():
+                    cut = [one[1:] for one in CUT.split(" " + texts[k])]
+                    found[k] = np.fromiter(map(self.place.__getitem__, cut), np.int64, len(cut))
+        new, self.place.new = self.place.new, []
+        self._add(new)
+        return found
+
+    def compact(self) -> tuple[np.ndarray, np.ndarray]:
+        """Facts and links of all stretches."""
         self.facts, self.links = [np.concatenate(self.facts)], [np.concatenate(self.links)]
-        return self.facts[0], np.r_[0, np.cumsum(self.facts[0][:, 3])], self.links[0]
+        return self.facts[0], self.links[0]
 
-    def add(self, wanted: Iterable[str]) -> None:
+    def _add(self, wanted: list[str]) -> None:
         easy: list[str] = []
         size = 0
         for text in wanted:
-            if not text or " " in text or text[0].isspace():
-                self._encode([text])
-                continue
-            easy.append(text)
-            size += len(text) + 1
-            if size > CHUNK:
+            alone = not text or " " in text or text[0].isspace()
+            if easy and (alone or size > CHUNK):
                 self._encode(easy)
                 easy, size = [], 0
+            if alone:
+                self._encode([text])
+            else:
+                easy.append(text)
+                size += len(text) + 1
         if easy:
             self._encode(easy)
 
@@ -147,24 +196,22 @@ class Stretches:
             ids_a, ids_b = (np.array(ids, np.int64) for ids in found)
             ends_a, ends_b = np.cumsum(self.pair.size_a[ids_a]), np.cumsum(self.pair.size_b[ids_b])
             ends = np.cumsum([len(text.encode()) + 1 for text in texts])
-            both = np.intersect1d(ends_a, ends_b)
+            both = np.intersect1d(ends_a, ends_b, assume_unique=True)
             if np.isin(ends, both).all():
-                self._align(texts, ids_a, ids_b, ends_a, ends_b, both, ends)
+                self._align(ids_a, ids_b, ends_a, ends_b, both, ends)
                 return
         if len(texts) > 1:
             for text in texts:
                 self._encode([text])
             return
-        self._keep(texts, [""], np.zeros((1, 5), np.int64), np.zeros(0, np.int64))
+        self._keep([""], np.zeros((1, 5), np.int64), np.zeros(0, np.int64))
 
-    def _keep(self, texts: list[str], said: list[str], facts: np.ndarray, links: np.ndarray) -> None:
-        for k, text in enumerate(texts, len(self.said)):
-            self.place[text] = k
+    def _keep(self, said: list[str], facts: np.ndarray, links: np.ndarray) -> None:
         self.said += said
         self.facts.append(facts)
         self.links.append(links)
 
-    def _align(self, texts, ids_a, ids_b, ends_a, ends_b, both, ends) -> None:
+    def _align(self, ids_a, ids_b, ends_a, ends_b, both, ends) -> None:
         starts_a, starts_b = ends_a - self.pair.size_a[ids_a], ends_b - self.pair.size_b[ids_b]
         first = np.searchsorted(ends_b, starts_a, "right")
         count = np.searchsorted(starts_b, ends_a, "left") - first
@@ -190,27 +237,39 @@ class Stretches:
             return np.bincount(np.searchsorted(ends, places), weight, len(ends)).astype(np.int64)
 
         facts = [each(ends_a), each(ends_b), each(both), each(ends_a, count), np.ones(len(ends), np.int64)]
-        self._keep(texts, said, np.stack(facts, axis=1), links)
+        self._keep(said, np.stack(facts, axis=1), links)
 
 
 _stretches: dict[tuple[str, str], Stretches] = {}
 
 
-def _cut(text: str) -> list[str]:
-    """The stretches of a blank and the text, each without its blank."""
-    if HARD.search(text):
-        return [one[1:] for one in CUT.split(" " + text)]
-    return text.split(" ")
-
-
 class Block:
-    """Documents of a block: rows of stretch numbers and facts about each document."""
+    """Documents of a block: their ids, rows of stretch numbers, and facts."""
 
-    def __init__(self, number: int):
-        self.number, self.rows, self.ids = number, [], []
+    def __init__(self, number: int, kind: pa.DataType):
+        self.number, self.kind = number, kind
+        self.ids: list[pa.Array] = []
+        self.rows: list[np.ndarray] = []
         self.facts: list[tuple] = []
         self.links = 0
 
+    def add(self, id: pa.Array, rows: np.ndarray, facts: np.ndarray, store: Stretches) -> None:
+        own = np.zeros(5, np.int64)
+        if len(rows):
+            own = facts[rows].sum(axis=0)
+        if own[4] < max(1, len(rows)):
+            rows, own, said = rows[:0], np.zeros(5, np.int64), ""
+        else:
+            groups = ";".join(map(store.said.__getitem__, rows.tolist()))
+            said = hashlib.sha256(groups.encode()).hexdigest()
+        self.ids.append(id)
+        self.rows.append(rows)
+        self.facts.append((*own[:4].tolist(), said))
+        self.links += int(own[3])
+
+    def full(self, most: int) -> bool:
+        return self.links >= most or len(self.rows) > BLOCK_DOCS - PART
+
 
 def containers(pairs: np.ndarray, docs: np.ndarray, size: int) -> tuple[np.ndarray, list[bytes] | pa.Array, np.ndarray]:
     """Each different pair of the sorted rows, its container, and whether that is plain bits."""
@@ -243,40 +302,56 @@ def _schema(kind: str) -> str:
     )
 
 
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after the other."""
+    ends = np.cumsum(count)
+    return np.repeat(begin - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _inverted(block: Block, store: Stretches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``pair, document, times``, sorted by the first two."""
+    facts, links = store.compact()
+    begin = np.cumsum(facts[:, 3]) - facts[:, 3]
+    row = np.repeat(np.arange(len(block.rows)), [len(one) for one in block.rows])
+    used, stretch = np.unique(np.concatenate(block.rows), return_inverse=True)
+    keys, times = np.unique(row * max(1, len(used)) + stretch, return_counts=True)
+    row, stretch = np.divmod(keys, max(1, len(used)))
+    own = facts[used, 3]
+    found, pair = np.unique(links[_ranges(begin[used], own)], return_inverse=True)
+    count = own[stretch]
+    keys = pair[_ranges((np.cumsum(own) - own)[stretch], count)] * BLOCK_DOCS + np.repeat(row, count)
+    times = np.repeat(times, count)
+    bits = int(times.max(initial=0)).bit_length()
+    if int(len(found) * BLOCK_DOCS).bit_length() + bits < 64:
+        both = np.sort((keys << bits) | times)
+        keys, times = both >> bits, both & ((1 << bits) - 1)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, times = keys[order], times[order]
+    if not len(keys):
+        return keys, keys, times
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    pair, doc = np.divmod(keys[first], BLOCK_DOCS)
+    return found[pair], doc, np.add.reduceat(times, first)
+
+
 def _postings(block: Block, store: Stretches) -> Iterator[pa.RecordBatch]:
     """Rows of a block's documents, then those of its containers."""
-    _, begins, links = store.compact()
-    size = len(block.rows)
-    row = np.repeat(np.arange(size), [len(one) for one in block.rows])
-    stretch = np.concatenate(block.rows) if block.rows else np.zeros(0, np.int64)
-    keys, times = np.unique(row * max(1, len(begins)) + stretch, return_counts=True)
-    row, stretch = np.divmod(keys, max(1, len(begins)))
-    count = begins[stretch + 1] - begins[stretch]
-    at = np.repeat(begins[stretch], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    found, pair = np.unique(links[at], return_inverse=True)
-    keys = pair * BLOCK_DOCS + np.repeat(row, count)
-    order = np.argsort(keys, kind="stable")
-    keys, times = keys[order], np.repeat(times, count)[order]
-    begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    more = np.add.reduceat(times, begin) - 1 if len(keys) else times
-    pair, doc = np.divmod(keys[begin], BLOCK_DOCS)
-
-    facts = list(zip(*block.facts)) or [()] * 5
-    count = len(block.ids)
-    none = lambda kind: pa.nulls(count, kind)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(count, block.number)), none(pa.int64()), none(pa.int32()), none(pa.bool_()), none(pa.binary()),
-            pa.concat_arrays([one for one in block.ids_arrays]) if count else pa.array([], block.kind),
-            pa.array(np.arange(count), pa.int32()), *[pa.array(column, pa.int64()) for column in facts[:4]],
-            pa.array(facts[4], pa.string()),
-        ],
-        NAMES,
-    )
+    pair, doc, times = _inverted(block, store)
+    more, size = times - 1, len(block.rows)
+
+    *numbers, said = zip(*block.facts)
+    arrays = [
+        pa.array(np.full(size, block.number)), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int32()),
+        pa.nulls(size, pa.bool_()), pa.nulls(size, pa.binary()), pa.concat_arrays(block.ids),
+        pa.array(np.arange(size), pa.int32()), *[pa.array(column, pa.int64()) for column in numbers],
+        pa.array(said, pa.string()),
+    ]
+    yield pa.RecordBatch.from_arrays(arrays, NAMES)
     plane = ALL
     while len(pair):
         held = slice(None) if plane == ALL else (more >> plane) & 1 == 1
-        pairs, bits, dense = containers(found[pair[held]], doc[held], size)
+        pairs, bits, dense = containers(pair[held], doc[held], size)
         if len(pairs):
             count = len(pairs)
             arrays = [
@@ -297,39 +372,23 @@ def _index(files: tuple[str, str], block_links: int) -> Callable[[Iterator[pa.Re
             store = _stretches[files] = Stretches(Pair(*files))
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 32
-        block = Block(number)
-        block.ids_arrays = []
+        block = None
         for batch in batches:
-            block.kind = batch.column("id").type
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                part = [_cut(text) if text else [] for text in texts[at : at + 64]]
-                new = set().union(*part) - store.place.keys()
-                store.add(sorted(new))
-                facts, _, _ = store.compact()
-                for k, cut in enumerate(part, at):
-                    rows = np.fromiter(map(store.place.__getitem__, cut), np.int64, len(cut))
-                    own = facts[rows].sum(axis=0)
-                    if not cut or own[4] < len(cut):
-                        rows, own, said = rows[:0], np.zeros(5, np.int64), ""
-                    else:
-                        said = hashlib.sha256(";".join(map(store.said.__getitem__, rows.tolist())).encode()).hexdigest()
-                    block.rows.append(rows)
-                    block.ids.append(k)
-                    block.ids_arrays.append(batch.column("id").slice(k, 1))
-                    block.facts.append((*own[:4].tolist(), said))
-                    block.links += int(own[3])
-                    if block.links >= block_links or len(block.rows) >= BLOCK_DOCS:
-                        yield from _postings(block, store)
-                        number += 1
-                        kind, block = block.kind, Block(number)
-                        block.kind, block.ids_arrays = kind, []
+            texts, ids = batch.column("text").to_pylist(), batch.column("id")
+            block = block or Block(number, ids.type)
+            for at in range(0, len(texts), PART):
                 if len(store.said) > KEPT and not block.rows:
                     store.clear()
-        if block.rows:
+                found = store.rows(texts[at : at + PART])
+                facts, _ = store.compact()
+                for k, rows in enumerate(found, at):
+                    block.add(ids.slice(k, 1), rows, facts, store)
+                if block.full(block_links):
+                    yield from _postings(block, store)
+                    number += 1
+                    block = Block(number, ids.type)
+        if block and block.rows:
             yield from _postings(block, store)
-        if len(store.said) > KEPT:
-            store.clear()
 
     return index
 

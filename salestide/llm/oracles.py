@@ -2,7 +2,7 @@
 
 The others have none: learned or random models (page text, mix), signatures (lines), a few
 hundred expressions with look-ahead (licenses), places of matches (personal data), template
-windows with typed slots (benchmark) and binary records (WARC). Tests hold those against
+windows with typed slots (benchmark), binary records (WARC) and two tokenizers (links). Tests hold those against
 plain versions, exact round trips or held-out labels.
 """
 
@@ -112,5 +112,96 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS l
 FROM whole"""
 
 
+NEGATIVES = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM met WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank
+FROM positives JOIN met USING (anchor_id)
+WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
+def _url_verdicts() -> str:
+    rules = [
+        ("net", "/", "block"),
+        ("example.net", "/en/", "allow"),
+        ("example.com", "/de/", "block"),
+        ("org", "/fr/", "allow"),
+    ]
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in rules)
+    host = f"translate(regexp_extract({{0}}, '://([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
+    path = "regexp_extract({0}, '://[^/?#]*([^?#]*)', 1)"
+    node = f"CASE WHEN contains({{0}}, '://') THEN [{host}, {path}, regexp_extract({{0}}, '://[^?#]*(\\?[^#]*)', 1)] END"
+    field = (
+        "trim(replace(replace(replace(regexp_replace(list_filter(list_zip("
+        """regexp_extract_all(tag, '([^\s"''<>/=]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), """
+        """regexp_extract_all(tag, '([^\s"''<>/=]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 2)), """
+        """lambda p: lower(p[1]) = '{0}')[1][2], '^["'']|["'']$', '', 'g'), '&amp;', '&'), '&#38;', '&'), '&#x26;', '&'))"""
+    )
+    walked = """(SELECT '/' || array_to_string(s, '/') || CASE WHEN len(s) > 0 AND regexp_matches({0}, '/\.\.?$') THEN '/' ELSE '' END
+      FROM (SELECT list_reduce(string_split({0}, '/')[2:], lambda d, x: CASE WHEN x = '..' THEN d[:greatest(len(d) - 1, 0)] WHEN x = '.' THEN d ELSE d || [x] END, []::VARCHAR[]) AS s))"""
+    base = "lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) || '://' || regexp_extract(url, '://([^/?#]*)', 1)"
+    own, query = "regexp_extract(bare, '^([^?]*)', 1)", "regexp_extract(bare, '(?s)(\?.*)$', 1)"
+    beside = f"CASE WHEN beside = '' THEN '/' ELSE beside END || {own}"
+    return f"""
+WITH RECURSIVE rules(host, path, verdict) AS (VALUES {values}),
+tags AS (
+  SELECT DISTINCT url, unnest(regexp_extract_all(
+    regexp_replace(html, '(?is)<!--.*?(?:-->|\z)|<(?:script|style)\b.*?(?:</(?:script|style)|\z)', ' ', 'g'),
+    '(?i)<(?:link|meta)[\s/](?:[^>"'']|"[^"]*"|''[^'']*'')*>')) AS tag
+  FROM pages WHERE contains(url, '://') AND regexp_matches(html, '(?i)canonical|refresh')),
+links AS (
+  SELECT url, CASE
+    WHEN lower(tag[2:5]) = 'link' AND list_contains(regexp_split_to_array(lower({field.format("rel")}), '\s+'), 'canonical')
+      THEN {field.format("href")}
+    WHEN lower(tag[2:5]) = 'meta' AND lower({field.format("http-equiv")}) = 'refresh'
+      THEN nullif(trim(regexp_extract({field.format("content")}, '(?is)^\s*[0-9.]*\s*[;,]?\s*url\s*=\s*["'']?\s*([^"'']*)', 1)), '')
+    END AS link FROM tags),
+bare AS (
+  SELECT url, regexp_replace(link, '(?s)#.*$', '') AS bare,
+    regexp_replace({path.format("url")}, '[^/]*$', '') AS beside
+  FROM links WHERE link IS NOT NULL),
+resolved AS (
+  SELECT url, CASE
+    WHEN regexp_matches(bare, '^(?i)https?:') AND contains(bare, '://') THEN bare
+    WHEN regexp_matches(bare, '^[A-Za-z][A-Za-z0-9+.-]*:') OR bare = '' THEN NULL
+    WHEN starts_with(bare, '//') THEN lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) || ':' || bare
+    WHEN starts_with(bare, '?') THEN {base} || {path.format("url")} || bare
+    WHEN starts_with(bare, '/') THEN {base} || {walked.format(own)} || {query}
+    ELSE {base} || {walked.format(beside)} || {query} END AS target
+  FROM bare),
+edges AS (
+  SELECT {node.format("url")} AS a, {node.format("target")} AS b FROM resolved
+  WHERE contains(target, '://')),
+ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (SELECT a, a AS b FROM ways UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a),
+ruled AS (
+  SELECT node, arg_max(rules.host || rules.path, length(rules.host || rules.path)) AS rule,
+    arg_max(verdict, length(rules.host || rules.path)) AS verdict
+  FROM (SELECT b AS node FROM reach UNION SELECT {node.format("url")} FROM pages) nodes
+  JOIN rules ON (node[1] = rules.host OR ends_with(node[1], '.' || rules.host)) AND starts_with(node[2], rules.path)
+  GROUP BY node),
+passed AS (
+  SELECT a AS node FROM reach JOIN ruled ON ruled.node = reach.b
+  GROUP BY a HAVING bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow'))
+SELECT page_id, coalesce({host.format("url")}, '') AS host, coalesce({path.format("url")}, '') AS path, rule,
+  coalesce(verdict, CASE WHEN passed.node IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM pages LEFT JOIN ruled ON ruled.node = {node.format("url")}
+LEFT JOIN passed ON passed.node = {node.format("url")}"""
+
+
+URL_VERDICTS = _url_verdicts()
 QUALITY = _quality()
 CHAT = _chat("\\### Assistant: </turn> ok")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from salestide.llm import (
     chat,
+    cross_tokenizer,
     decontaminate,
+    hard_negatives,
     html_extract,
     license_scan,
     line_dedup,
@@ -16,6 +18,7 @@ from salestide.llm import (
     oracles,
     quality_rules,
     sanitise,
+    url_filter,
     warc,
 )
 
@@ -95,6 +98,32 @@ def mixture(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    moved = F.when(F.expr("vec_id % 7 = 0"), F.expr("(label + 1) % 10")).otherwise(F.col("label"))
+    whole = F.when(hard_negatives.usable(F.col("embedding")), hard_negatives.whole_numbers(F.col("embedding")))
+    rows = rows.select("vec_id", moved.alias("label"), whole.alias("embedding"))
+    return hard_negatives.mine(rows, F.expr("vec_id % 50 = 0"), "vec_id", "label", "embedding")
+
+
+def token_links(spark: SparkSession, folder: str) -> DataFrame:
+    rows = cross_tokenizer.align(_table(spark, folder, "documents"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+URL_RULES = (
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+)
+
+
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = url_filter.judge(_table(spark, folder, "pages"), URL_RULES)
+    return rows.withColumnRenamed("id", "page_id")
+
+
 QUERIES = {
     "op1_shingle_join": shingle_join,
     "op2_host_quality": quality,
@@ -106,10 +135,15 @@ QUERIES = {
     "op8_fuzzy_lines": fuzzy_lines,
     "op9_pivotal_mix": mixture,
     "op10_warc_derivatives": warc_derivatives,
+    "op11_cover_tree_negatives": negatives,
+    "op12_pair_bitmaps": token_links,
+    "op13_redirect_classes": url_verdicts,
 }
 
 SQL: dict[str, str] = {
     "op1_shingle_join": oracles.SHINGLE_JOIN,
     "op2_host_quality": oracles.QUALITY,
     "op6_chat_format": oracles.CHAT,
+    "op11_cover_tree_negatives": oracles.NEGATIVES,
+    "op13_redirect_classes": oracles.URL_VERDICTS,
 }

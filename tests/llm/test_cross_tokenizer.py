@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from salestide.llm import cross_tokenizer as cross
+
+FILES = (f"{cross.FOLDER}/{cross.BYTE_FILE}", f"{cross.FOLDER}/{cross.PIECE_FILE}")
+ODD = [
+    (10001, ""), (10002, None), (10003, "  two  blanks \n x  "), (10004, "a▁b c"), (10005, "\tx y\n\n z 　 q \x00 w <|endoftext|> <s> </s> é́"),
+    (10006, " "), (10007, "\n \n"), (10008, "it's we'll 'tis x y"), (10003, "  two  blanks \n x  "), (None, "no id"), (10009, "的 文字 हिन्दी 😀 ​ x"),
+    (10010, "x" * 3000), (10011, "word " * 5000), (10012, "\x85 next\x1c line   y"),
+]
+
+
+@pytest.fixture(scope="module")
+def pair():
+    return cross.Pair(*FILES)
+
+
+def whole(pair, text):
+    """Ids of the whole text at once, by the libraries alone."""
+    ids_a = pair.a.encode(" " + text, add_special_tokens=False).ids
+    ids_b = pair.b.encode(text)
+    want = (" " + text).encode()
+    sized = b"".join(pair.bytes_b[k] for k in ids_b)
+    return (ids_a, ids_b) if sized == want and b"".join(pair.bytes_a[k] for k in ids_a) == want else None
+
+
+def brute(pair, rows):
+    counts, found = Counter(), []
+    for id, text in rows:
+        ids = whole(pair, text) if text else None
+        if not ids:
+            found.append((id, 0, 0, 0, [], ""))
+            continue
+        a, b = ids
+        ends_a, ends_b = np.cumsum(pair.size_a[a]).tolist(), np.cumsum(pair.size_b[b]).tolist()
+        starts_a, starts_b = [0, *ends_a], [0, *ends_b]
+        links, groups, i, j = [], [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            x, y = i, j
+            while i < len(a) and ends_a[i] <= end:
+                i += 1
+            while j < len(b) and ends_b[j] <= end:
+                j += 1
+            groups.append("|".join(",".join(map(str, ids)) for ids in (a[x:i], b[y:j])))
+            links += [(a[m], b[n]) for m in range(x, i) for n in range(y, j) if starts_a[m] < ends_b[n] and starts_b[n] < ends_a[m]]
+        counts.update(links)
+        found.append((id, len(a), len(b), len(groups), links, hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    best = Counter()
+    for (_, b), n in counts.items():
+        best[b] = max(best[b], n)
+    return counts, [
+        (id, a, b, g, len(links), sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links), said)
+        for id, a, b, g, links, said in found
+    ]
+
+
+@pytest.fixture(scope="module")
+def rows(small):
+    return [(r.doc_id, r.text) for r in small[1]] + ODD
+
+
+@pytest.fixture(scope="module")
+def want(pair, rows):
+    return brute(pair, rows)
+
+
+@pytest.mark.parametrize("block_links", [2000, cross.BLOCK_LINKS])
+def test_documents_against_whole_texts(spark, rows, want, block_links):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = docs.withColumns({n: F.lit("x") for n in ("id", "pair", "block", "bits", "plane", "dense", "_pair", "count", "best", "n_a")})
+    got = cross.align(docs, FILES, block_links=block_links)
+    assert got.columns == cross.RESULT
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want[1], key=str)
+
+
+def test_pair_counts_and_postings(spark, pair, rows, want):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    postings = cross.index(docs, FILES, block_links=5000)
+    links = {(r.pair // cross.SECOND, r.pair % cross.SECOND): (r.n_docs, r.n_links) for r in cross.pair_counts(postings).collect()}
+    in_docs = Counter()
+    for row in rows:
+        in_docs.update(set(brute(pair, [row])[0]))
+    assert links == {p: (in_docs[p], n) for p, n in want[0].items()}
+    kinds = {(r.plane, r.dense) for r in postings.filter("pair is not null").collect()}
+    assert {(-1, False), (-1, True), (0, False), (2, False)} <= kinds
+
+
+def test_no_documents(spark):
+    assert cross.align(spark.createDataFrame([], "doc_id long, text string"), FILES).count() == 0
+    only = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert sorted(map(tuple, cross.align(only, FILES).collect())) == [(k, 0, 0, 0, 0, 0, 0, "") for k in (1, 2)]
+
+
+PARTS = ["a", "word", " ", "  ", "\n", "\t", "'s", "'", ".", "7", "42", "é", "ß", "的", "▁", " ", " ", "\x00", "<s>", "<|endoftext|>", "😀", "\x85", "\x1c", "क"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(PARTS), st.text(max_size=3)), max_size=25))
+def test_stretches_against_whole_texts(pair, parts):
+    text = "".join(parts).encode("utf-8", "ignore").decode()
+    store = cross.Stretches(pair)
+    # Another text comes first, so that stretches stand beside strange ones.
+    found = store.rows(["some words here", text])[1]
+    facts, _ = store.compact()
+    ids = whole(pair, text) if text else None
+    good = len(found) > 0 and facts[found, 4].all()
+    assert bool(good) == bool(ids)
+    if ids:
+        assert facts[found, :2].sum(axis=0).tolist() == [len(ids[0]), len(ids[1])]
+        said = ";".join(store.said[k] for k in found)
+        sides = list(zip(*[one.split("|") for one in said.split(";")]))
+        assert [[int(x) for x in ",".join(side).split(",")] for side in sides] == [list(ids[0]), list(ids[1])]
+
+
+def test_vocabulary_is_that_of_the_file(pair):
+    plain = Tokenizer.from_file(FILES[0])
+    assert pair.size_a[50256] == 0 or plain.id_to_token(50256) == "<|endoftext|>"
+    assert len(pair.bytes_a) >= 50256
+
+
+def test_containers_give_their_members_back():
+    draw = np.random.default_rng(0)
+    for size, count in ((10, 3), (1000, 40), (1000, 900), (65536, 60000)):
+        docs = np.sort(draw.choice(size, count, replace=False))
+        pairs, bits, dense = cross.containers(np.full(count, 7), docs, size)
+        assert pairs.tolist() == [7]
+        assert cross.members(bits[0], bool(dense[0])).tolist() == docs.tolist()
