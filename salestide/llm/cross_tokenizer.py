@@ -53,7 +53,7 @@ CHUNK = 1 << 16
 #: An id of B is below this; a pair is ``a * SECOND + b``.
 SECOND = 1 << 24
 #: Where a text may be cut: before a blank that follows none and is followed by no white space.
-CUT = re.compile(r"(?<! )(?= \S)")
+CUT = re.compile(r"(?<=[^ ])(?= \S)")
 #: Fixed value: the pattern by which a byte-level vocabulary of this kind cuts texts.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Letters up to here are classed alike by all versions of Unicode in use.

@@ -321,10 +321,10 @@ def forest(rows: DataFrame, size: int = TREE) -> DataFrame:
 
 def _met(anchors: DataFrame, trees: DataFrame, blocks: int, made, schema: str) -> DataFrame:
     """Anchors, each with the tree it looks into, meet the trees block by block."""
-    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
     dealt = anchors.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)).cast("int"))
-    copies = trees.select("tree", "width", *PARTS, block)
-    pairs = dealt.groupBy("tree", "block").cogroup(copies.groupBy("tree", "block"))
+    copies = trees.select(F.col("tree").alias("_tree"), "width", *PARTS, block)
+    pairs = dealt.groupBy("tree", "block").cogroup(copies.groupBy("_tree", "_block"))
     return pairs.applyInArrow(made, schema)
 
 

@@ -146,16 +146,16 @@ def _url_verdicts() -> str:
     node = f"CASE WHEN contains({{0}}, '://') THEN [{host}, {path}, regexp_extract({{0}}, '://[^?#]*(\\?[^#]*)', 1)] END"
     field = (
         "trim(replace(replace(replace(regexp_replace(list_filter(list_zip("
-        """regexp_extract_all(tag, '([^\s"''<>/=]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), """
-        """regexp_extract_all(tag, '([^\s"''<>/=]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 2)), """
+        r"""regexp_extract_all(tag, '([^\s"''<>/=]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), """
+        r"""regexp_extract_all(tag, '([^\s"''<>/=]+)\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 2)), """
         """lambda p: lower(p[1]) = '{0}')[1][2], '^["'']|["'']$', '', 'g'), '&amp;', '&'), '&#38;', '&'), '&#x26;', '&'))"""
     )
-    walked = """(SELECT '/' || array_to_string(s, '/') || CASE WHEN len(s) > 0 AND regexp_matches({0}, '/\.\.?$') THEN '/' ELSE '' END
+    walked = r"""(SELECT '/' || array_to_string(s, '/') || CASE WHEN len(s) > 0 AND regexp_matches({0}, '/\.\.?$') THEN '/' ELSE '' END
       FROM (SELECT list_reduce(string_split({0}, '/')[2:], lambda d, x: CASE WHEN x = '..' THEN d[:greatest(len(d) - 1, 0)] WHEN x = '.' THEN d ELSE d || [x] END, []::VARCHAR[]) AS s))"""
     base = "lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) || '://' || regexp_extract(url, '://([^/?#]*)', 1)"
-    own, query = "regexp_extract(bare, '^([^?]*)', 1)", "regexp_extract(bare, '(?s)(\?.*)$', 1)"
+    own, query = "regexp_extract(bare, '^([^?]*)', 1)", r"regexp_extract(bare, '(?s)(\?.*)$', 1)"
     beside = f"CASE WHEN beside = '' THEN '/' ELSE beside END || {own}"
-    return f"""
+    return rf"""
 WITH RECURSIVE rules(host, path, verdict) AS (VALUES {values}),
 tags AS (
   SELECT DISTINCT url, unnest(regexp_extract_all(
