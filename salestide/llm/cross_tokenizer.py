@@ -33,6 +33,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -422,17 +423,46 @@ def pair_counts(postings: DataFrame) -> DataFrame:
 RESULT = ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by block: its documents and containers, in any order."""
-    number, docs, sums = None, [], np.zeros((2, BLOCK_DOCS), np.int64)
+class Returned:
+    """What a block's rows give: documents, containers and the scores of their pairs."""
+
+    def __init__(self) -> None:
+        self.docs: list[pa.RecordBatch] = []
+        self.containers: list[pa.RecordBatch] = []
+        self.scores: list[pa.RecordBatch] = []
+
+    def add(self, part: pa.RecordBatch) -> None:
+        pair, count = part.column("pair"), part.column("count")
+        whole = pc.and_(pc.is_valid(pair), pc.is_null(count))
+        for rows, held in ((self.docs, pc.is_null(pair)), (self.containers, whole), (self.scores, pc.is_valid(count))):
+            own = part.filter(held)
+            if len(own):
+                rows.append(own)
 
-    def made() -> Iterator[pa.RecordBatch]:
-        for rows in docs:
+    def made(self) -> Iterator[pa.RecordBatch]:
+        if not self.docs:
+            return
+        size = 1 + max(pc.max(rows.column("place")).as_py() for rows in self.docs)
+        sums = np.zeros((2, size), np.int64)
+        if self.scores:
+            pair, count, best = (
+                np.concatenate([rows.column(name).to_numpy(zero_copy_only=False) for rows in self.scores])
+                for name in ("pair", "count", "best")
+            )
+            order = np.argsort(pair)
+            for part in self.containers:
+                at = order[np.searchsorted(pair, part.column("pair").to_numpy(), sorter=order)]
+                _add(part, count[at].astype(np.int64), best[at].astype(np.int64), sums)
+        for rows in self.docs:
             at = rows.column("place").to_numpy()
             more = {"count_sum": pa.array(sums[0][at]), "n_best": pa.array(sums[1][at])}
             arrays = [more[c] if c in more else rows.column(c) for c in RESULT]
             yield pa.RecordBatch.from_arrays(arrays, RESULT)
 
+
+def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by block; within a block they are in any order."""
+    number, own = None, Returned()
     for batch in batches:
         blocks = batch.column("block").to_numpy()
         cuts = np.r_[0, np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, len(blocks)]
@@ -440,37 +470,28 @@ def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if start == end:
                 continue
             if blocks[start] != number:
-                yield from made()
-                number, docs = blocks[start], []
-                sums[:] = 0
-            part = batch.slice(start, end - start)
-            own = part.filter(part.column("pair").is_null())
-            if len(own):
-                docs.append(own)
-            part = part.filter(part.column("pair").is_valid())
-            if len(part):
-                _add(part, sums)
-    yield from made()
+                yield from own.made()
+                number, own = blocks[start], Returned()
+            own.add(batch.slice(start, end - start))
+    yield from own.made()
 
 
-def _add(part: pa.RecordBatch, sums: np.ndarray) -> None:
+def _add(part: pa.RecordBatch, count: np.ndarray, best: np.ndarray, sums: np.ndarray) -> None:
     """Add the scores of containers to their documents, lists all at once."""
-    dense = part.column("dense").to_numpy(zero_copy_only=False)
+    dense = part.column("dense").to_numpy(zero_copy_only=False).astype(bool)
     plane = part.column("plane").to_numpy()
     times = np.where(plane == ALL, 1, np.int64(1) << np.maximum(plane, 0).astype(np.int64))
-    count = part.column("count").to_numpy() * times
-    best = part.column("best").to_numpy(zero_copy_only=False) * times
     bits = part.column("bits").to_pylist()
     listed = np.flatnonzero(~dense)
     if len(listed):
         docs = np.frombuffer(b"".join(bits[k] for k in listed), "<u2")
         held = np.array([len(bits[k]) // 2 for k in listed])
         for score, total in zip((count, best), sums):
-            np.add.at(total, docs, np.repeat(score[listed], held))
+            np.add.at(total, docs, np.repeat((score * times)[listed], held))
     for k in np.flatnonzero(dense):
         docs = members(bits[k], True)
-        sums[0][docs] += count[k]
-        sums[1][docs] += best[k]
+        sums[0][docs] += (count * times)[k]
+        sums[1][docs] += (best * times)[k]
 
 
 def align(
@@ -488,10 +509,10 @@ def scores(postings: DataFrame) -> DataFrame:
     """What the postings return to the documents."""
     kind = postings.schema["id"].dataType.simpleString()
     counts = pair_counts(postings).select(F.col("pair").alias("_pair"), F.col("n_links").alias("count"), "best")
-    held = postings.filter("pair is not null").select("block", "pair", "plane", "dense", "bits")
-    held = held.join(counts, F.col("pair") == F.col("_pair")).drop("_pair")
-    rows = postings.filter("pair is null").drop("pair", "plane", "dense", "bits")
-    whole = held.unionByName(rows, allowMissingColumns=True)
+    # The pairs of a block fetch their scores without the bitmaps, which move once, to their block.
+    held = postings.filter(F.col("plane") == ALL).select("block", "pair")
+    scored = held.join(counts, F.col("pair") == F.col("_pair")).drop("_pair")
+    whole = postings.unionByName(scored, allowMissingColumns=True)
     whole = whole.repartition("block").sortWithinPartitions("block")
     schema = f"id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return whole.mapInArrow(_returned, schema)
