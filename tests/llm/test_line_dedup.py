@@ -11,17 +11,12 @@ from salestide.llm import line_dedup, queries
 from tests.llm import plain
 
 
-PIECE = re.compile(" ?[^ \u2e80-\U0010ffff]{1,8}| ?[\u2e80-\U0010ffff]")
-
-
 def _normal(line):
     return re.sub(r"[\x20\x09-\x0D]+", " ", line.translate(plain.LOWER)).strip(" ")
 
 
 def _sets(lines):
-    cut = [PIECE.findall(line) for line in lines]
-    assert all("".join(pieces) == line for pieces, line in zip(cut, lines))
-    return [{tuple(p[i : i + 3]) for i in range(len(p))} for p in cut]
+    return [{line[i : i + 8] for i in range(max(1, len(line) - 7))} for line in lines]
 
 
 def removed(rows):
@@ -42,20 +37,24 @@ def removed(rows):
     return gone, places
 
 
-def test_the_small_table_against_all_pairs(spark, small):
-    want, places = removed([tuple(r) for r in small[1]])
-    got = {r.doc_id: r.removed for r in queries.fuzzy_lines(spark, plain.FOLDER).collect()}
+@pytest.mark.parametrize("folder", [plain.FOLDER, "/root/testdata/sf0.01"])
+def test_the_tables_against_all_pairs(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    want, places = removed([tuple(r) for r in docs.collect()])
+    got = {r.doc_id: r.removed for r in queries.fuzzy_lines(spark, folder).collect()}
     exact, first = defaultdict(set), {}
     for (doc, pos), line in sorted(places):
         if line in first:
             exact[doc].add(pos)
         first.setdefault(line, doc)
-    total, found = sum(map(len, want.values())), 0
+    fuzzy = found = 0
     for doc, lines in got.items():
         # Equal lines always go, and nothing goes that no pair allows.
         assert exact[doc] <= set(lines) <= set(want[doc])
-        found += len(lines)
-    assert found >= 0.97 * total
+        fuzzy += len(set(want[doc]) - exact[doc])
+        found += len(set(lines) - exact[doc])
+    # Of the lines that only resemble another one nearly all are found.
+    assert fuzzy >= 30 and found >= 0.97 * fuzzy
 
 
 def test_a_large_group_of_similar_lines_becomes_one(make_docs):
@@ -65,13 +64,11 @@ def test_a_large_group_of_similar_lines_becomes_one(make_docs):
     assert made[0] == [] and all(0 in made[i] for i in range(1, 300))
 
 
-def test_a_bucket_is_compared_with_neighbours_not_in_all_pairs(spark):
-    # Lines of one bucket; every fifth one shares its next band too.
-    rows = [(1, i, [1, i // 5 + 100, i // 5, *range(7)]) for i in range(500)]
-    shared = spark.createDataFrame(rows, "band long, node long, bands array<long>")
-    pairs = {(r.a, r.b) for r in line_dedup._neighbours(shared).collect()}
-    assert len(pairs) <= 4 * 500
-    assert all((i, i + 1) in pairs for i in range(499)) and all((0, i) in pairs for i in range(1, 500))
+def test_a_bucket_is_compared_with_its_first_line(spark):
+    rows = [(band, band * 100 + i, band * 100) for band in range(3) for i in range(50)]
+    shared = spark.createDataFrame(rows, "band long, node long, first long")
+    pairs = sorted((r.a, r.b) for r in line_dedup._to_first(shared).collect())
+    assert pairs == sorted((band * 100, band * 100 + i) for band in range(3) for i in range(1, 50))
 
 
 def test_exact_comparison_of_pairs(spark):
@@ -116,8 +113,7 @@ def test_bands_follow_the_similarity(spark):
         other[chance.randrange(60)] = "#"
         rows += [(i, 0, " ".join(words)), (i, 1, " ".join(other))]
     frame = spark.createDataFrame(rows, "pair long, side long, line string")
-    sketch = F.slice(F.sort_array(line_dedup.shingle_set(F.col("pieces"))), 1, line_dedup.SKETCH)
-    frame = frame.select("pair", "side", line_dedup.pieces(F.col("line")).alias("pieces"))
+    sketch = F.slice(line_dedup.sampled(F.col("line")), 1, line_dedup.SKETCH)
     keyed = frame.select("pair", "side", sketch.alias("sketch"))
     keyed = keyed.select("pair", "side", line_dedup.bands(F.col("sketch")).alias("bands")).collect()
     found = defaultdict(dict)
@@ -127,11 +123,11 @@ def test_bands_follow_the_similarity(spark):
     assert sum(bool(found[i][0] & found[i + 1][1]) for i in range(399)) == 0
 
 
-@pytest.mark.parametrize("text", ["a", "exactly8", "nine char", "a b c d", "oneverylongwordofletters1", "汉字 x🙂é"])
-def test_shingles_of_short_lines(spark, text):
-    frame = spark.createDataFrame([(text,)], "line string").select(line_dedup.pieces(F.col("line")).alias("p"))
-    made = frame.select(line_dedup.shingle_set(F.col("p")).alias("s")).first().s
-    assert len(made) == len(_sets([text])[0])
+@pytest.mark.parametrize("text", ["a", "exactly8", "nine char", "a b c d", "oneverylongwordofletters105", "汉字 x🙂é", "the same the same", "a\u2028 b c"])
+def test_the_sample_of_a_line(spark, text):
+    frame = spark.createDataFrame([(text,)], "line string").select(line_dedup.sampled(F.col("line")).alias("s"))
+    begins = [i for i in range(len(text)) if i == 0 or text[i - 1] in " 05" or text[i - 1] >= "\u2e80"]
+    assert len(frame.first().s) == len({text[i : i + 8] for i in begins})
 
 
 def test_the_main_path_has_no_python(make_docs):
@@ -140,16 +136,15 @@ def test_the_main_path_has_no_python(make_docs):
 
 
 def test_partners_meet_in_a_bucket_of_strangers(spark, monkeypatch):
-    """Lines of one template in one bucket, with other bands that keep near copies apart."""
+    """Lines of one template in one bucket, whose first line resembles only one of them."""
     monkeypatch.setattr(line_dedup, "CHUNK", 40)
     chance = random.Random(5)
     word = lambda: "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=5))
     shared = " ".join(word() for _ in range(30))
     lines = [f"{shared} {' '.join(word() for _ in range(12))}" for _ in range(100)]
     lines += [f"{line} end" for line in lines]
-    # In the order of the next bands a near copy is 100 lines behind.
-    rows = [(1, i, [1, i, *range(1000, 1008)]) for i in range(200)]
-    buckets = spark.createDataFrame(rows, "band long, node long, bands array<long>")
+    rows = [(1, i, 0) for i in range(200)]
+    buckets = spark.createDataFrame(rows, "band long, node long, first long")
     texts = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
     made = {r.node: r.root for r in line_dedup._links(buckets, texts).collect()}
     assert made == {i + 100: i for i in range(100)}
