@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,12 +29,17 @@ def builder(app: str, shuffle_partitions: int | None = None) -> SparkSession.Bui
     return made
 
 
+#: Work folders by the scope they were made in, the innermost last.
+_scopes: list[list[str]] = []
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder that the driver and all executors share, for intermediate tables.
 
-    It lies in ``spark.checkpoint.dir``; where that is unset, in the catalog's warehouse.
-    A folder of this machine alone is refused unless the session is local. The folder is
-    deleted when the driver ends.
+    It lies in ``spark.checkpoint.dir``, which is taken at its word: a cluster may mount a
+    shared folder at a local path. Where that is unset it lies in the catalog's warehouse, and
+    one of this machine alone is refused unless the session is local. The folder is deleted when
+    the driver ends, or before by ``scratch`` or ``discard``.
     """
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
@@ -46,11 +53,37 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside go at the end, but those to keep; so they must be all that lasts."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for folder in _scopes.pop():
+            discard(spark, folder)
+
+
+def stored(rows: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """The rows written as Parquet to a work folder and opened again.
 
-    This cuts the lineage, survives lost executors and gives Spark the real size.
+    This cuts the lineage, survives lost executors and gives Spark the real size. ``keep``
+    lets the table outlive the innermost ``scratch``.
     """
+    return stored_at(rows, name, keep)[0]
+
+
+def stored_at(rows: DataFrame, name: str, keep: bool = False) -> tuple[DataFrame, str]:
+    """The same, with the folder, for ``discard``."""
     folder = work_folder(rows.sparkSession, name)
+    scopes = _scopes[:-1] if keep else _scopes
+    if scopes:
+        scopes[-1].append(folder)
     rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder), folder
