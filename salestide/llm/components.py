@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salestide.session import stored
+from salestide.session import discard, stored_at
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -44,11 +44,12 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     a, b = F.col(left), F.col(right)
     ends = edges.filter(a.isNotNull() & b.isNotNull() & (a != b))
     ends = ends.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root"))
-    edges = stored(ends.distinct(), "edges")
+    edges, folder = stored_at(ends.distinct(), "edges")
     before = None
     while True:
         sums = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(node, root))")).first()
         if not sums[0] or sums == before:
             return edges
-        before = sums
-        edges = stored(_star(_star(edges, larger=True), larger=False), "edges")
+        before, old = sums, folder
+        edges, folder = stored_at(_star(_star(edges, larger=True), larger=False), "edges")
+        discard(edges.sparkSession, old)

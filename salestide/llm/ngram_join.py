@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from salestide.llm.components import components
 from salestide.llm.rows import fresh, named
 from salestide.llm.shingles import code_sets, mix
-from salestide.session import stored
+from salestide.session import scratch, stored
 
 LEAF = 32
 FAN_OUT = 8
@@ -418,14 +418,21 @@ def join(
     marked = own.withColumn("copy", F.xxhash64("text"))
     schema = f"id {kind}, copy long, n_shingles long, node long, cells array<long>, bits binary"
     features = stored(marked.mapInArrow(_features(measure), schema), "shingle-cells")
-    keyed = features.select(F.explode("cells").alias("cell"), "node")
-    roots = keyed.groupBy(F.col("cell").alias("_cell")).agg(
-        F.min("node").alias("root"), F.max("node").alias("_last")
-    )
-    roots = roots.filter(F.col("root") != F.col("_last"))
+    with scratch(docs.sparkSession):
+        hung = _hung(marked, features, measure, codes_per_chunk)
+        hung = stored(hung, "shingle-tops", keep=True)
+    return _labelled(features.drop("cells", "bits"), hung)
+
+
+def _hung(marked: DataFrame, features: DataFrame, measure: Measure, codes_per_chunk: int) -> DataFrame:
+    """``node, root`` of the components."""
+    # Dealt once by cell: both sides of the join read the same shuffle.
+    keyed = features.select(F.explode("cells").alias("cell"), "node").repartition("cell")
+    roots = keyed.groupBy("cell").agg(F.min("node").alias("root"), F.max("node").alias("_last"))
+    roots = roots.filter(F.col("root") != F.col("_last")).select(F.col("cell").alias("_cell"), "root")
     pairs = keyed.join(roots, F.col("cell") == F.col("_cell")).select("root", "node").distinct()
     nodes = features.filter("node is not null").groupBy("node").agg(
-        F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits")
+        F.min(F.struct("id", "copy")).alias("text"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits")
     )
     sized = nodes.select(F.col("node").alias("_node"), "size")
     members = pairs.join(sized, F.col("node") == F.col("_node")).select("root", "node", "size")
@@ -436,18 +443,19 @@ def join(
     tasks = tasks.repartition("task").sortWithinPartitions("task")
     tasks = tasks.mapInArrow(_partners(measure), "task long, side int, node long")
     tasks = stored(tasks, "tree-tasks")
-    # One text for each node that has company, then its codes, then its tasks.
+    # One text for each node that has company, then its codes, then its tasks. A text is
+    # found by id and hash together, so that one whose rows have no id is found as well.
     wanted = tasks.select(F.col("node").alias("_node")).distinct()
     wanted = nodes.join(wanted, F.col("node") == F.col("_node"), "left_semi")
-    wanted = wanted.select("node", F.col("id").alias("_id"))
-    texts = own.join(wanted, own["id"] == wanted["_id"]).select("node", "text")
+    wanted = wanted.select("node", F.col("text.id").alias("_id"), F.col("text.copy").alias("_copy"))
+    same = (marked["copy"] == wanted["_copy"]) & marked["id"].eqNullSafe(wanted["_id"])
+    texts = marked.join(wanted, same).select("node", "text")
     sets = texts.mapInArrow(_sets(measure.width), "node long, codes array<long>")
     sets = sets.select(F.col("node").alias("_node"), "codes")
     work = tasks.join(sets, F.col("node") == F.col("_node")).select("task", "side", "node", "codes")
     work = work.repartition("task").sortWithinPartitions("task")
     links = work.mapInArrow(_links(measure), "a long, b long")
-    hung = components(links, "a", "b")
-    return _labelled(features.drop("cells", "bits"), hung)
+    return components(links, "a", "b")
 
 
 def _labelled(features: DataFrame, hung: DataFrame) -> DataFrame:
@@ -470,10 +478,11 @@ def keep_one(
 
     Documents without words stay. Rows that repeat id and text stay or go together.
     """
-    rows = join(docs, id, text, measure or Measure(width=5, part=80))
     one, two = fresh(docs, "_id"), fresh(docs, "_copy")
-    gone = rows.filter(F.col("id") != F.col("component"))
-    gone = gone.select(F.col("id").alias(one), F.col("copy").alias(two)).distinct()
-    gone = stored(gone, "near-copies")
+    with scratch(docs.sparkSession):
+        rows = join(docs, id, text, measure or Measure(width=5, part=80))
+        gone = rows.filter(F.col("id") != F.col("component"))
+        gone = gone.select(F.col("id").alias(one), F.col("copy").alias(two)).distinct()
+        gone = stored(gone, "near-copies", keep=True)
     same = (docs[id] == gone[one]) & (F.xxhash64(docs[text]) == gone[two])
     return docs.join(gone, same, "left_anti")

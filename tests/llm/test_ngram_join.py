@@ -104,6 +104,20 @@ def test_edges(make_docs):
     assert [c for i, _, c in got if i in (-1, 22)] == [22] * 4
 
 
+def test_texts_without_an_id_carry_links(make_docs):
+    """A chain of near copies whose middle one, or whose end, occurs only without an id."""
+    text = [f"w{i}" for i in range(100)]
+    chain = [" ".join(words) for words in (text, ["x", "y", "z", *text[3:]], ["x", "y", "z", *text[3:97], "u", "v", "w"])]
+    sets = [plain.shingles(t, 3) for t in chain]
+    assert plain.similar(sets, 90) == [(0, 1), (1, 2)]
+    for ids, want in (((1, None, 3), [1, 1, 1]), ((None, 2, 3), [2, 2, 2]), ((None, None, 3), [3, 3, 3])):
+        rows = [(i, t, "s") for i, t in zip(ids, chain)] + [(None, "another text that is like none", "s")]
+        made = ngram_join.join(make_docs(rows)).collect()
+        assert sorted(r.component for r in made if r.component) == want
+        # The other text without an id has no id to be named by.
+        assert sum(r.component is None for r in made) == 1
+
+
 def test_no_documents_and_no_shingles(make_docs):
     assert ngram_join.join(make_docs([])).collect() == []
     made = ngram_join.join(make_docs([(1, None, None), (2, "", None)])).collect()
