@@ -85,3 +85,108 @@ def test_edges(make_docs, items, spark):
 def test_the_main_path_has_no_python(make_docs, items):
     plan = decontaminate.contaminated(make_docs([(1, ITEM, "a")]), items)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+NUMBERS = "At 8 o'clock 3 buses and 12 cars carry 40 and 7 people past 5 gates and 9 doors"
+NAMES = "Why did Anna meet Bert and Carl near Dover before Emma and Frank came along with Gina to the old harbour?"
+
+
+def test_items_dense_in_numbers_and_copies_without_capitals(make_docs, spark):
+    bench = spark.createDataFrame([(1, NUMBERS), (2, NAMES), (3, "2 3 5 7 11 13 17 19 23")], "item_id long, text string")
+    other = re.sub("[0-9]+", lambda m: str(int(m[0]) + 1), NUMBERS)
+    docs = make_docs([
+        (1, _around(NUMBERS), "a"), (2, _around(NAMES.lower()), "a"), (3, _around(NUMBERS.lower()), "a"),
+        (4, _around(NAMES.replace("Anna", "Hugo").replace("Gina", "Ida")), "a"),
+        # Numbers in a row like any other table of them, and the item's own row.
+        (5, _around("1 2 3 4 5 6 7 8 9 10 11 12"), "a"), (6, _around("1 2 3 5 7 11 13 17 19 23 29"), "a"),
+        (7, _around(other), "a"),
+    ])
+    got = set(_pairs(docs, bench))
+    assert {(1, 1), (2, 2), (3, 1), (4, 2), (6, 3)} <= got
+    assert not {(5, 3), (5, 1), (6, 1)} & got
+
+
+def test_values_that_became_one_are_no_question(make_docs, spark):
+    item = "first Anna gives Bert 3 red apples while Carl pays 5 coins for 7 pears and Dora takes 9 plums home"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    one = re.sub("[0-9]", "4", re.sub("Anna|Bert|Carl|Dora", "Emma", item))
+    other = item.replace("Anna", "Emma").replace("3", "4")
+    docs = make_docs([(1, _around(one), "a"), (2, _around(other), "a")])
+    assert set(_pairs(docs, bench)) == {(2, 1)}
+
+
+def _forms(found):
+    def edge(w):
+        return w.strip(decontaminate.EDGES).translate(plain.LOWER)
+
+    forms, number = [], lambda w: bool(re.match("[0-9]|[+$-]+[0-9]", w))
+    for i, w in enumerate(found):
+        if number(w):
+            forms.append("<number>")
+        elif i and re.match("[A-Z][a-z]", w) and not re.search("[.!?:]$", found[i - 1]):
+            forms.append("<name>")
+        elif i and number(found[i - 1]) and edge(w) in decontaminate.UNITS:
+            forms.append("<unit>")
+        else:
+            forms.append(edge(w))
+    return forms, [edge(w) for w in found]
+
+
+def judged(text, item):
+    """The coverage of an item in a text if it is contaminated: every window against every window."""
+    own, asked = plain.words(text), plain.words(item)
+    width = min(8, len(asked))
+    if width < 5:
+        return None
+    (forms, said), (templates, wanted) = _forms(own), _forms(asked)
+    marks = set(decontaminate.PLACEHOLDERS) | {""}
+    lines, usable, usable_hit, exact_hit = {}, set(), set(), set()
+    windows = {}
+    for at in range(len(own) - width + 1):
+        windows.setdefault(tuple(forms[at : at + width]), []).append(at)
+    plains = {}
+    for at in range(len(own) - width + 1):
+        plains.setdefault(tuple(said[at : at + width]), []).append(at)
+    total = len(asked) - width + 1
+    for place in range(total):
+        template = templates[place : place + width]
+        literal = sum(w not in marks for w in template)
+        unnamed = [w if t == "<name>" else t for t, w in zip(template, wanted[place : place + width])]
+        hits = set()
+        if literal >= 5:
+            usable.add(place)
+            hits |= set(windows.get(tuple(template), []))
+        if "<name>" in template and sum(w not in marks for w in unnamed) >= 5:
+            hits |= set(windows.get(tuple(unnamed), []))
+        if literal < 5:
+            hits |= set(plains.get(tuple(wanted[place : place + width]), []))
+        for at in hits:
+            lines.setdefault(at - place, []).append((place, at))
+            usable_hit |= {place} & usable
+            if said[at : at + width] == wanted[place : place + width]:
+                exact_hit.add(place)
+    if not lines:
+        return None
+    most = max(len(x) for x in lines.values())
+    agreeing = []
+    for hits in lines.values():
+        slots = {
+            (templates[place + k], wanted[place + k], said[at + k])
+            for place, at in hits for k in range(width) if templates[place + k] in decontaminate.PLACEHOLDERS
+        }
+        sides = [[(k, v) for k, v, *_ in slots], [(k, v) for k, _, v in slots]]
+        shares = [sum(side.count(x) == 1 for x in set(side)) / len(set(side)) if side else 1.0 for side in sides]
+        if len(hits) == most:
+            agreeing.append(min(shares))
+    exact = len(exact_hit) / total
+    coverage = max(exact, len(usable_hit) / len(usable) if usable else 0)
+    if exact >= 0.5 or coverage >= 0.5 and max(agreeing) >= 0.8:
+        return round(coverage, 9)
+    return None
+
+
+def test_the_small_table_against_all_windows(spark, small):
+    items = spark.read.parquet(f"{plain.FOLDER}/benchmark.parquet").collect()
+    want = {(r.doc_id, i.item_id): judged(r.text, i.text) for r in small[1] for i in items}
+    got = {(r.doc_id, r.item_id): round(r.coverage, 9) for r in queries.benchmark_leaks(spark, plain.FOLDER).collect()}
+    assert got == {pair: c for pair, c in want.items() if c is not None}
