@@ -1,19 +1,22 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
-E-mail and IP addresses, card and phone numbers are found by pattern and checked. The
-corpus then tells which other terms give them away: for every protected value that occurs
-in several documents, the terms beside it are counted, and a term is as revealing as it
-narrows down the value:
+E-mail and IP addresses, card and phone numbers are found by pattern and checked. They are the
+protected entities, and so are the groups they belong to: the host of an e-mail address, the network of
+an IP address, the issuer of a card, the area of a phone. The corpus tells which other terms give
+an entity away. With ``n`` counting different texts of ``N``, a term's share is shrunk towards
+what any text has, with the weight of sqrt(N) texts:
 
-    disclosure(term, value) = log(P(value | term) / P(value)) / -log P(value)
+    shrunk(x | term) = (n(x, term) + sqrt(N) * P(x)) / (n(term) + sqrt(N))
+    disclosure(term, x) = log(shrunk(x | term) / P(x)) / -log P(x)
 
-which is 0 for a term that says nothing and 1 for one that occurs with this value only.
-Terms above ``REMOVE`` are removed from the documents that hold the value, those above
-``GENERALISE`` replaced by a placeholder.
+which is 0 for a term that says nothing and near 1 for one that occurs in many texts and with this
+entity only. A single text together is never more than 0.5: what a value that occurs once can't show,
+its group may. Terms above ``REMOVE`` are removed from the texts that hold the entity, those above
+``GENERALISE`` generalised: replaced by the kind of what they give away.
 
 All documents are counted. Counts are combined in each task before they are shuffled; only
-documents that hold a protected value are stored and joined. Support is counted in different
-texts, so copies of one text do not make their words revealing.
+documents that hold a protected value are stored and joined, and the patterns run over each text once.
+Copies of a text that holds a value count once.
 
 Defined results: NULL is empty and has no spans; a span that fails its check is dropped and
 nothing is tried in its place; a term inside a protected value is not a span of its own; rows
@@ -44,9 +47,8 @@ IP = f"^{PART}(?:\\.{PART}){{3}}$"
 TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]{3,}"
 NOT_TERM = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
-#: Different texts in which a value, and a term with it, must occur.
-SUPPORT = 3
-GENERALISE, REMOVE = 0.8, 0.95
+#: Above one half, which a single text reaches, as far as disclosures go.
+GENERALISE, REMOVE = 0.55, 0.75
 
 
 def _digits(found: Column) -> Column:
@@ -98,35 +100,54 @@ def _terms(text: Column) -> Column:
     return F.filter(words, lambda w: F.length(w) >= 3)
 
 
+def _group(kind: Column, found: Column) -> Column:
+    """What a value belongs to: host, network of two numbers, six digits, five digits."""
+    host = F.lower(F.regexp_extract(found, "@(.*)$", 1))
+    network = F.regexp_extract(found, "^0*([0-9]+[.])0*([0-9]+)", 0)
+    digits = F.when(kind == "card", F.substring(_digits(found), 1, 6)).otherwise(F.substring(_digits(found), 1, 5))
+    return F.when(kind == "email", host).when(kind == "ip", network).otherwise(digits)
+
+
+def entities(base: Column) -> Column:
+    """The distinct values of a text's spans and their groups, as strings that tell them apart."""
+    of = lambda level, s, said: F.concat_ws(":", F.lit(level), s["kind"], said)
+    values = F.transform(base, lambda s: of("value", s, s["found"]))
+    groups = F.transform(base, lambda s: of("group", s, _group(s["kind"], s["found"])))
+    return F.array_distinct(F.concat(values, groups))
+
+
+def disclosure(both: Column, term: Column, entity: Column, total: Column) -> Column:
+    """How much of an entity a term discloses, from numbers of texts."""
+    chance, weight = entity / total, F.sqrt(total)
+    shrunk = (both + weight * chance) / (term + weight)
+    return F.when(entity < total, F.log(shrunk / chance) / -F.log(chance)).otherwise(0.0)
+
+
 def revealing(rows: DataFrame, private: DataFrame) -> DataFrame:
-    """``value, term, disclosure`` for terms above the lower threshold.
+    """``entity, term, disclosure`` for terms above the lower threshold.
 
     ``rows``: ``text`` of all documents; ``private``: ``copy, text, base`` of those with
     protected values.
     """
-    total = rows.count()
-    value = F.explode(F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), s["found"]))))
-    held = private.select("copy", value.alias("value"))
-    held = held.groupBy("value", "copy").agg(F.count("*").alias("rows"))
-    values = held.groupBy("value").agg(F.sum("rows").alias("value_rows"), F.count("*").alias("texts"))
-    values = values.filter(F.col("texts") >= SUPPORT).drop("texts")
-    often = held.join(values, "value").select("copy", "value", "rows", "value_rows")
-    often = stored(often, "repeated-values")
-    texts = private.groupBy("copy").agg(F.first("text").alias("text"))
-    texts = texts.select(F.col("copy").alias("_copy"), F.explode(_terms(F.col("text"))).alias("term"))
-    beside = often.join(texts, F.col("copy") == F.col("_copy"))
-    pairs = beside.groupBy("value", "term").agg(
-        F.sum("rows").alias("both"), F.count("*").alias("texts"), F.first("value_rows").alias("value_rows")
-    )
-    pairs = stored(pairs.filter(F.col("texts") >= SUPPORT), "value-terms")
+    copies = private.groupBy("copy").agg(F.count("*").alias("rows"), F.first("base").alias("base"), F.first("text").alias("text"))
+    copies = stored(copies, "private-texts")
+    again = copies.agg(F.sum(F.col("rows") - 1)).first()[0] or 0
+    total = F.lit(float(max(rows.count() - again, 1)))
+    held = copies.select("copy", F.explode(entities(F.col("base"))).alias("entity"))
+    # A single text never discloses enough: only entities of several texts go on.
+    several = held.groupBy("entity").agg(F.count("*").alias("entity_texts")).filter(F.col("entity_texts") > 1)
+    held = stored(held.join(several, "entity"), "repeated-entities")
+    texts = copies.select(F.col("copy").alias("_copy"), "rows", F.explode(_terms(F.col("text"))).alias("term"))
+    beside = held.join(texts, F.col("copy") == F.col("_copy"))
+    pairs = beside.groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("entity_texts").alias("entity_texts"))
+    pairs = stored(pairs.filter(F.col("both") > 1), "entity-terms")
     # An inner join: a semi join would be moved below the counting, and shuffle all terms.
-    everywhere = rows.select(F.explode(_terms(F.col("text"))).alias("term"))
-    counts = everywhere.groupBy("term").agg(F.count("*").alias("term_rows"))
+    everywhere = rows.select(F.explode(_terms(F.col("text"))).alias("term"), F.lit(1).alias("n"))
+    repeated = texts.filter(F.col("rows") > 1).select("term", (1 - F.col("rows")).cast("int").alias("n"))
+    counts = everywhere.unionByName(repeated).groupBy("term").agg(F.sum("n").alias("term_texts"))
     known = pairs.join(counts, "term")
-    chance = F.col("value_rows") / F.lit(max(total, 1))
-    given = F.least(F.col("both") / F.col("term_rows"), F.lit(1.0))
-    disclosure = F.when(chance < 1, F.log(given / chance) / -F.log(chance)).otherwise(0.0)
-    known = known.select("value", "term", disclosure.alias("disclosure"))
+    told = disclosure(F.col("both"), F.col("term_texts"), F.col("entity_texts"), total)
+    known = known.select("entity", "term", told.alias("disclosure"))
     return known.filter(F.col("disclosure") >= GENERALISE)
 
 
@@ -144,12 +165,12 @@ def _term_spans(rows: DataFrame) -> DataFrame:
     )
 
     def span(p: Column) -> Column:
-        removed = F.element_at(F.col("terms"), p["found"]) >= REMOVE
+        told = F.element_at(F.col("terms"), p["found"])
         return F.struct(
             p["start"].alias("start"),
             F.lit(len(KINDS)).alias("order"),
             p["end"].alias("end"),
-            F.when(removed, "removed").otherwise("general").alias("kind"),
+            F.when(told["disclosure"] >= REMOVE, "removed").otherwise(told["kind"]).alias("kind"),
             p["found"].alias("found"),
         )
 
@@ -164,19 +185,23 @@ def find(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     private = marked.filter(F.size("base") > 0).withColumn("copy", F.xxhash64("text"))
     private = stored(private, "private")
     told = revealing(rows.select("text"), private)
-    value = F.explode(F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), s["found"]))))
-    held = private.select("copy", value.alias("_value")).distinct()
-    terms = held.join(told, F.col("_value") == F.col("value"))
-    terms = terms.groupBy("copy", "term").agg(F.max("disclosure").alias("disclosure"))
+    held = private.select("copy", F.explode(entities(F.col("base"))).alias("_entity")).distinct()
+    terms = held.join(told, F.col("_entity") == F.col("entity"))
+    most = F.struct("disclosure", F.element_at(F.split("entity", ":"), 2).alias("kind"))
+    terms = terms.groupBy("copy", "term").agg(F.max(most).alias("told"))
     terms = terms.groupBy(F.col("copy").alias("_copy")).agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("terms")
+        F.map_from_entries(F.collect_list(F.struct("term", "told"))).alias("terms")
     )
     joined = private.join(terms, F.col("copy") == F.col("_copy"), "left")
-    none = F.create_map().cast("map<string,double>")
+    none = F.create_map().cast("map<string,struct<disclosure:double,kind:string>>")
     joined = joined.withColumn("terms", F.coalesce("terms", none))
     joined = _term_spans(joined)
     everything = F.sort_array(F.concat("base", "told")).alias("all")
-    clean = marked.filter(F.size("base") == 0).select("id", "text", "base", F.col("base").alias("all"))
+    # The others, without a second look for the patterns.
+    known = private.select(F.col("id").alias("_id"), F.col("copy").alias("_copy")).distinct()
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_copy"))
+    nothing = F.array().cast(joined.schema["base"].dataType)
+    clean = rows.join(known, same, "left_anti").select("id", "text", nothing.alias("base"), nothing.alias("all"))
     return clean.unionByName(joined.select("id", "text", "base", everything))
 
 
@@ -197,8 +222,9 @@ def sanitised(found: DataFrame) -> DataFrame:
 
     def replace(state: Column, s: Column) -> Column:
         between = F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"])
-        mark = F.when(s["kind"] == "removed", "").when(s["kind"] == "general", "[TERM]")
-        mark = mark.otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+        term = s["order"] == len(KINDS)
+        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.when(term, " TERM").otherwise(""), F.lit("]"))
+        mark = F.when(s["kind"] == "removed", "").otherwise(mark)
         more = F.struct(s["end"].alias("at"), F.concat(state["text"], between, mark).alias("text"))
         longer = F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["text"].alias("text"))
         return F.when(s["start"] >= state["at"], more).otherwise(longer)

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -56,17 +60,65 @@ def corpus(make_docs):
     return make_docs([*rows, (None, None, None), (400, "", "a")], clashing=True)
 
 
+def brute_disclosures(rows):
+    """By entity and term, from whole texts; copies of a text with a value count once."""
+    def group(kind, found):
+        digits = re.sub("[^0-9]", "", found)
+        if kind == "email":
+            return found.split("@", 1)[1].lower()
+        return ".".join(str(found).split(".")[:2]) if kind == "ip" else digits[: 6 if kind == "card" else 5]
+
+    texts = [t or "" for _, t, *_ in rows]
+    held = {t: {(k, m) for k, p in plain.PATTERNS.items() for m in (x.group() for x in re.finditer(p, t)) if plain.valid(k, m)} for t in texts}
+    once = sorted({t for t in texts if held[t]}) + [t for t in texts if not held[t]]
+    terms = {t: {w for w in re.split("[\x00-\x40\x5B-\x60\x7B-\x7F]+", t.translate(plain.LOWER)) if len(w) > 2} for t in once}
+    total, weight = len(once), math.sqrt(len(once))
+    n_term, n_entity, both = Counter(), Counter(), Counter()
+    for t in once:
+        n_term.update(terms[t])
+        own = {f"value:{k}:{v}" for k, v in held[t]} | {f"group:{k}:{group(k, v)}" for k, v in held[t]}
+        n_entity.update(own)
+        both.update((e, w) for e in own for w in terms[t])
+    found = {}
+    for (e, w), n in both.items():
+        p = n_entity[e] / total
+        told = math.log((n + weight * p) / (n_term[w] + weight) / p) / -math.log(p) if p < 1 else 0
+        if told >= sanitise.GENERALISE:
+            assert n > 1  # a single text never discloses enough
+            found[e, w] = told
+    return found
+
+
+def test_disclosures_against_all_texts(spark, make_docs, small, corpus):
+    for docs in (corpus, spark.read.parquet("/root/testdata/sf0.01/documents.parquet")):
+        rows = docs.select(docs.columns[0], "text").withColumn("text", F.coalesce("text", F.lit("")))
+        private = sanitise.with_spans(rows).filter(F.size("base") > 0).withColumn("copy", F.xxhash64("text"))
+        got = {(r.entity, r.term): r.disclosure for r in sanitise.revealing(rows.select("text"), private).collect()}
+        want = brute_disclosures([tuple(r) for r in rows.collect()])
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_revealing_terms_become_spans(corpus):
     found = sanitise.find(corpus)
     made = {r.id: r for r in found.select("id", sanitise.written("all").alias("spans"), "all").collect()}
     assert len(made) == 76 and made[None].spans == "" and made[100].spans == ""
     assert {"email:5:21", "term:28:36"} <= set(made[0].spans.split(","))
-    terms = {s.found for s in made[0].all if s.kind in ("removed", "general")}
+    terms = {s.found for s in made[0].all if s.order == len(sanitise.KINDS)}
     assert "zanzibar" in terms and "harbour" not in terms and "number0" not in terms
     # Copies of one text do not make its words revealing.
     assert all(s.kind == "email" for s in made[300].all)
 
 
+def test_values_that_occur_once_are_given_away_by_their_group(make_docs):
+    rows = [(i, f"write to user{i}@clinic{i % 2}.example from {'lakeside' if i % 2 else 'hilltop'} ward{i}", "a") for i in range(40)]
+    rows += [(100 + i, f"some text about other things number{i} from somewhere", "a") for i in range(400)]
+    made = {r.id: r for r in sanitise.find(make_docs(rows)).collect()}
+    terms = [{s.found for s in made[i]["all"] if s.order == len(sanitise.KINDS)} for i in range(40)]
+    assert all(("lakeside" if i % 2 else "hilltop") in terms[i] for i in range(40))
+    assert all("from" not in t and f"ward{i}" not in t for i, t in enumerate(terms))
+
+
 def test_sanitised_texts(corpus):
     made = {r.id: r.text for r in sanitise.sanitised(sanitise.find(corpus)).collect()}
     assert "sam@" not in made[0] and "[EMAIL]" in made[0] and "zanzibar" not in made[0]
