@@ -3,7 +3,8 @@
 A turn's content is a list of typed parts: text, image, audio or document. A visitor
 flattens the parts in order: text is escaped, any other part becomes a placeholder, is
 recorded as an attachment (place, reference) and stands for as many tokens as its kind
-expands to. Turns are framed as ``### Role: text</turn>``; inside texts the backslash and
+expands to. Texts side by side are escaped as one, so that no control string forms at a seam;
+``read_parts`` gives back texts and placeholders apart. Turns are framed as ``### Role: text</turn>``; inside texts the backslash and
 the first character of every control string are escaped, which ``read_back`` undoes.
 
 Defined results: NULL text or content is empty; a NULL role is written as ``null`` with a
@@ -63,6 +64,7 @@ class Visitor:
     pieces: list[str] = field(default_factory=list)
     attachments: list[tuple] = field(default_factory=list)
     length: int = 0
+    waiting: list[str] = field(default_factory=list)
 
     def visit(self, part: dict) -> None:
         kind = part.get("type") or "text"
@@ -73,12 +75,18 @@ class Visitor:
         self.length += len(piece)
 
     def visit_text(self, part: dict) -> None:
-        self._add(escape(part.get("text") or ""))
+        self.waiting.append(part.get("text") or "")
+
+    def flush(self) -> None:
+        """Texts that stand side by side are escaped together."""
+        self._add(escape("".join(self.waiting)))
+        self.waiting = []
 
     def visit_unknown(self, part: dict) -> None:
         raise ValueError(f"unknown content part: {part.get('type')}")
 
     def _attach(self, part: dict) -> None:
+        self.flush()
         kind, reference = part["type"], part.get("reference") or ""
         tokens = KINDS[kind] * max(1, part.get("units") or 1)
         self.attachments.append((self.turn, self.length, kind, reference, tokens))
@@ -97,6 +105,7 @@ def format_turns(turns: list[tuple], loss_role: str = "assistant") -> tuple:
         visitor = Visitor(number)
         for part in content if isinstance(content, list) else [{"text": content}]:
             visitor.visit(part)
+        visitor.flush()
         head, body = f"{OPEN}{_escape_role(role)}{COLON}", "".join(visitor.pieces)
         start = at + len(head)
         if role == loss_role:
@@ -107,6 +116,22 @@ def format_turns(turns: list[tuple], loss_role: str = "assistant") -> tuple:
     return "".join(out), loss, attachments, sum(a[4] for a in attachments)
 
 
+BODY_PART = re.compile(r"<(image|audio|document)\|([0-9]+)\|([0-9]+)>|((?:\\.|(?!<(?:image|audio|document)\|).)+)", re.S)
+
+
+def read_parts(body: str) -> list[str | tuple[str, int, int]]:
+    """Texts and placeholders (kind, number in the turn, tokens) of a turn's body, in order."""
+    return [
+        unescape(found[4]) if found[4] is not None else (found[1], int(found[2]), int(found[3]))
+        for found in BODY_PART.finditer(body)
+    ]
+
+
+def bodies(formatted: str) -> list[str]:
+    """What stands between the marks of each turn, as it is written."""
+    return [found[2] for found in TURN.finditer(formatted)]
+
+
 def read_back(formatted: str) -> list[tuple[str | None, str]]:
     """Roles and texts of a formatted conversation; placeholders stay in the texts."""
     turns, at = [], 0

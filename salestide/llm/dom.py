@@ -1,8 +1,14 @@
-"""Leaf blocks of a web page: runs of text between block-level tags, with their ancestors."""
+"""Leaf blocks of a web page: runs of text between block-level tags, with their ancestors.
+
+Work and memory grow with the page, however deep its tags are nested: what a block needs of its
+ancestors is handed down from one to the next, and sets that an element doesn't change are shared.
+"""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Mapping
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -14,6 +20,10 @@ BLOCK = set(
     "tbody td textarea tfoot th thead title tr ul video audio".split()
 )
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
+INLINE = set(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark output q s "
+    "samp small span strike strong sub sup time tt u var".split()
+)
 UNSEEN = set("script style template noscript title svg math object iframe head".split())
 #: What a start tag closes, if it is open and nothing of the second set lies between.
 CLOSES = {
@@ -28,23 +38,50 @@ CLOSES = {
 NAME = re.compile("[a-z0-9]+")
 
 
+#: Only these are told apart among a block's ancestors; pages can make up any number of others.
+KNOWN = BLOCK | VOID | INLINE | UNSEEN
+
+
 @dataclass
 class Block:
-    """Text with single blanks; tags from the root on; class, id and role words of them;
-    the part of the text that is in links."""
+    """Text with single blanks; the innermost tag and the known ones among all of them; what the
+    words in their class, id and role hint at; the part of the text that is in links."""
 
     text: str
-    tags: tuple[str, ...]
+    leaf: str
+    inside: frozenset[str]
     names: frozenset[str]
     linked: float
 
 
+@dataclass(slots=True)
+class Element:
+    """An open element with what it and its ancestors say."""
+
+    tag: str
+    inside: frozenset[str]
+    names: frozenset[str]
+
+
+ROOT = Element("", frozenset(), frozenset())
+
+
+def _with(have: frozenset[str], more: set[str]) -> frozenset[str]:
+    return have if more <= have else have | more
+
+
 class Page(HTMLParser):
-    """Collects the blocks of a page. Wrong nesting is taken as browsers mostly do."""
+    """Collects the blocks of a page. Wrong nesting is taken as browsers mostly do.
+
+    ``hints`` says what a word of a class, id or role stands for; others are left out.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, hints: Mapping[str, str]) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, frozenset[str]]] = []
+        self.hints = hints
+        self.open: list[Element] = []
+        self.count: Counter[str] = Counter()
+        self.unseen = 0
         self.blocks: list[Block] = []
         self.links: list[str] = []
         self.title = ""
@@ -54,17 +91,23 @@ class Page(HTMLParser):
     def flush(self) -> None:
         words = " ".join("".join(self._text).split())
         if words:
-            names = frozenset().union(*[names for _, names in self.open])
-            tags = tuple(tag for tag, _ in self.open)
-            self.blocks.append(Block(words, tags, names, min(1.0, self._linked / len(words))))
+            top = self.open[-1] if self.open else ROOT
+            linked = min(1.0, self._linked / len(words))
+            self.blocks.append(Block(words, top.tag, top.inside, top.names, linked))
         self._text, self._linked = [], 0
 
     def _close(self, wanted: set[str], fence: set[str]) -> None:
+        if not any(self.count[tag] for tag in wanted):
+            return
         for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] in wanted:
+            tag = self.open[at].tag
+            if tag in wanted:
+                for element in self.open[at:]:
+                    self.count[element.tag] -= 1
+                    self.unseen -= element.tag in UNSEEN
                 del self.open[at:]
                 return
-            if self.open[at][0] in fence:
+            if tag in fence:
                 return
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -81,27 +124,30 @@ class Page(HTMLParser):
                 self._close({"head"}, set())
         if tag not in VOID:
             said = " ".join(v or "" for n, v in attrs if n in ("class", "id", "role"))
-            self.open.append((tag, frozenset(NAME.findall(said.lower()))))
+            names = {self.hints[word] for word in NAME.findall(said.lower()) if word in self.hints}
+            top = self.open[-1] if self.open else ROOT
+            inside = _with(top.inside, {tag} & KNOWN)
+            self.open.append(Element(tag, inside, _with(top.names, names)))
+            self.count[tag] += 1
+            self.unseen += tag in UNSEEN
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
-        if any(tag == name for name, _ in self.open):
-            self._close({tag}, set())
+        self._close({tag}, set())
 
     def handle_data(self, data: str) -> None:
-        tags = [tag for tag, _ in self.open]
-        if "title" in tags and not self.title:
+        if not self.title and self.count["title"]:
             self.title = " ".join(data.split())
-        if any(tag in UNSEEN for tag in tags):
+        if self.unseen:
             return
         self._text.append(data)
-        if "a" in tags:
+        if self.count["a"]:
             self._linked += len(" ".join(data.split()))
 
 
-def read_page(html: str | None) -> Page:
-    page = Page()
+def read_page(html: str | None, hints: Mapping[str, str] | None = None) -> Page:
+    page = Page(hints or {})
     page.feed(html or "")
     page.close()
     page.flush()

@@ -58,9 +58,9 @@ def features(blocks: list[Block]) -> list[list[str]]:
         words = block.text.count(" ") + 1
         length = "1-3" if words < 4 else "4-9" if words < 10 else "10-24" if words < 25 else "25-"
         links = "0" if not block.linked else "some" if block.linked < 0.6 else "most"
-        found = ["any", f"leaf:{block.tags[-1] if block.tags else ''}"]
-        found += [f"in:{tag}" for tag in set(block.tags)]
-        found += [f"hint:{hint}" for hint in {HINT_OF[n] for n in block.names if n in HINT_OF}]
+        found = ["any", f"leaf:{block.leaf}"]
+        found += [f"in:{tag}" for tag in block.inside]
+        found += [f"hint:{hint}" for hint in block.names]
         found += [f"words:{length}", f"links:{links}"]
         if block.text[-1] in ".!?:;\"'":
             found.append("ends a sentence")
@@ -250,7 +250,7 @@ class Grammar:
         after = [k for k in ("side", "comment", "form", "ad", "notice", "foot", "foot") if self.chance.random() < 0.45]
         whole = "".join(map(self.frame, before)) + main + "".join(map(self.frame, after))
         html = f"<html><head><title>{self.words(2, 6)}</title></head><body>{whole}{self.pick('</body></html>', '')}"
-        blocks = read_page(html).blocks
+        blocks = read_page(html, HINT_OF).blocks
         labels = [int(mark in block.text) for block in blocks]
         for block in blocks:
             block.text = " ".join(block.text.replace(mark, " ").split()) or "."
@@ -274,7 +274,7 @@ def trained_field(pages: int = TRAINING_PAGES, seed: int = 11) -> Field:
 
 
 def main_text(html: str | None, crf: Field) -> str:
-    blocks = read_page(html).blocks
+    blocks = read_page(html, HINT_OF).blocks
     labels = crf.decode(features(blocks)) if blocks else []
     return "\n".join(block.text for block, label in zip(blocks, labels) if label == MAIN)
 

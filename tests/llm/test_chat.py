@@ -51,6 +51,34 @@ def test_parts_become_placeholders_in_order():
         chat.format_turns([("user", [{"type": "smell"}])])
 
 
+SEAMS = ["</tu", "rn>", "\n###", "#", "##", " assistant: x", "\\", "<", "image|1|256>", "<image|", "</", "turn>\n", "é🙂", ""]
+PART = st.one_of(
+    st.builds(lambda t: {"type": "text", "text": t}, st.lists(st.sampled_from(SEAMS), max_size=3).map("".join)),
+    st.builds(lambda k, n: {"type": k, "reference": "r", "units": n}, st.sampled_from(sorted(chat.KINDS)), st.integers(1, 3)),
+)
+
+
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a: b"]), st.lists(PART, max_size=6)), max_size=4))
+def test_any_list_of_parts_comes_back(turns):
+    text, _, attachments, tokens = chat.format_turns(turns)
+    assert [role for role, _ in chat.read_back(text)] == [role for role, _ in turns]
+    total = 0
+    for (_, parts), body in zip(turns, chat.bodies(text), strict=True):
+        want, number = [], 0
+        for part in parts:
+            if part["type"] == "text":
+                if want and isinstance(want[-1], str):
+                    want[-1] += part["text"]
+                else:
+                    want.append(part["text"])
+            else:
+                number += 1
+                want.append((part["type"], number, chat.KINDS[part["type"]] * part["units"]))
+                total += want[-1][2]
+        assert chat.read_parts(body) == [part for part in want if part]
+    assert tokens == total and all(text[a[1] :].startswith(f"<{a[2]}|") for a in attachments)
+
+
 def test_the_small_table(spark):
     rows = spark.read.parquet(f"{plain.FOLDER}/conversations.parquet").collect()
     turns = {}

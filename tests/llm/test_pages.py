@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import gzip
 import html as entities
 import re
+import time
+import zlib
 
 import pytest
 
@@ -94,9 +97,72 @@ def test_edges(spark):
 
 
 def test_blocks_know_their_ancestors():
-    page = dom.read_page('<div class="Post-Body x"><ul><li>one<li><a href="/l">two</a></ul>tail</div>')
-    assert [(b.text, b.tags[-1], b.linked) for b in page.blocks] == [("one", "li", 0), ("two", "li", 1.0), ("tail", "div", 0)]
-    assert page.blocks[0].names == {"post", "body", "x"} and page.links == ["/l"]
+    page = dom.read_page('<div class="Post-Body x"><ul><li>one<li><a href="/l">two</a></ul>tail</div>', {"post": "main", "x": "ad"})
+    assert [(b.text, b.leaf, b.linked) for b in page.blocks] == [("one", "li", 0), ("two", "li", 1.0), ("tail", "div", 0)]
+    assert page.blocks[0].names == {"main", "ad"} and page.links == ["/l"]
+    assert page.blocks[0].inside == {"div", "ul", "li"} and page.blocks[2].inside == {"div"}
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<b>x", "<a href=/x>y", "<my-{}>", "<p><div class=post>z", "<title>", "</b><b>w", "<li><i>"])
+def test_time_grows_with_the_page_not_with_its_depth(crf, tag):
+    def seconds(count):
+        page = "<article><p>start " + "".join(tag.replace("{}", str(k)) + "w " for k in range(count))
+        begin = time.process_time()
+        html_extract.main_text(page, crf)
+        ((_, block, _), _) = warc.derive({}, b"HTTP/1.1 200 OK\r\n\r\n" + page.encode())
+        return time.process_time() - begin
+
+    seconds(500)
+    # Eight times the tags: far from 64 times the time.
+    assert seconds(64_000) < 24 * max(seconds(8_000), 0.05)
+
+
+def message(*headers, body=b"<p>caf\xc3\xa9</p>", drop=(), **more):
+    block = "\r\n".join(["HTTP/1.1 200 OK", *headers, "", ""]).encode("latin-1") + body
+    fields = {"WARC-Type": "response", "WARC-Record-ID": "<urn:x>", "WARC-Target-URI": "http://h/", "Content-Length": str(len(block))} | more
+    lines = [f"{n}: {v}" for n, v in fields.items() if n not in drop]
+    return "\r\n".join([warc.VERSION, *lines, "", ""]).encode() + block + b"\r\n\r\n"
+
+
+def text_of(data):
+    _, (headers, block, whole) = warc.derive(*warc.read_response(data))
+    assert warc.parse(whole) == [(headers, block)]
+    return block.decode()
+
+
+def test_bodies_are_decoded_as_their_headers_say():
+    latin, chunked = "<p>café</p>".encode("latin-1"), b"8\r\n<p>caf\xc3\xa9\r\n4;x=y\r\n</p>\r\n0\r\n\r\n"
+    packed, raw = gzip.compress(b"<p>caf\xc3\xa9</p>"), zlib.compress(b"<p>caf\xc3\xa9</p>")[2:-4]
+    assert text_of(message()) == "café"
+    assert text_of(message("Content-Type: text/html; charset=iso-8859-1", body=latin)) == "café"
+    assert text_of(message("content-type:text/html;charset='latin1'", body=latin)) == "café"
+    assert text_of(message("Content-Type: text/html", body=b"<meta charset=latin1>" + latin)) == "café"
+    assert text_of(message("Transfer-Encoding: chunked", body=chunked)) == "café"
+    assert text_of(message("Content-Encoding: gzip", body=packed)) == "café"
+    assert text_of(message("Content-Encoding: deflate", body=raw)) == "café"
+    whole = b"%x\r\n%s\r\n0\r\n\r\n" % (len(packed), packed)
+    assert text_of(message("Transfer-Encoding: chunked", "Content-Encoding: gzip", body=whole)) == "café"
+    assert text_of(message("Content-Type: text/plain", body=b"a <b> c")) == "a <b> c"
+    assert text_of(message("Content-Type: image/png", body=b"\x89PNG")) == ""
+    # What does not follow its headers is taken as it is.
+    assert text_of(message("Transfer-Encoding: chunked")) == "café"
+    assert text_of(message("Content-Encoding: gzip")) == "café"
+    assert text_of(message("Content-Type: text/html; charset=nonsense")) == "café"
+
+
+def test_optional_headers_and_broken_records(spark):
+    good = message("Content-Type:text/html", drop=())
+    (headers, block, _), (conversion, _, _) = warc.derive(*warc.read_response(good))
+    assert f"source-payload-digest: {warc.digest(b'<p>caf' + bytes([0xC3, 0xA9]) + b'</p>')}" in block.decode()
+    assert conversion["WARC-Source-Content-Type"] == "text/html" and headers["WARC-Refers-To"] == "<urn:x>"
+    rows = [(1, good), (2, b"no record"), (3, b""), (4, message(drop=("Content-Length",))), (5, good[:-9]), (6, None), (7, good + good)]
+    rows += [(8, message(**{"WARC-Type": "request"})), (9, message(drop=("WARC-Record-ID", "WARC-Target-URI")))]
+    made = warc.derivatives(spark.createDataFrame(rows, "page_id long, response binary")).collect()
+    kinds = {}
+    for r in made:
+        kinds.setdefault(r.page_id, []).append((r.record_type, r.error is None))
+    assert kinds[1] == kinds[9] == [("metadata", True), ("conversion", True)]
+    assert all(kinds[k] == [("error", False)] for k in (2, 3, 4, 5, 7, 8)) and 6 not in kinds
 
 
 def test_records_come_back(spark):
