@@ -38,12 +38,14 @@ from salestide.llm.rows import fresh, named
 from salestide.llm.shingles import code_sets, mix
 from salestide.session import scratch, stored
 
-LEAF = 32
+LEAF = 64
 FAN_OUT = 8
 #: Bits of a token bitmap for each token of the set.
 BITS = 8
 #: The same for the bitmaps of the first traversal.
 FEW_BITS = 2
+#: Words of bitmaps that are compared in one go.
+AT_ONCE = 1 << 18
 #: Codes that a chunk of a root's nodes holds, about.
 CHUNK_CODES = 2_000_000
 
@@ -218,33 +220,41 @@ class Join:
 
     def run(self) -> np.ndarray:
         top = max(len(self.a.levels), len(self.b.levels)) - 1
-        self.visit(top, 0, 0)
+        ends = [t.levels[-1] for t in (self.a, self.b)]
+        if self.possible(ends[0], range(1), ends[1], range(1)).any():
+            self.visit(top, 0, 0)
         return self.label
 
-    def possible(self, a: tuple, i: int, b: tuple, j: int) -> bool:
-        """Whether the node pair can hold linked sets, by size ranges and bitmaps."""
-        (maps_a, least_a, most_a, excess_a), (maps_b, least_b, most_b, excess_b) = a, b
+    def possible(self, a: tuple, of_a: range, b: tuple, of_b: range) -> np.ndarray:
+        """Which of two ranges of nodes, or sets, can hold linked sets, by size ranges and bitmaps."""
+        maps_a, least_a, most_a, excess_a = (x[of_a.start : of_a.stop, None] for x in a)
+        maps_b, least_b, most_b, excess_b = (x[None, of_b.start : of_b.stop] for x in b)
         m = self.measure
-        if m.whole * most_a[i] < m.part * least_b[j] or m.whole * most_b[j] < m.part * least_a[i]:
-            return False
-        shared = int(np.bitwise_count(maps_a[i] & maps_b[j]).sum(dtype=np.int64))
-        overlap = shared + min(excess_a[i], excess_b[j])
-        overlap = min(overlap, most_a[i], most_b[j])
-        return overlap * (m.whole + m.part) >= m.part * (least_a[i] + least_b[j])
+        fits = (m.whole * most_a >= m.part * least_b) & (m.whole * most_b >= m.part * least_a)
+        if not fits.any():
+            return fits
+        if fits.size * maps_a.shape[-1] <= AT_ONCE:
+            shared = np.bitwise_count(maps_a & maps_b).sum(axis=2, dtype=np.int64)
+        else:
+            shared = np.stack([np.bitwise_count(row & maps_b[0]).sum(axis=1, dtype=np.int64) for row in maps_a])
+        overlap = shared + np.minimum(excess_a, excess_b)
+        overlap = np.minimum(overlap, np.minimum(most_a, most_b))
+        return fits & (overlap * (m.whole + m.part) >= m.part * (least_a + least_b))
 
     def visit(self, level: int, i: int, j: int) -> None:
-        """Nodes i and j of a level; a tree of fewer levels waits at its root."""
-        la, lb = (min(level, len(t.levels) - 1) for t in (self.a, self.b))
-        if not self.possible(self.a.levels[la], i, self.b.levels[lb], j):
-            return
+        """Nodes i and j of a level, which can hold linked sets; a tree of fewer levels waits
+        at its root."""
         if level == 0:
             self.leaves(i, j)
             return
-        below_a = self._children(self.a, level, la, i)
-        for x in below_a:
-            for y in self._children(self.b, level, lb, j):
-                if not self.same or x <= y:
-                    self.visit(level - 1, x, y)
+        la, lb = (min(level, len(t.levels) - 1) for t in (self.a, self.b))
+        below_a, below_b = self._children(self.a, level, la, i), self._children(self.b, level, lb, j)
+        la, lb = (min(level - 1, len(t.levels) - 1) for t in (self.a, self.b))
+        fits = self.possible(self.a.levels[la], below_a, self.b.levels[lb], below_b)
+        for x, y in np.argwhere(fits).tolist():
+            x, y = below_a[x], below_b[y]
+            if not self.same or x <= y:
+                self.visit(level - 1, x, y)
 
     @staticmethod
     def _children(tree: SignatureTree, level: int, own: int, i: int) -> range:
@@ -253,20 +263,19 @@ class Join:
         return range(i * FAN_OUT, min((i + 1) * FAN_OUT, len(tree.levels[own - 1][0])))
 
     def leaves(self, i: int, j: int) -> None:
-        a, b, m = self.a, self.b, self.measure
-        to = min((j + 1) * LEAF, len(b.sizes))
-        for x in range(i * LEAF, min((i + 1) * LEAF, len(a.sizes))):
-            start = max(j * LEAF, x + 1) if self.same else j * LEAF
-            if start >= to:
-                continue
-            rows = np.arange(start, to)
+        a, b = self.a, self.b
+        of_a = range(i * LEAF, min((i + 1) * LEAF, len(a.sizes)))
+        of_b = range(j * LEAF, min((j + 1) * LEAF, len(b.sizes)))
+        sets = [(t.maps, t.sizes, t.sizes, t.excess) for t in (a, b)]
+        fits = self.possible(sets[0], of_a, sets[1], of_b)
+        if self.same and i == j:
+            fits = np.triu(fits, 1)
+        self.meet(of_a, of_b, fits)
+
+    def meet(self, of_a: range, of_b: range, fits: np.ndarray) -> None:
+        for k in np.flatnonzero(fits.any(axis=1)):
+            x, rows = of_a[k], of_b.start + np.flatnonzero(fits[k])
             rows = rows[self.label[rows + self.shift] != self.label[x]]
-            if not len(rows):
-                continue
-            need = m.part * (a.sizes[x] + b.sizes[rows])
-            shared = np.bitwise_count(a.maps[x] & b.maps[rows]).sum(axis=1, dtype=np.int64)
-            most = shared + np.minimum(a.excess[x], b.excess[rows])
-            rows = rows[most * (m.whole + m.part) >= need]
             if len(rows):
                 self.verify(x, rows)
 
@@ -304,9 +313,9 @@ class Partners(Join):
         if not all(found[k * span : (k + 1) * span].all() for found, k in zip(below, (i, j))):
             super().visit(level, i, j)
 
-    def verify(self, x: int, rows: np.ndarray) -> None:
-        self.found[x] = True
-        self.found[rows + self.shift] = True
+    def meet(self, of_a: range, of_b: range, fits: np.ndarray) -> None:
+        self.found[of_a.start : of_a.stop] |= fits.any(axis=1)
+        self.found[of_b.start + self.shift : of_b.stop + self.shift] |= fits.any(axis=0)
 
 
 def _partners(measure: Measure) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
