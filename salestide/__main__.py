@@ -43,6 +43,7 @@ def _arguments() -> argparse.ArgumentParser:
     )
     publish.add_argument("name", help="database and table, such as gold.report_customer")
     publish.add_argument("--warehouse", required=True)
+    publish.add_argument("--view", action="store_true", help="a lasting view that follows later loads and the date")
 
     for command in (run, publish):
         command.add_argument("--as-of", help="day for ages and recency, the current date by default")
@@ -96,6 +97,10 @@ def main(words: list[str] | None = None) -> None:
     if given.command == "publish":
         database = given.name.rpartition(".")[0] or "default"
         register_star(spark, given.warehouse, database)
+        if given.view:
+            limits = {"spend_limit": given.spend_limit, "tenure_months": given.tenure_months}
+            reports.publish_lasting_view(spark, given.warehouse, given.name, **limits)
+            return
         reports.publish_table(ANALYSES["report_customer"](star, options), given.name)
         return
     for name in given.names:

@@ -96,19 +96,41 @@ def write_table(rows: DataFrame, warehouse: str, name: str) -> None:
 def _swap(spark: SparkSession, staged: Mapping[str, str]) -> None:
     """Put staged folders in the place of tables, given as ``{table folder: staged folder}``.
 
-    Every old folder is moved aside before its successor moves in, and deleted at the end.
+    Every old folder is moved aside before its successor moves in, and deleted at the end. If a
+    move fails, all moves made so far are taken back, the last one first.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
-    path = {name: hadoop.Path(name) for pair in staged.items() for name in pair}
-    aside = {target: hadoop.Path(f"{new}-old") for target, new in staged.items()}
-    files = {target: path[target].getFileSystem(spark._jsc.hadoopConfiguration()) for target in staged}
-    for target, new in staged.items():
-        if files[target].exists(path[target]):
-            files[target].rename(path[target], aside[target])
-        if not files[target].rename(path[new], path[target]):
-            raise OSError(f"{new} could not be moved to {target}")
-    for target in staged:
-        files[target].delete(aside[target], True)
+    undo: list[tuple[str, str]] = []
+
+    def move(source: str, target: str) -> None:
+        path = hadoop.Path(source)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.rename(path, hadoop.Path(target)):
+            raise OSError(f"{source} could not be moved to {target}")
+        undo.append((target, source))
+
+    def exists(name: str) -> bool:
+        path = hadoop.Path(name)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    old = []
+    try:
+        for target, new in staged.items():
+            if exists(target):
+                move(target, f"{new}-old")
+                old.append(f"{new}-old")
+            move(new, target)
+    except Exception:
+        for source, target in list(reversed(undo)):
+            move(source, target)
+        raise
+    for name in old:
+        _drop(spark, name)
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def load_star(
@@ -120,21 +142,27 @@ def load_star(
 ) -> None:
     """Load CSV files, given as ``{table name: path}``, replacing what was there.
 
-    All tables are written beside the old ones first. A bad value in any of them stops the
-    load with the old tables as they were.
+    All tables are written beside the old ones first. A bad value in any of them, or a move that
+    fails, stops the load with all old tables as they were and nothing left beside them.
     """
     mark = f".new-{uuid.uuid4().hex}"
-    staged = {}
-    for name, columns in tables.items():
-        if name in files:
-            try:
-                write_table(read_csv(spark, files[name], columns, multi_line), f"{warehouse}/{mark}", name)
-            except Exception as problem:
-                if "MALFORMED" in str(problem) and not multi_line:
-                    hint = "a quoted line break needs multi_line (--multi-line)"
-                    raise ValueError(f"{files[name]} has a malformed row; {hint}") from problem
-                raise
-            staged[f"{warehouse}/{name}"] = f"{warehouse}/{mark}/{name}"
-    _swap(spark, staged)
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse}/{mark}")
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    staged = {f"{warehouse}/{name}": f"{warehouse}/{mark}/{name}" for name in tables if name in files}
+    try:
+        for name, columns in tables.items():
+            if name in files:
+                _write_staged(spark, files[name], columns, f"{warehouse}/{mark}", name, multi_line)
+        _swap(spark, staged)
+    finally:
+        _drop(spark, f"{warehouse}/{mark}")
+
+
+def _write_staged(
+    spark: SparkSession, file: str, columns: T.StructType, folder: str, name: str, multi_line: bool
+) -> None:
+    try:
+        write_table(read_csv(spark, file, columns, multi_line), folder, name)
+    except Exception as problem:
+        if "MALFORMED" in str(problem) and not multi_line:
+            hint = "a quoted line break needs multi_line (--multi-line)"
+            raise ValueError(f"{file} has a malformed row; {hint}") from problem
+        raise

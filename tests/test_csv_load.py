@@ -9,7 +9,7 @@ import pytest
 from salestide.plans import reports, trends
 from salestide.sources import schema
 from salestide.sources.checks import repeated_keys, unknown_keys
-from salestide.sources.csv_load import load_star, read_csv
+from salestide.sources.csv_load import _swap, load_star, read_csv, write_table
 from salestide.sources.star import open_star, open_table, register_star, register_table
 from tests.conftest import line
 
@@ -197,6 +197,51 @@ def test_a_failed_load_leaves_the_old_tables(spark, tmp_path):
     assert not [p.name for p in (tmp_path / "warehouse").iterdir() if "old" in p.name]
 
 
+def _everything(spark, warehouse):
+    return [sorted(map(tuple, t.collect()), key=str) for t in open_star(spark, warehouse)]
+
+
+def test_moves_are_taken_back_if_a_later_one_fails(spark, tmp_path):
+    warehouse = tmp_path / "warehouse"
+    load_star(spark, _star_files(tmp_path), str(warehouse))
+    before = _everything(spark, str(warehouse))
+    (tmp_path / "new").mkdir()
+    files = _star_files(tmp_path / "new", amount="7.00")
+    staged = {}
+    for number, (name, columns) in enumerate(schema.TABLES.items()):
+        write_table(read_csv(spark, files[name], columns), str(warehouse / ".staged"), name)
+        # The second table has nothing to move in.
+        staged[f"{warehouse}/{name}"] = f"{warehouse}/{'.missing' if number == 1 else '.staged'}/{name}"
+    with pytest.raises(Exception):
+        _swap(spark, staged)
+    assert _everything(spark, str(warehouse)) == before
+
+
+def test_a_failed_load_leaves_nothing_beside_the_tables(spark, tmp_path):
+    warehouse = tmp_path / "warehouse"
+    load_star(spark, _star_files(tmp_path), str(warehouse))
+    before = sorted(p.name for p in warehouse.iterdir())
+    (tmp_path / "bad").mkdir()
+    with pytest.raises(Exception):
+        load_star(spark, _star_files(tmp_path / "bad", amount="much"), str(warehouse))
+    assert sorted(p.name for p in warehouse.iterdir()) == before
+
+
+def test_a_lasting_view_follows_loads_and_sessions(spark, tmp_path):
+    warehouse = str(tmp_path / "warehouse")
+    load_star(spark, _star_files(tmp_path), warehouse)
+    reports.publish_lasting_view(spark, warehouse, "lasting.report_customer", spend_limit=3, tenure_months=0)
+    (tmp_path / "more").mkdir()
+    for folder in (tmp_path, tmp_path / "more"):
+        load_star(spark, _star_files(folder, amount="5.00" if folder == tmp_path else "8.00"), warehouse)
+        star = open_star(spark, warehouse)
+        want = reports.report(star.sales, star.customers, spend_limit=3, tenure_months=0)
+        got = spark.newSession().table("lasting.report_customer")
+        assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+        rows = sorted(map(tuple, got.collect()), key=str)
+        assert rows and rows == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_a_quoted_line_break_says_what_it_needs(spark, tmp_path):
     files = _star_files(tmp_path)
     files["dim_products"] = _file(tmp_path, "p2.csv", PRODUCT_HEADER, '1,2,a,"two\nlines",c,d,e,Yes,1,f,2020-01-01')

@@ -150,8 +150,7 @@ def _plain_totals(sales, customers):
     )
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_totals_equal_the_plain_grouping(tables, seed):
+def _random_tables(tables, seed):
     """Random lines with NULLs, unknown customers and customers listed more than once."""
     rng = random.Random(seed)
 
@@ -176,7 +175,12 @@ def test_totals_equal_the_plain_grouping(tables, seed):
          "birthdate": maybe("1980-05-05")}
         for k in (0, 1, 2, 3, 4, 5, 6, 6, 7)
     ]
-    customers = tables.customers(*people, people[0], people[1], people[1])
+    return sales, tables.customers(*people, people[0], people[1], people[1])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_totals_equal_the_plain_grouping(tables, seed):
+    sales, customers = _random_tables(tables, seed)
     ours = customer_totals(sales, customers, AS_OF).drop("lifespan")
     plain = _plain_totals(sales, customers).select(ours.columns)
     assert sorted(_rows(ours), key=str) == sorted(_rows(plain), key=str)
@@ -206,6 +210,18 @@ def test_the_report_is_a_table_that_other_sessions_query(spark, tables):
     assert other.table("published.report_customer").count() == report.count()
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_the_lasting_view_equals_the_report(spark, tables, tmp_path, seed):
+    """On random rows with NULLs, unknown and repeated keys, and a current date."""
+    sales, customers = _random_tables(tables, seed)
+    for name, rows in (("fact_sales", sales), ("dim_customers", customers)):
+        rows.write.parquet(f"{tmp_path}/{name}")
+    reports.publish_lasting_view(spark, str(tmp_path), f"lasting.random_{seed}", spend_limit=100, tenure_months=3)
+    want = reports.report(sales, customers, spend_limit=100, tenure_months=3)
+    got = spark.table(f"lasting.random_{seed}")
+    assert sorted(_rows(got), key=str) == sorted(_rows(want), key=str)
+
+
 def test_an_analysis_leaves_the_views_of_the_session_alone(spark, tables):
     star = Star(_sales(tables), _customers(tables), tables.products())
     reports.publish_view(reports.report(star.sales, star.customers, AS_OF).filter("customer_key = 2"))
