@@ -7,7 +7,6 @@ ancestors is handed down from one to the next, and sets that an element doesn't
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -35,6 +34,9 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: A paragraph ends at the next block, unless one of these was opened inside it.
+PARAGRAPH = ({"p"}, {"td", "th", "li", "div", "article", "section", "body"})
+NAMED = ("class", "id", "role")
 NAME = re.compile("[a-z0-9]+")
 
 
@@ -66,10 +68,6 @@ class Element:
 ROOT = Element("", frozenset(), frozenset())
 
 
-def _with(have: frozenset[str], more: set[str]) -> frozenset[str]:
-    return have if more <= have else have | more
-
-
 class Page(HTMLParser):
     """Collects the blocks of a page. Wrong nesting is taken as browsers mostly do.
 
@@ -80,7 +78,7 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.hints = hints
         self.open: list[Element] = []
-        self.count: Counter[str] = Counter()
+        self.count: dict[str, int] = {}
         self.unseen = 0
         self.blocks: list[Block] = []
         self.links: list[str] = []
@@ -97,7 +95,7 @@ class Page(HTMLParser):
         self._text, self._linked = [], 0
 
     def _close(self, wanted: set[str], fence: set[str]) -> None:
-        if not any(self.count[tag] for tag in wanted):
+        if not any(map(self.count.get, wanted)):
             return
         for at in range(len(self.open) - 1, -1, -1):
             tag = self.open[at].tag
@@ -117,32 +115,38 @@ class Page(HTMLParser):
             self.links += [value for name, value in attrs if name == "href" and value]
         if tag in BLOCK:
             self.flush()
-            self._close({"p"}, {"td", "th", "li", "div", "article", "section", "body"})
+            if self.count.get("p"):
+                self._close(*PARAGRAPH)
             if tag in CLOSES:
                 self._close(*CLOSES[tag])
             if tag == "body":
                 self._close({"head"}, set())
         if tag not in VOID:
-            said = " ".join(v or "" for n, v in attrs if n in ("class", "id", "role"))
-            names = {self.hints[word] for word in NAME.findall(said.lower()) if word in self.hints}
             top = self.open[-1] if self.open else ROOT
-            inside = _with(top.inside, {tag} & KNOWN)
-            self.open.append(Element(tag, inside, _with(top.names, names)))
-            self.count[tag] += 1
+            inside, names = top.inside, top.names
+            if tag in KNOWN and tag not in inside:
+                inside = inside | {tag}
+            if attrs and self.hints:
+                said = " ".join(v or "" for n, v in attrs if n in NAMED)
+                more = {self.hints[word] for word in NAME.findall(said.lower()) if word in self.hints}
+                names = names if more <= names else names | more
+            self.open.append(Element(tag, inside, names))
+            self.count[tag] = self.count.get(tag, 0) + 1
             self.unseen += tag in UNSEEN
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
-        self._close({tag}, set())
+        if self.count.get(tag):
+            self._close({tag}, set())
 
     def handle_data(self, data: str) -> None:
-        if not self.title and self.count["title"]:
+        if not self.title and self.count.get("title"):
             self.title = " ".join(data.split())
         if self.unseen:
             return
         self._text.append(data)
-        if self.count["a"]:
+        if self.count.get("a"):
             self._linked += len(" ".join(data.split()))
 
 

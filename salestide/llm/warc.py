@@ -147,7 +147,7 @@ def decoded(http: dict[str, str], body: bytes) -> tuple[str, str]:
     if not kind.startswith("text/") and kind != "application/xhtml+xml":
         return kind, ""
     named_by = re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", rest, re.I)
-    within = re.search(rb"<meta[^>]{0,200}charset\s*=\s*[\"']?([\w.:-]+)", body[:2048], re.I)
+    within = None if named_by else re.search(rb"<meta[^>]{0,200}charset\s*=\s*[\"']?([\w.:-]+)", body[:2048], re.I)
     charset = named_by[1] if named_by else within[1].decode() if within else "utf-8"
     try:
         codecs.lookup(charset)
