@@ -242,6 +242,7 @@ FROM shares""",
     + f"""SELECT customer_key, customer_number, customer_name, age, total_orders, {_money('sales')} AS total_sales,
        total_quantity, total_products, last_order_date, lifespan FROM totals""",
     "report_customer": _with(BASE, TOTALS) + REPORT,
+    "report_customer_today": (_with(BASE, TOTALS) + REPORT).replace(f"date '{AS_OF}'", "current_date"),
     "report_top_customers": _with(BASE, TOTALS, f"report AS ({REPORT})")
     + "SELECT * FROM report ORDER BY total_sales DESC, customer_key ASC NULLS LAST LIMIT 20",
     "load_dim_customers": _with()

@@ -30,7 +30,11 @@ def _arguments() -> argparse.ArgumentParser:
     load.add_argument("--warehouse", required=True)
     for table in ("customers", "products", "sales"):
         load.add_argument(f"--{table}", required=True, help="CSV file or folder")
-    load.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
+    load.add_argument(
+        "--multi-line",
+        action=argparse.BooleanOptionalAction,
+        help="whether quotes hold line breaks; unless given, the files are searched for them",
+    )
 
     run = commands.add_parser("run", help="run analyses on the loaded tables")
     run.add_argument("names", nargs="+", choices=list(ANALYSES), metavar="NAME")

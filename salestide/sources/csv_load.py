@@ -55,15 +55,30 @@ def typed_column(field: T.StructField) -> Column:
     return checked.alias(field.name)
 
 
+def breaks_inside_quotes(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field of a CSV file or folder may hold a line break.
+
+    A line that ends inside quotes holds an odd number of them, since a quote within quotes is
+    doubled. The lines are read in parallel, and the search ends at the first such line.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def read_csv(
-    spark: SparkSession, path: str, columns: T.StructType, multi_line: bool = False
+    spark: SparkSession, path: str, columns: T.StructType, multi_line: bool | None = None
 ) -> DataFrame:
     """Typed rows of a CSV file or folder with a header line.
 
     Columns match by position, a blank field is NULL, ``""`` is empty text and a
     doubled quote stands for one quote. ``multi_line`` allows line breaks inside
-    quotes, at the price of one task per file.
+    quotes, at the price of one task per file; unless given, the files are searched
+    for such breaks first. A break of two characters inside quotes is read as one
+    line feed.
     """
+    if multi_line is None:
+        multi_line = breaks_inside_quotes(spark, path)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in columns.fields])
     raw = spark.read.csv(
         path,
@@ -138,7 +153,7 @@ def load_star(
     files: Mapping[str, str],
     warehouse: str,
     tables: Mapping[str, T.StructType] = schema.TABLES,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> None:
     """Load CSV files, given as ``{table name: path}``, replacing what was there.
 
@@ -157,12 +172,12 @@ def load_star(
 
 
 def _write_staged(
-    spark: SparkSession, file: str, columns: T.StructType, folder: str, name: str, multi_line: bool
+    spark: SparkSession, file: str, columns: T.StructType, folder: str, name: str, multi_line: bool | None
 ) -> None:
     try:
         write_table(read_csv(spark, file, columns, multi_line), folder, name)
     except Exception as problem:
-        if "MALFORMED" in str(problem) and not multi_line:
-            hint = "a quoted line break needs multi_line (--multi-line)"
+        if "MALFORMED" in str(problem) and multi_line is False:
+            hint = "a quoted line break needs multi_line (no --no-multi-line)"
             raise ValueError(f"{file} has a malformed row; {hint}") from problem
         raise

@@ -9,7 +9,7 @@ import pytest
 from salestide.plans import reports, trends
 from salestide.sources import schema
 from salestide.sources.checks import repeated_keys, unknown_keys
-from salestide.sources.csv_load import _swap, load_star, read_csv, write_table
+from salestide.sources.csv_load import _swap, breaks_inside_quotes, load_star, read_csv, write_table
 from salestide.sources.star import open_star, open_table, register_star, register_table
 from tests.conftest import line
 
@@ -246,10 +246,46 @@ def test_a_quoted_line_break_says_what_it_needs(spark, tmp_path):
     files = _star_files(tmp_path)
     files["dim_products"] = _file(tmp_path, "p2.csv", PRODUCT_HEADER, '1,2,a,"two\nlines",c,d,e,Yes,1,f,2020-01-01')
     with pytest.raises(Exception, match="multi_line"):
-        load_star(spark, files, str(tmp_path / "w2"))
+        load_star(spark, files, str(tmp_path / "w2"), multi_line=False)
     load_star(spark, files, str(tmp_path / "w2"), multi_line=True)
 
 
+BREAKS = {
+    "1,2,a,plain,c,d,e,Yes,1,f,2020-01-01": False,
+    '1,2,a,"say ""hi"", you",c,d,e,Yes,1,f,2020-01-01': False,
+    '1,2,"",""" """,c,d,e,Yes,1,f,2020-01-01': False,
+    '1,2,a,"two\nlines",c,d,e,Yes,1,f,2020-01-01': True,
+    '1,2,a,"""two""\r\n""lines""",c,d,e,Yes,1,f,2020-01-01': True,
+    '1,2,"a","\n\n""\n","c\n",d,e,Yes,1,f,2020-01-01': True,
+}
+
+
+@pytest.mark.parametrize("row", BREAKS)
+def test_line_breaks_are_found(spark, tmp_path, row):
+    path = _file(tmp_path, "p.csv", PRODUCT_HEADER, "7,8,x,y,c,d,e,No,1,f,2020-01-01", row, "9,8,x,y,c,d,e,No,1,f,2020-01-01")
+    assert breaks_inside_quotes(spark, path) is BREAKS[row]
+    found = read_csv(spark, path, schema.PRODUCTS).collect()
+    assert [r.product_key for r in found] == [7, 1, 9]
+    assert found == read_csv(spark, path, schema.PRODUCTS, multi_line=True).collect()
+
+
+def test_files_of_both_kinds_load_without_a_flag(spark, tmp_path):
+    files = _star_files(tmp_path)
+    (tmp_path / "products").mkdir()
+    rows = list(BREAKS)
+    for number, row in enumerate(rows):
+        _file(tmp_path / "products", f"{number}.csv", PRODUCT_HEADER, row)
+    files["dim_products"] = str(tmp_path / "products")
+    load_star(spark, files, str(tmp_path / "w"))
+    names = {r.product_name for r in open_star(spark, str(tmp_path / "w")).products.collect()}
+    assert names == {"plain", 'say "hi", you', '" "', "two\nlines", '"two"\n"lines"', '\n\n"\n'}
+
+
+def test_a_quote_that_never_ends_stops_the_load(spark, tmp_path):
+    with pytest.raises(Exception):
+        _products(spark, tmp_path, '1,2,a,"open,c,d,e,Yes,1,f,2020-01-01', "2,2,a,b,c,d,e,Yes,1,f,2020-01-01")
+
+
 def test_checks(tables):
     sales = tables.sales(
         line("A", 1, None, "1"), line("B", 9, None, "1"), line("C", 9, None, "1"), line("D", None, None, "1")
