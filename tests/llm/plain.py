@@ -134,3 +134,23 @@ def licenses(text):
                 labels.add(label)
     ends = (min(places), max(places)) if places else (None, None)
     return (len(found), len(places), *ends, ",".join(sorted(labels)))
+
+
+def all_licenses(text, rules):
+    """Labels and score by trying every rule everywhere and comparing all pairs of detections."""
+    said = " " + " ".join(w for w in re.split("[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", (text or "").translate(LOWER)) if w) + " "
+    found = [
+        (m.start(), m.end(), rule[0], number)
+        for number, rule in enumerate(rules)
+        for m in re.finditer(rule[4], said)
+    ]
+
+    def hides(a, b):
+        inside = a[0] <= b[0] and b[1] <= a[1] and a[2] <= b[2]
+        return inside and (a[:3] != b[:3] or a[3] < b[3])
+
+    left = [b for b in found if not any(hides(a, b) for a in found)]
+    base = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+    there = {label for phrase, label in base.items() if f" {phrase} " in said}
+    labels = there | {rules[b[3]][2] for b in left}
+    return ",".join(sorted(labels)), max([0.6] * bool(there) + [rules[b[3]][1] for b in left], default=0.0)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from re import _parser
 
 import pytest
@@ -67,7 +68,8 @@ def _said(pattern):
             if name == "LITERAL":
                 made += chr(value)
             elif name == "IN":
-                made += chr(value[0][1])
+                first = value[0][1]
+                made += chr(first[0] if isinstance(first, tuple) else first)
             elif name == "MAX_REPEAT":
                 made += one(value[2]) * value[0]
             elif name == "SUBPATTERN":
@@ -89,6 +91,46 @@ def test_no_keyword_silences_a_rule(make_docs):
         assert label in made[i].labels.split(",") and made[i].score >= weight, (pattern, made[i])
 
 
+NOTICES = {
+    "GPLv3": "gpl-3.0", "under GPLv2 or later": "gpl-2.0", "LGPLv2.1+": "lgpl-2.1", "Apache2 license": "apache-2.0",
+    "MIT/Apache-2.0": "apache-2.0,mit", "Apache-2.0 OR MIT": "apache-2.0,mit",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+    " documentation files (the \"Software\"), to deal in the Software without restriction, including": "mit",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+    " the following conditions are met:": "bsd",
+    "Neither the name of X nor the names of its contributors may be used to endorse or promote products derived from"
+    " this software without specific prior written permission.": "bsd-3-clause",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public"
+    " License as published by the Free Software Foundation, either version 3 of the License, or": "gpl,gpl-3.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "cc-by-nc-4.0",
+    "This is free and unencumbered software released into the public domain.": "unlicense",
+    "a permission is hereby given to use the public library": "",
+}
+
+
+def test_notices_and_bodies(make_docs):
+    made = _scan(make_docs([(i, text, None) for i, text in enumerate(NOTICES)]))
+    assert [made[i].labels for i in range(len(NOTICES))] == list(NOTICES.values())
+
+
+def test_labels_against_all_rules_and_all_pairs(make_docs):
+    """Parts of signatures side by side, whole, cut and one inside another."""
+    rules, draw = license_scan.rules(), random.Random(5)
+    said = [_said(rule[4]) for rule in rules]
+    texts = [*said, *filter(None, TEXTS.values()), *NOTICES]
+    for _ in range(100):
+        parts = []
+        for one in draw.sample(said, draw.randint(1, 5)):
+            words = one.split()
+            cut = draw.choice([0, 0, 0, 1, 2])
+            parts.append(" ".join(words[cut:] if draw.random() < 0.5 else words[: len(words) - cut]))
+            parts.append(draw.choice(["", "the", "2 0", "version 3", "license", "or"]))
+        texts.append(" ".join(parts))
+    made = _scan(make_docs([(i, text, None) for i, text in enumerate(texts)]))
+    for i, text in enumerate(texts):
+        assert (made[i].labels, made[i].score) == plain.all_licenses(text, rules), text
+
+
 def test_spdx_lines(make_docs):
     tags = {
         "MIT": "mit", "ISC": "isc", "MIT-0": "mit-0", "Artistic-2.0": "artistic-2.0", "BSL-1.0": "bsl-1.0",
