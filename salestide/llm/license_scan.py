@@ -282,29 +282,29 @@ def keywords() -> list[str]:
     return sorted({word for rule in rules() for word in rule[3].split("|")})
 
 
-def _hits(words: str) -> Column:
-    """What the search for keywords can find in place of a rule's: at each place it finds the
-    shortest keyword, which may be the beginning of another."""
-    own = words.split("|")
-    return F.array(*[F.lit(k) for k in keywords() if any(word.startswith(k) for word in own)])
+def _table() -> Column:
+    """All rules as one constant. Written as SQL, which a session reads far faster than it
+    builds thousands of columns; the rules hold neither quotes nor backslashes.
+
+    The search for keywords finds the shortest one at each place, which may be the beginning of
+    a rule's own; ``keywords`` holds what it can find in place of them.
+    """
+
+    def one(number: int, rule: tuple[int, float, str, str, str]) -> str:
+        priority, weight, label, words, pattern = rule
+        own = tuple(words.split("|"))
+        found = ", ".join(f"'{k}'" for k in keywords() if any(w.startswith(k) for w in own))
+        return (
+            f"named_struct('number', {number}, 'priority', {priority}, 'weight', {weight}D,"
+            f" 'label', '{label}', 'keywords', array({found}), 'pattern', '{pattern}')"
+        )
+
+    return F.expr(f"array({', '.join(one(*numbered) for numbered in enumerate(rules()))})")
 
 
 def _detections(said: Column, hits: Column) -> Column:
     """Detections of all rules of which a keyword occurs, by place, longest and best first."""
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("number"),
-                F.lit(priority).alias("priority"),
-                F.lit(weight).alias("weight"),
-                F.lit(label).alias("label"),
-                _hits(words).alias("keywords"),
-                F.lit(pattern).alias("pattern"),
-            )
-            for number, (priority, weight, label, words, pattern) in enumerate(rules())
-        ]
-    )
-    tried = F.filter(table, lambda rule: F.arrays_overlap(rule["keywords"], hits))
+    tried = F.filter(_table(), lambda rule: F.arrays_overlap(rule["keywords"], hits))
 
     def found(rule: Column) -> Column:
         return F.transform(
