@@ -3,21 +3,20 @@
 1. Lines are normalised (A-Z in lower case, white space to one blank, trimmed) and hashed; equal
    lines are one node. A line's set are its runs of eight characters, one from each
    character on; a shorter line is one shingle.
-2. A line's sketch are the smallest hashes of those shingles that follow a blank, a 0, a 5 or a wide
-   character, or begin the line: a sample that depends on the text alone, so that its similarity is
-   on average that of the sets. Each band orders the sketch anew and takes the smallest four, so two
-   lines share a band with about the fourth power of their similarity. Measured against all pairs on the small
-   tables, more than 97 % of the lines that repeat another one are found.
-3. Each line of a bucket meets the bucket's first one. Sizes and parity bitmaps of the shingle
-   sets bound the Jaccard index from above, and only pairs that they leave possible are
+2. Every shingle of a line is hashed, and the line's signature are the smallest hashes in sixteen
+   orders. A band are four of them, a row, a column or a diagonal of the signature in a square, so two
+   lines share a band with the fourth power of their similarity and two bands have one hash
+   in common at most. Measured against all pairs on the small tables, more than 97 % of the lines
+   that repeat another one are found.
+3. Each line of a bucket meets the bucket's most frequent one. Sizes and parity bitmaps of the
+   shingle sets bound the Jaccard index from above, and only pairs that they leave possible are
    compared, by the exact index.
 4. In buckets that still hold several components, chunks of lines meet in the same way until every
    two lines of different components have met: no link between lines that share a band is lost.
 5. Links are joined by distributed union-find, and of each component the first line by
    document and place stays.
 
-Sketches are computed before the first shuffle; the shuffle combines equal lines in each
-task and carries no text. Texts are read again for the lines that share a bucket.
+Signatures are combined in each task before the first shuffle, which carries no text. Texts are read again for the lines that share a bucket.
 
 Defined results: lines are split at ``\\n``; blank lines are no nodes and stay; a line
 shorter than a shingle is one shingle; NULL and empty texts have no lines and stay as they
@@ -42,6 +41,8 @@ SHINGLE = 8
 BEFORE = "[ 05\\x{2E80}-\\x{10FFFF}]"
 SKETCH = 32
 BANDS, BAND_ROWS = 10, 4
+#: Shingles that are hashed in one row; their minima are taken before those of the rows.
+TOGETHER = 16
 #: Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Lines of a bucket that meet another such chunk in one go, about.
@@ -52,7 +53,12 @@ WORDS = 16
 
 def normalised(line: Column) -> Column:
     """A-Z in lower case, blanks for white space, one at a time, none at the ends."""
-    plain = F.translate(line, UPPER + "\t\x0b\x0c\r", LOWER + " " * 4)
+    blanks = "\t\x0b\x0c\r"
+    # Of ASCII alone ``lower`` does the same, much faster.
+    low = F.lower(line)
+    low = F.when(line.rlike(f"[{blanks}]"), F.translate(low, blanks, " " * 4)).otherwise(low)
+    plain = F.when(F.octet_length(line) == F.length(line), low)
+    plain = plain.otherwise(F.translate(line, UPPER + blanks, LOWER + " " * 4))
     single = F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " {2,}", " "))
     return F.btrim(single.otherwise(plain))
 
@@ -73,7 +79,10 @@ def character_set(line: Column) -> Column:
 
 
 def sampled(line: Column) -> Column:
-    """Hashes of a normalised line's shingles that belong to the sample, in order."""
+    """Hashes of a normalised line's shingles that belong to the sample, in order.
+
+    With ``bands`` the earlier signature, which the operator uses no more; see ``signatures``.
+    """
     found = F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(f"(?s){BEFORE}(?=(.{{1,{SHINGLE}}}))"), F.lit(1))
     return F.sort_array(F.array_distinct(F.transform(found, lambda window: F.xxhash64(window))))
 
@@ -93,6 +102,35 @@ def bands(sketch: Column) -> Column:
     return F.array(*[key(band) for band in range(BANDS)])
 
 
+def _order(k: int) -> int:
+    """What turns hashes into the order of the signature's place ``k``."""
+    return (2 * k + 1) * 0x9E3779B97F4A7C15 % 2**64 - 2**63
+
+
+def signatures(lines: DataFrame) -> DataFrame:
+    """``node, n, bands`` of each node of ``node, line``, with the number of its lines.
+
+    The smallest hash in each order, over the shingles at all characters. Rows of shingles are
+    generated and combined without functions of arrays, which Spark does not compile.
+    """
+    wide = lines.select("node", F.encode("line", "UTF-32").alias("wide"))
+    last = F.greatest((F.length("wide") / 4).cast("int") - SHINGLE, F.lit(0)).alias("last")
+    rows = wide.select("node", "wide", last)
+    begins = F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(TOGETHER))).alias("begin")
+    rows = rows.select("node", "wide", "last", begins)
+    # Behind the last shingle it is taken again, which changes no minimum.
+    place = lambda j: F.least(F.col("begin") + j, F.col("last")) * 4 + 1
+    hashes = [F.xxhash64(F.substring("wide", place(j), F.lit(4 * SHINGLE))).alias(f"h{j}") for j in range(TOGETHER)]
+    rows = rows.select("node", (F.col("begin") == 0).alias("starts"), *hashes)
+    least = [F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(_order(k))) for j in range(TOGETHER)]) for k in range(BAND_ROWS**2)]
+    made = rows.groupBy("node").agg(F.count_if("starts").alias("n"), *[F.min(x).alias(f"m{k}") for k, x in enumerate(least)])
+    each = range(BAND_ROWS)
+    square = [[r * BAND_ROWS + c for c in each] for r in each] + [[r * BAND_ROWS + c for r in each] for c in each]
+    square += [[r * BAND_ROWS + (r + d) % BAND_ROWS for r in each] for d in each]
+    keys = [F.xxhash64(*[F.col(f"m{k}") for k in places], F.lit(band)) for band, places in enumerate(square[:BANDS])]
+    return made.select("node", "n", F.array(*keys).alias("bands"))
+
+
 def raw_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
     """``id, copy, pos, raw`` for every line that is not blank.
 
@@ -226,19 +264,21 @@ def first_places(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     """``id, copy, pos`` of the lines that stay: the first of each component."""
     raw = raw_lines(docs, id, text)
     place = F.struct("id", "copy", "pos").alias("place")
-    signed = raw.select(place, normalised(F.col("raw")).alias("line"))
-    sketch = F.slice(sampled(F.col("line")), 1, SKETCH).alias("sketch")
-    signed = signed.select(F.xxhash64("line").alias("node"), "place", sketch)
-    signed = signed.select("node", "place", bands(F.col("sketch")).alias("bands"))
-    nodes = signed.groupBy("node").agg(F.min("place").alias("place"), F.first("bands").alias("bands"))
+    lines = raw.select(place, normalised(F.col("raw")).alias("line"))
+    nodes = lines.select(F.xxhash64("line").alias("node"), "place").groupBy("node").agg(F.min("place").alias("place"))
     nodes = stored(nodes, "lines")
 
-    keyed = nodes.select(F.explode("bands").alias("band"), "node")
-    # Ends are combined in each task, and a bucket's lines meet them in a join that can be split.
-    ends = keyed.groupBy(F.col("band").alias("_band")).agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    ends = ends.filter(F.col("first") != F.col("last")).drop("last")
-    shared = keyed.join(ends, F.col("band") == F.col("_band")).select("band", "node", "first")
-    shared = stored(shared, "buckets")
+    signed = stored(signatures(lines.select(F.xxhash64("line").alias("node"), "line")), "line-bands")
+    keyed = signed.select(F.explode("bands").alias("band"), "node", "n")
+    # Counts are combined in each task, and a bucket's lines meet them in a join that can be split.
+    several = keyed.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("lines"))
+    several = several.filter(F.col("lines") > 1).drop("lines")
+    shared = stored(keyed.join(several, F.col("band") == F.col("_band")).drop("_band"), "buckets")
+    # The line that most documents have is the likeliest to resemble the others.
+    most = F.max_by("node", F.struct("n", "node")).alias("first")
+    most = shared.groupBy(F.col("band").alias("_band")).agg(most)
+    shared = shared.join(most, F.col("band") == F.col("_band")).select("band", "node", "first")
+    shared = stored(shared, "bucket-firsts")
 
     wanted = shared.select(F.col("node").alias("_node")).distinct()
     wanted = nodes.join(wanted, F.col("node") == F.col("_node"), "left_semi").select("node", "place")

@@ -163,3 +163,55 @@ def test_one_changed_character_of_a_hundred_is_similar(spark):
     texts = spark.createDataFrame([(0, line), (1, line[:50] + "#" + line[51:])], "node long, line string")
     pairs = spark.createDataFrame([(0, 1)], "a long, b long")
     assert line_dedup._similar(pairs, texts).count() == 1
+
+
+def test_signatures_take_the_shingles_of_every_character(make_docs):
+    """Lines without a blank, a 0, a 5 or a wide character that differ in the first letter."""
+    chance = random.Random(11)
+    rows = []
+    for i in range(40):
+        line = "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=120))
+        rows += [(2 * i, line, "a"), (2 * i + 1, "#" + line[1:], "a")]
+    made = {r.id: r.removed for r in line_dedup.removed_lines(make_docs(rows)).collect()}
+    assert made == {i: [0] if i % 2 else [] for i in range(80)}
+
+
+def test_signatures_follow_the_set_alone(spark):
+    lines = ["x" * 8, "x" * 9, "x" * 100, "", "short", "é" * 30, "é" * 25, "ab" * 10, "ab" * 60, "ab" * 60]
+    frame = spark.createDataFrame([(i if i < 9 else 8, x) for i, x in enumerate(lines)], "node long, line string")
+    made = {r.node: (r.n, r.bands) for r in line_dedup.signatures(frame).collect()}
+    assert all(len(set(bands)) == line_dedup.BANDS for _, bands in made.values())
+    same = [[0, 1, 2], [3], [4], [5, 6], [7, 8]]
+    assert [{tuple(made[i][1]) for i in group} for group in same] == [{tuple(made[g[0]][1])} for g in same]
+    assert len({tuple(bands) for _, bands in made.values()}) == len(same)
+    assert {i: n for i, (n, _) in made.items()} == {i: 1 + (i == 8) for i in range(9)}
+
+
+def test_lines_are_normalised_alike_with_and_without_wide_characters(spark):
+    lines = ["  A\tB  c ", "É\tB  C", "x", "\x0bZ\x0c\r", "İSTANBUL  ABC", "PLAIN", "a\x1fB", "tab\t\tTAB"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "i long, line string")
+    made = frame.select("i", line_dedup.normalised(F.col("line")).alias("x")).collect()
+    assert {r.i: r.x for r in made} == dict(enumerate(map(_normal, lines)))
+
+
+def test_variants_of_a_frequent_line_are_not_all_compared(make_docs, monkeypatch):
+    """Each variant resembles the line that most documents have, but hardly another variant."""
+    chance = random.Random(2)
+    words = ["".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(50)]
+    rows = [(i, " ".join(words), "a") for i in range(5)]
+    for i in range(400):
+        other = list(words)
+        for at in chance.sample(range(50), 2):
+            other[at] = "".join(chance.choices("abcdefghijklmnopqrstuvwxyz", k=5))
+        rows.append((5 + i, " ".join(other), "a"))
+    compared, similar = [], line_dedup._similar
+
+    def counted(pairs, texts):
+        compared.append(pairs.count())
+        return similar(pairs, texts)
+
+    monkeypatch.setattr(line_dedup, "_similar", counted)
+    made = {r.id: r.removed for r in line_dedup.removed_lines(make_docs(rows)).collect()}
+    # A few variants may share no band with it.
+    assert sum(not gone for gone in made.values()) <= 4
+    assert sum(compared) <= 3 * 400
