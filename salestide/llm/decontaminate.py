@@ -55,9 +55,17 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
+def _bare(word: Column) -> Column:
+    """A word without outer punctuation, A-Z in lower case."""
+    inner = F.btrim(word, F.lit(EDGES))
+    # Of ASCII alone ``lower`` does the same, much faster.
+    return F.when(F.octet_length(word) == F.length(word), F.lower(inner)).otherwise(lower_ascii(inner))
+
+
 def _is_number(word: Column) -> Column:
-    first = F.ascii(word)
-    return first.between(48, 57) | (first.isin(43, 45, 36) & word.rlike("^[+$-]+[0-9]"))
+    # Words are compared with characters: ``ascii`` makes a string of its own each time.
+    signed = (word >= "$") & (word < ".") & word.rlike("^[+$-]+[0-9]")
+    return (word < ":") & ((word >= "0") | signed)
 
 
 def canonical(word: Column) -> Column:
@@ -70,8 +78,8 @@ def canonical(word: Column) -> Column:
 
     def form(w: Column, i: Column) -> Column:
         before = F.when(i > 0, F.get(word, i - 1))
-        plain = lower_ascii(F.btrim(w, F.lit(EDGES)))
-        capital = F.ascii(w).between(65, 90) & before.isNotNull()
+        plain = _bare(w)
+        capital = (w < "[") & (w >= "A") & before.isNotNull()
         inside = ~F.coalesce(before.rlike(SENTENCE_END), F.lit(True))
         behind_number = F.coalesce(_is_number(before), F.lit(False))
         return (
@@ -108,6 +116,25 @@ def plain_windows(codes: Column, width: int | Column) -> Column:
     return F.transform(windows(codes, width), lambda code: F.xxhash64(code, F.lit("plain")))
 
 
+def _all_windows(rows: DataFrame, widths: list[int]) -> DataFrame:
+    """``id, code`` of all ``windows`` of ``codes`` and ``plain_windows`` of ``plain``.
+
+    A row for each place, as Spark compiles that and not functions of arrays; the hash of an
+    array is that of its elements one after another.
+    """
+    places = F.size("codes") - min(widths)
+    rows = rows.select("id", "codes", "plain", F.explode(F.when(places >= 0, F.sequence(F.lit(0), places))).alias("at"))
+
+    def window(codes: str, width: int) -> Column:
+        inside = F.col(codes).isNotNull() & (F.col("at") + width <= F.size(codes))
+        code = F.xxhash64(*[F.get(codes, F.col("at") + k) for k in range(width)])
+        return F.when(inside, F.xxhash64(code, F.lit("plain")) if codes == "plain" else code)
+
+    every = [window(codes, width) for width in widths for codes in ("codes", "plain")]
+    made = rows.select("id", F.explode(F.array(*every)).alias("code"))
+    return made.filter(F.col("code").isNotNull())
+
+
 def _dense(codes: Column) -> Column:
     """Whether hashed forms hold so many placeholders that a window may lack words."""
     marks = [F.xxhash64(F.lit(mark)) for mark in PLACEHOLDERS]
@@ -164,10 +191,7 @@ def contaminated(
     codes = own.select("id", words(F.col("text")).alias("w"))
     codes = codes.select("id", "w", _codes(canonical(F.col("w"))).alias("codes"))
     codes = codes.select("id", "codes", F.when(_dense(F.col("codes")), _codes(_plain(F.col("w")))).alias("plain"))
-    none = F.array().cast("array<long>")
-    all_windows = [windows(F.col("codes"), width) for width in sorted(widths)]
-    all_windows += [F.coalesce(plain_windows(F.col("plain"), width), none) for width in sorted(widths)]
-    looked_up = codes.select("id", F.explode(F.concat(*all_windows)).alias("code"))
+    looked_up = _all_windows(codes, sorted(widths))
     keys = stored(bench.select(F.col("code").alias("_code")).distinct(), "item-codes")
     hits = looked_up.join(keys, F.col("code") == F.col("_code"), "left_semi")
     ids = stored(hits.select("id").distinct(), "hit-documents").select(F.col("id").alias("_id"))
@@ -240,7 +264,7 @@ def contaminated(
 
 
 def _plain(said: Column) -> Column:
-    return F.transform(said, lambda w: lower_ascii(F.btrim(w, F.lit(EDGES))))
+    return F.transform(said, _bare)
 
 
 def _slots() -> Column:
