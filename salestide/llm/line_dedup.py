@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from salestide.llm.components import components
 from salestide.llm.rows import LOWER, UPPER, fresh, named
-from salestide.session import scratch, stored
+from salestide.session import discard, scratch, stored, stored_at
 
 #: What a blank line consists of.
 BLANKS = " \t\x0b\x0c\r"
@@ -41,6 +41,10 @@ SHINGLE = 8
 BEFORE = "[ 05\\x{2E80}-\\x{10FFFF}]"
 SKETCH = 32
 BANDS, BAND_ROWS = 10, 4
+#: Places of the signature in each of sixteen bands: rows, columns and two sorts of diagonals of a
+#: square (lines of the affine plane of order four), of which no two have two places in common.
+SQUARE = [[4 * r + c for c in range(4)] for r in range(4)] + [[4 * r + c for r in range(4)] for c in range(4)]
+SQUARE += [[4 * r + (x ^ d) for r, x in enumerate(turn)] for turn in ((0, 1, 2, 3), (0, 2, 3, 1)) for d in range(4)]
 #: Shingles that are hashed in one row; their minima are taken before those of the rows.
 TOGETHER = 16
 #: Similar: 100 * intersection >= PERCENT * union.
@@ -122,12 +126,9 @@ def signatures(lines: DataFrame) -> DataFrame:
     place = lambda j: F.least(F.col("begin") + j, F.col("last")) * 4 + 1
     hashes = [F.xxhash64(F.substring("wide", place(j), F.lit(4 * SHINGLE))).alias(f"h{j}") for j in range(TOGETHER)]
     rows = rows.select("node", (F.col("begin") == 0).alias("starts"), *hashes)
-    least = [F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(_order(k))) for j in range(TOGETHER)]) for k in range(BAND_ROWS**2)]
+    least = [F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(_order(k))) for j in range(TOGETHER)]) for k in range(16)]
     made = rows.groupBy("node").agg(F.count_if("starts").alias("n"), *[F.min(x).alias(f"m{k}") for k, x in enumerate(least)])
-    each = range(BAND_ROWS)
-    square = [[r * BAND_ROWS + c for c in each] for r in each] + [[r * BAND_ROWS + c for r in each] for c in each]
-    square += [[r * BAND_ROWS + (r + d) % BAND_ROWS for r in each] for d in each]
-    keys = [F.xxhash64(*[F.col(f"m{k}") for k in places], F.lit(band)) for band, places in enumerate(square[:BANDS])]
+    keys = [F.xxhash64(*[F.col(f"m{k}") for k in places], F.lit(band)) for band, places in enumerate(SQUARE)]
     return made.select("node", "n", F.array(*keys).alias("bands"))
 
 
@@ -268,12 +269,13 @@ def first_places(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     nodes = lines.select(F.xxhash64("line").alias("node"), "place").groupBy("node").agg(F.min("place").alias("place"))
     nodes = stored(nodes, "lines")
 
-    signed = stored(signatures(lines.select(F.xxhash64("line").alias("node"), "line")), "line-bands")
+    signed, folder = stored_at(signatures(lines.select(F.xxhash64("line").alias("node"), "line")), "line-bands")
     keyed = signed.select(F.explode("bands").alias("band"), "node", "n")
     # Counts are combined in each task, and a bucket's lines meet them in a join that can be split.
     several = keyed.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("lines"))
     several = several.filter(F.col("lines") > 1).drop("lines")
     shared = stored(keyed.join(several, F.col("band") == F.col("_band")).drop("_band"), "buckets")
+    discard(docs.sparkSession, folder)
     # The line that most documents have is the likeliest to resemble the others.
     most = F.max_by("node", F.struct("n", "node")).alias("first")
     most = shared.groupBy(F.col("band").alias("_band")).agg(most)

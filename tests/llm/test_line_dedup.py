@@ -180,7 +180,7 @@ def test_signatures_follow_the_set_alone(spark):
     lines = ["x" * 8, "x" * 9, "x" * 100, "", "short", "é" * 30, "é" * 25, "ab" * 10, "ab" * 60, "ab" * 60]
     frame = spark.createDataFrame([(i if i < 9 else 8, x) for i, x in enumerate(lines)], "node long, line string")
     made = {r.node: (r.n, r.bands) for r in line_dedup.signatures(frame).collect()}
-    assert all(len(set(bands)) == line_dedup.BANDS for _, bands in made.values())
+    assert all(len(set(bands)) == len(line_dedup.SQUARE) == 16 for _, bands in made.values())
     same = [[0, 1, 2], [3], [4], [5, 6], [7, 8]]
     assert [{tuple(made[i][1]) for i in group} for group in same] == [{tuple(made[g[0]][1])} for g in same]
     assert len({tuple(bands) for _, bands in made.values()}) == len(same)
@@ -215,3 +215,9 @@ def test_variants_of_a_frequent_line_are_not_all_compared(make_docs, monkeypatch
     # A few variants may share no band with it.
     assert sum(not gone for gone in made.values()) <= 4
     assert sum(compared) <= 3 * 400
+
+
+def test_two_bands_have_one_place_in_common_at_most():
+    square = [set(places) for places in line_dedup.SQUARE]
+    assert all(len(places) == 4 for places in square)
+    assert max(len(a & b) for i, a in enumerate(square) for b in square[:i]) == 1
