@@ -26,15 +26,19 @@ comes first; no documents give no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salestide.llm.components import components
 from salestide.llm.rows import LOWER, UPPER, fresh, named
-from salestide.session import discard, scratch, stored, stored_at
+from salestide.session import scratch, stored
 
 #: What a blank line consists of.
 BLANKS = " \t\x0b\x0c\r"
+#: Wide characters that ``lower`` may change, with those that are not assigned yet.
+CASED = r"[\x{80}-\x{10FFFF}&&[\p{IsUppercase}\p{IsTitlecase}\p{Cn}]]"
 #: Characters of a shingle.
 SHINGLE = 8
 #: What stands before a shingle of the sample.
@@ -45,41 +49,44 @@ BANDS, BAND_ROWS = 10, 4
 #: square (lines of the affine plane of order four), of which no two have two places in common.
 SQUARE = [[4 * r + c for c in range(4)] for r in range(4)] + [[4 * r + c for r in range(4)] for c in range(4)]
 SQUARE += [[4 * r + (x ^ d) for r, x in enumerate(turn)] for turn in ((0, 1, 2, 3), (0, 2, 3, 1)) for d in range(4)]
-#: Shingles that are hashed in one row; their minima are taken before those of the rows.
+#: Shingles that are hashed or marked in one row; they are combined before the rows are.
 TOGETHER = 16
 #: Similar: 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Lines of a bucket that meet another such chunk in one go, about.
 CHUNK = 4000
-#: Words of 64 bits in a parity bitmap.
+#: Words of 64 bits in a parity bitmap, a power of two.
 WORDS = 16
 
 
 def normalised(line: Column) -> Column:
     """A-Z in lower case, blanks for white space, one at a time, none at the ends."""
     blanks = "\t\x0b\x0c\r"
-    # Of ASCII alone ``lower`` does the same, much faster.
-    low = F.lower(line)
-    low = F.when(line.rlike(f"[{blanks}]"), F.translate(low, blanks, " " * 4)).otherwise(low)
-    plain = F.when(F.octet_length(line) == F.length(line), low)
-    plain = plain.otherwise(F.translate(line, UPPER + blanks, LOWER + " " * 4))
+    # Without wide letters that have a lower case ``lower`` does the same, much faster.
+    same = (F.octet_length(line) == F.length(line)) | ~line.rlike(CASED)
+    low = F.when(same, F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
+    plain = F.when(line.rlike(f"[{blanks}]"), F.translate(low, blanks, " " * 4)).otherwise(low)
     single = F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " {2,}", " "))
     return F.btrim(single.otherwise(plain))
 
 
-def character_set(line: Column) -> Column:
-    """Hashes of the distinct character shingles of a normalised line.
+def _windows(line: Column) -> Column:
+    """Hashes of the character shingles of a normalised line, in order.
 
     Windows are cut from four bytes a character, so that each is found by its place. The
     bytes are bound by a lambda: a column would be computed again for each window.
     """
 
     def windows(wide: Column) -> Column:
-        last = F.greatest((F.length(wide) / 4).cast("int") - SHINGLE, F.lit(0))
-        window = lambda i: F.substring(wide, i * 4 + 1, F.lit(4 * SHINGLE))
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(window(i)))
+        last = F.greatest(F.length(wide) - (4 * SHINGLE - 1), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last, F.lit(4)), lambda at: F.xxhash64(F.substring(wide, at, F.lit(4 * SHINGLE))))
+
+    return F.transform(F.array(F.encode(line, "UTF-32")), windows)[0]
 
-    return F.array_distinct(F.transform(F.array(F.encode(line, "UTF-32")), windows)[0])
+
+def character_set(line: Column) -> Column:
+    """Hashes of the distinct character shingles of a normalised line."""
+    return F.array_distinct(_windows(line))
 
 
 def sampled(line: Column) -> Column:
@@ -115,16 +122,17 @@ def signatures(lines: DataFrame) -> DataFrame:
     """``node, n, bands`` of each node of ``node, line``, with the number of its lines.
 
     The smallest hash in each order, over the shingles at all characters. Rows of shingles are
-    generated and combined without functions of arrays, which Spark does not compile.
+    generated and combined without functions of arrays, which Spark does not compile. A
+    character beyond the basic plane counts as the two halves that UTF-16 makes of it.
     """
-    wide = lines.select("node", F.encode("line", "UTF-32").alias("wide"))
-    last = F.greatest((F.length("wide") / 4).cast("int") - SHINGLE, F.lit(0)).alias("last")
+    wide = lines.select("node", F.encode("line", "UTF-16BE").alias("wide"))
+    last = F.greatest((F.length("wide") / 2).cast("int") - SHINGLE, F.lit(0)).alias("last")
     rows = wide.select("node", "wide", last)
     begins = F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(TOGETHER))).alias("begin")
     rows = rows.select("node", "wide", "last", begins)
     # Behind the last shingle it is taken again, which changes no minimum.
-    place = lambda j: F.least(F.col("begin") + j, F.col("last")) * 4 + 1
-    hashes = [F.xxhash64(F.substring("wide", place(j), F.lit(4 * SHINGLE))).alias(f"h{j}") for j in range(TOGETHER)]
+    place = lambda j: F.least(F.col("begin") + j, F.col("last")) * 2 + 1
+    hashes = [F.xxhash64(F.substring("wide", place(j), F.lit(2 * SHINGLE))).alias(f"h{j}") for j in range(TOGETHER)]
     rows = rows.select("node", (F.col("begin") == 0).alias("starts"), *hashes)
     least = [F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(_order(k))) for j in range(TOGETHER)]) for k in range(16)]
     made = rows.groupBy("node").agg(F.count_if("starts").alias("n"), *[F.min(x).alias(f"m{k}") for k, x in enumerate(least)])
@@ -137,11 +145,12 @@ def raw_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
 
     ``copy`` is a hash of the text, which tells rows apart that share an id.
     """
-    own = named(docs, id=id, text=text)
-    rows = own.select("id", F.xxhash64("text").alias("copy"), F.posexplode(F.split("text", "\n")))
+    # The hash has a step of its own: beside the lines it would be computed again for each.
+    own = named(docs, id=id, text=text).select("id", "text", F.xxhash64("text").alias("copy"))
+    rows = own.select("id", "copy", F.posexplode(F.split("text", "\n")))
     rows = rows.select("id", "copy", "pos", F.col("col").alias("raw"))
     # Before lines are normalised: a filter on the result would normalise them twice.
-    return rows.filter(F.btrim("raw", F.lit(BLANKS)) != "")
+    return rows.filter(F.ltrim("raw", F.lit(BLANKS)) != "")
 
 
 def _own_lines(docs: DataFrame, id: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -161,6 +170,19 @@ def _own_lines(docs: DataFrame, id: str, text: str, wanted: DataFrame) -> DataFr
     return rows.select("node", normalised(F.col("raw")).alias("line"))
 
 
+def _buckets(signed: DataFrame) -> DataFrame:
+    """``band, node, n`` of the bands that several nodes of ``node, n, bands`` share."""
+    # Dealt once, to find the buckets of several lines and for the join, which reads the lines
+    # of a bucket one by one past its one row.
+    keyed = signed.select(F.explode("bands").alias("band"), "node", "n").repartition("band")
+    # Asks for all columns, as Spark deals twice what it may read with fewer.
+    several = keyed.groupBy(F.col("band").alias("_band")).agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.sum("n").alias("lines")
+    )
+    several = several.filter((F.col("low") < F.col("high")) & (F.col("lines") > 1)).select("_band").hint("shuffle_hash")
+    return keyed.join(several, F.col("band") == F.col("_band")).drop("_band")
+
+
 def _to_first(shared: DataFrame) -> DataFrame:
     """Pairs ``a, b``: each line of a bucket with the bucket's first one."""
     rows = shared.filter(F.col("node") != F.col("first"))
@@ -194,26 +216,37 @@ def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         texts.select(F.col("node").alias(f"_{n}"), F.col("line").alias(f"line_{n}")) for n in "ab"
     )
     rows = pairs.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
-    sets = rows.select("a", "b", *[character_set(F.col(f"line_{n}")).alias(f"set_{n}") for n in "ab"])
-    sizes = sets.select(
-        "a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"),
-        F.size(F.array_intersect("set_a", "set_b")).alias("both"),
+    found = rows.select("a", "b", *[_windows(F.col(f"line_{n}")).alias(f"found_{n}") for n in "ab"])
+    # Both drop what repeats.
+    sizes = found.select(
+        "a", "b", F.size(F.array_intersect("found_a", "found_b")).alias("both"),
+        F.size(F.array_union("found_a", "found_b")).alias("either"),
     )
     # Stored, or the filter would be moved below, where it computes the sets again and again.
     sizes = stored(sizes, "line-overlaps")
-    either = F.col("n_a") + F.col("n_b") - F.col("both")
-    return sizes.filter(100 * F.col("both") >= PERCENT * either).select("a", "b")
+    return sizes.filter(100 * F.col("both") >= PERCENT * F.col("either")).select("a", "b")
 
 
 def _marks(texts: DataFrame) -> DataFrame:
     """``_node, size, bits_0, ...``: of each line the number of shingles and their parity bitmap,
-    in which each shingle turns one bit over. Shingles are combined in each task."""
-    rows = texts.select("node", F.explode(character_set(F.col("line"))).alias("x"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("x", 8).bitwiseAND(F.lit(63)).cast("int"))
-    rows = rows.select("node", F.pmod("x", F.lit(WORDS)).alias("word"), bit.alias("bit"))
-    none = F.lit(0).cast("long")
-    words = [F.bit_xor(F.when(F.col("word") == k, F.col("bit")).otherwise(none)).alias(f"bits_{k}") for k in range(WORDS)]
-    return rows.groupBy(F.col("node").alias("_node")).agg(F.count("*").alias("size"), *words)
+    in which each shingle turns one bit over. Shingles are combined in each row, then in each task."""
+    sets = texts.select("node", character_set(F.col("line")).alias("found"))
+    sets = sets.select("node", "found", F.size("found").alias("size"))
+    begins = F.explode(F.sequence(F.lit(0), F.col("size") - 1, F.lit(TOGETHER))).alias("begin")
+    rows = sets.select("node", "found", "size", begins)
+    # Behind the last shingle there is NULL, which turns nothing over.
+    rows = rows.select("node", "size", *[F.get("found", F.col("begin") + j).alias(f"x{j}") for j in range(TOGETHER)])
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    bit = lambda x: F.call_function("shiftleft", one, F.shiftright(x, 8).bitwiseAND(F.lit(63)).cast("int"))
+    names = [f"x{j}" for j in range(TOGETHER)]
+    words = [F.col(x).bitwiseAND(F.lit(WORDS - 1)).alias(f"word_{x}") for x in names]
+    rows = rows.select("node", "size", *words, *[bit(x).alias(f"bit_{x}") for x in names])
+
+    def turned(k: int) -> Column:
+        found = [F.when(F.col(f"word_{x}") == k, F.col(f"bit_{x}")).otherwise(none) for x in names]
+        return F.bit_xor(reduce(Column.bitwiseXOR, found)).alias(f"bits_{k}")
+
+    return rows.groupBy(F.col("node").alias("_node")).agg(F.max("size").alias("size"), *[turned(k) for k in range(WORDS)])
 
 
 def _still_possible(shared: DataFrame, hung: DataFrame, marks: DataFrame) -> DataFrame:
@@ -269,13 +302,8 @@ def first_places(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     nodes = lines.select(F.xxhash64("line").alias("node"), "place").groupBy("node").agg(F.min("place").alias("place"))
     nodes = stored(nodes, "lines")
 
-    signed, folder = stored_at(signatures(lines.select(F.xxhash64("line").alias("node"), "line")), "line-bands")
-    keyed = signed.select(F.explode("bands").alias("band"), "node", "n")
-    # Counts are combined in each task, and a bucket's lines meet them in a join that can be split.
-    several = keyed.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("lines"))
-    several = several.filter(F.col("lines") > 1).drop("lines")
-    shared = stored(keyed.join(several, F.col("band") == F.col("_band")).drop("_band"), "buckets")
-    discard(docs.sparkSession, folder)
+    signed = signatures(lines.select(F.xxhash64("line").alias("node"), "line"))
+    shared = stored(_buckets(signed), "buckets")
     # The line that most documents have is the likeliest to resemble the others.
     most = F.max_by("node", F.struct("n", "node")).alias("first")
     most = shared.groupBy(F.col("band").alias("_band")).agg(most)
@@ -299,7 +327,7 @@ def removed_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     kept = first_places(docs, id, text)
     own = named(docs, id=id, text=text)
     # Places of all lines that are not blank; only these and the kept ones move, once.
-    full = lambda line, i: F.when(F.btrim(line, F.lit(BLANKS)) != "", i)
+    full = lambda line, i: F.when(F.ltrim(line, F.lit(BLANKS)) != "", i)
     places = F.array_compact(F.transform(F.split("text", "\n"), full)).alias("places")
     rows = own.select("id", F.xxhash64("text").alias("copy"), places, F.lit(None).cast("int").alias("pos"))
     kept = kept.select("id", "copy", F.lit(None).cast("array<int>").alias("places"), "pos")

@@ -29,6 +29,8 @@ def builder(app: str, shuffle_partitions: int | None = None) -> SparkSession.Bui
     return made
 
 
+#: Whether a query's shuffle files are deleted when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Work folders by the scope they were made in, the innermost last.
 _scopes: list[list[str]] = []
 
@@ -70,6 +72,20 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             discard(spark, folder)
 
 
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """What queries inside shuffle is deleted as they end, not when the driver next collects garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stored(rows: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """The rows written as Parquet to a work folder and opened again.
 
@@ -85,5 +101,6 @@ def stored_at(rows: DataFrame, name: str, keep: bool = False) -> tuple[DataFrame
     scopes = _scopes[:-1] if keep else _scopes
     if scopes:
         scopes[-1].append(folder)
-    rows.write.parquet(folder)
+    with _shuffles_go(rows.sparkSession):
+        rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder), folder

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from salestide import session
 from salestide.llm import line_dedup, queries
 from tests.llm import plain
 
@@ -221,3 +223,64 @@ def test_two_bands_have_one_place_in_common_at_most():
     square = [set(places) for places in line_dedup.SQUARE]
     assert all(len(places) == 4 for places in square)
     assert max(len(a & b) for i, a in enumerate(square) for b in square[:i]) == 1
+
+
+def test_bands_are_dealt_once(spark):
+    rows = [(i, 1, [i // 2, 100 + i, 200]) for i in range(6)] + [(6, 3, [3, 106, 300])]
+    signed = spark.createDataFrame(rows, "node long, n long, bands array<long>").repartition(2, "node")
+    got = {(r.band, r.node, r.n) for r in line_dedup._buckets(signed).collect()}
+    assert got == {(i // 2, i, 1) for i in range(6)} | {(200, i, 1) for i in range(6)}
+    # Without adaptive execution the plan shows which shuffles are read again.
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = line_dedup._buckets(signed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(band" in x]
+    assert sorted("ReusedExchange" in x for x in dealt) == [False, True]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        place = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in place.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    before, key = files(), spark.conf.get(session.CLEANUP, None)
+    rows = session.stored(spark.range(1000).repartition(3, "id").groupBy("id").count(), "counted")
+    for _ in range(100):
+        left = {f for f in files() - before if f.endswith(".data")}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(session.CLEANUP, None) == key
+    assert rows.count() == 1000
+
+
+def test_lower_changes_no_other_wide_character(spark):
+    """All characters that ``lower`` changes are those that the quick way leaves out."""
+    codes = spark.range(0x80, 0x110000).filter("id < 55296 or id > 57343")
+    made = codes.select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    assert made.filter((F.lower("c") != F.col("c")) & ~F.col("c").rlike(line_dedup.CASED)).count() == 0
+
+
+def test_lower_of_wide_lines_keeps_wide_letters(spark):
+    lines = ["ÉCOLE Été", "naïve CAFÉ", "漢字 ABC", "ΣΑΣ OK", "“Quoted” Text", "Ⅷ Ⓐ X", "é\tÀ  B", "ǅ A"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "i long, line string")
+    made = {r.i: r.x for r in frame.select("i", line_dedup.normalised(F.col("line")).alias("x")).collect()}
+    assert made == dict(enumerate(map(_normal, lines)))
+
+
+def test_marks_are_those_of_the_distinct_shingles(spark):
+    lines = ["short", "exactly8", "ab" * 40, "the same the same the same words", "x" * 300, "漢字 x🙂é und noch ein paar Wörter"]
+    lines += ["".join(chr(97 + i * i % 26) for i in range(k)) for k in (22, 23, 24, 25, 200)]
+    texts = spark.createDataFrame(list(enumerate(lines)), "node long, line string")
+    sets = texts.select("node", line_dedup.character_set(F.col("line")).alias("s")).collect()
+    want = {}
+    for r in sets:
+        bits = [0] * line_dedup.WORDS
+        for x in r.s:
+            bits[x % line_dedup.WORDS] ^= 1 << (x >> 8 & 63)
+        want[r.node] = (len(r.s), [b - 2**64 if b >= 2**63 else b for b in bits])
+    made = line_dedup._marks(texts).collect()
+    assert {r._node: (r.size, [r[f"bits_{k}"] for k in range(line_dedup.WORDS)]) for r in made} == want
