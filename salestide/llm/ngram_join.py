@@ -4,8 +4,9 @@
    the same set are one node from here on.
 2. *Roots.* The tree's top level must not hold all documents, so it is cut by a rule that
    loses no pair: codes are dealt by value to more cells than two linked sets of that size
-   class can differ in, so linked sets agree in at least one whole cell. Nodes that agree
-   in a cell hang under one root, named by the smallest of them.
+   class can differ in, so linked sets agree in several whole cells. Of these the one with
+   the most codes is enough, so cells of few codes, which also agree by chance, are left
+   out. Nodes that agree in a cell hang under one root, named by the smallest of them.
 3. *Trees.* Under each root the nodes form leaves; a tree node holds the OR of its token
    bitmaps, the range of its sizes and the most tokens that share a bit. A dual traversal
    of the tree with itself drops pairs of tree nodes whose largest possible overlap is too
@@ -46,6 +47,8 @@ BITS = 8
 FEW_BITS = 2
 #: Words of bitmaps that are compared in one go.
 AT_ONCE = 1 << 18
+#: A class has a cell to spare for every so many that linked sets can differ in, and one more.
+SPARE = 4
 #: Codes that a chunk of a root's nodes holds, about.
 CHUNK_CODES = 2_000_000
 
@@ -61,9 +64,9 @@ class Measure:
     def linked(self, both, size_a, size_b):
         return self.whole * both >= self.part * (size_a + size_b - both)
 
-    def differences(self, size: int) -> int:
-        """The most codes in one but not both of two linked sets of at most this size."""
-        return (self.whole - self.part) * 2 * size // (self.whole + self.part)
+    def differences(self, size_a: int, size_b: int) -> int:
+        """The most codes in one but not both of two linked sets of at most these sizes."""
+        return (self.whole - self.part) * (size_a + size_b) // (self.whole + self.part)
 
     def classes(self, most: int = 2**40) -> list[int]:
         """Smallest size of each class. Linked sets are in one class or in neighbours."""
@@ -74,11 +77,17 @@ class Measure:
 
 
 def cell_keys(codes: np.ndarray, measure: Measure, starts: np.ndarray) -> np.ndarray:
-    """Keys of all cells of a set, in its own size class and, where linked sets can be
-    there, in the next one.
+    """Keys that two linked sets share one of, from the set's own size class and, where
+    linked sets can be there, from the next one.
 
-    There are some cells more than the differences, so that as many cells agree; empty
-    cells, which say nothing, need a key only in a set that has more of them than that.
+    Each code that two sets do not share spoils one cell at most, so that of a class's cells
+    linked sets agree in all but as many. With cells to spare a set may leave some out: those
+    of the fewest codes, which sets agree in by chance. The cells that it keeps are one more
+    than it can differ in from a linked set of the class, so of all cells that two linked
+    sets agree in both keep the one that is last in this order.
+
+    Cells without codes would be the same in all sets. A set that had to keep one gets the
+    first of its codes as keys instead: linked sets share one of those too.
     """
     own = int(np.searchsorted(starts, len(codes), "right")) - 1
     reach = len(codes) * measure.whole // measure.part
@@ -86,17 +95,23 @@ def cell_keys(codes: np.ndarray, measure: Measure, starts: np.ndarray) -> np.nda
     np.cumsum(mix(codes, 1), out=sums[1:])
     keys = []
     for level in (own, own + 1)[: 1 + (reach >= starts[own + 1])]:
-        apart = measure.differences(int(starts[level + 1]) - 1)
+        most = int(starts[level + 1]) - 1
+        apart = measure.differences(len(codes), min(reach, most))
         if not apart:
             continue
-        spare = 1 + apart // 16
-        cells = apart + 1 + spare
+        widest = measure.differences(most, most)
+        cells = widest + 2 + widest // SPARE
         bounds = (np.arange(1, cells, dtype=np.float64) * (2.0**64 / cells)).astype(np.uint64)
         ends = np.r_[0, np.searchsorted(codes, bounds), len(codes)]
         number = np.arange(cells, dtype=np.uint64) + np.uint64((level + 1) << 40)
         made = mix(mix(number, 2) + sums[ends[1:]] - sums[ends[:-1]])
-        full = ends[1:] > ends[:-1]
-        keys.append(made[full] if cells - full.sum() <= spare else made)
+        count = np.diff(ends)
+        kept = np.lexsort((made, count))[cells - apart - 1 :]
+        if not count[kept[0]]:
+            kept = kept[count[kept] > 0]
+            first = len(codes) * (measure.whole - measure.part) // measure.whole + 1
+            keys.append(mix(mix(codes[:first], 6) + np.uint64(level)))
+        keys.append(made[kept])
     return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
@@ -435,8 +450,9 @@ def join(
 
 def _hung(marked: DataFrame, features: DataFrame, measure: Measure, codes_per_chunk: int) -> DataFrame:
     """``node, root`` of the components."""
-    # Dealt once by cell: both sides of the join read the same shuffle.
-    keyed = features.select(F.explode("cells").alias("cell"), "node").repartition("cell")
+    # Dealt once by cell: both sides of the join read the same shuffle. Filtered here, as Spark
+    # infers the filter for one side alone, which would then be another shuffle.
+    keyed = features.filter("node is not null").select(F.explode("cells").alias("cell"), "node").repartition("cell")
     roots = keyed.groupBy("cell").agg(F.min("node").alias("root"), F.max("node").alias("_last"))
     roots = roots.filter(F.col("root") != F.col("_last")).select(F.col("cell").alias("_cell"), "root")
     pairs = keyed.join(roots, F.col("cell") == F.col("_cell")).select("root", "node").distinct()

@@ -55,6 +55,38 @@ def test_linked_sets_always_share_a_cell(measure):
                 assert keys[0] & keys[1], (size, len(a), len(b), both)
 
 
+@pytest.mark.parametrize("measure", [Measure(), Measure(5, 80, 100), Measure(1, 50, 100)])
+def test_linked_sets_share_a_key_however_their_codes_lie(measure):
+    """Sets that gain or lose codes, with codes dealt evenly or all to one cell."""
+    chance = np.random.default_rng(3)
+    starts, met = np.array(measure.classes()), 0
+    for _ in range(3000):
+        size = int(chance.integers(1, 70))
+        pool = chance.permutation(np.unique(chance.integers(0, 2**64, 2 * size, np.uint64)))
+        pool = pool >> np.uint64(chance.choice([0, 0, 0, 30]))
+        more = size - int(chance.integers(0, 1 + size // 4)) + int(chance.integers(0, 1 + size // 4))
+        a, b = np.unique(pool[:size]), np.unique(pool[more - size if more > size else 0 :][:more])
+        both = len(np.intersect1d(a, b))
+        if both < max(len(a), len(b)) and measure.linked(both, len(a), len(b)):
+            met += 1
+            assert set(cell_keys(a, measure, starts)) & set(cell_keys(b, measure, starts))
+    assert met > 300
+
+
+@pytest.mark.parametrize("measure", [Measure(), Measure(5, 80, 100)])
+def test_sets_with_little_in_common_share_no_key(measure):
+    """Cells without codes, or with one common code alone, would put them all under one root."""
+    chance = np.random.default_rng(4)
+    starts = np.array(measure.classes())
+    common = chance.integers(0, 2**64, 50, np.uint64)
+    seen = set()
+    for _ in range(400):
+        own = chance.integers(0, 2**64, int(chance.integers(100, 500)), np.uint64)
+        keys = set(cell_keys(np.unique(np.r_[own, chance.choice(common, 1)]), measure, starts))
+        assert not keys & seen
+        seen |= keys
+
+
 def test_trees_find_what_all_pairs_find():
     chance = np.random.default_rng(2)
     sets = []
